@@ -55,15 +55,16 @@ def due_for_compaction(table_rows: DataFrame, today: Column) -> DataFrame:
 def compact(table_rows: DataFrame, today: Column, target: str) -> None:
     """Rewrite dates older than the compression age into ``target``, a new version folder.
 
-    Young dates stay where they are; ``compacted_view`` reads both.
+    Young dates stay where they are; ``compacted_parts`` gives both.
     """
     old = table_rows.filter(F.col(PARTITION) < F.date_sub(today, fixed.COMPRESS_AFTER_DAYS))
     append_rows(old, target)
 
 
-def compacted_view(table_rows: DataFrame, today: Column, target: str) -> DataFrame:
+def compacted_parts(table_rows: DataFrame, today: Column, target: str) -> list[DataFrame]:
+    """The young dates of the table and the rewritten old ones; their union is the table."""
     young = table_rows.filter(F.col(PARTITION) >= F.date_sub(today, fixed.COMPRESS_AFTER_DAYS))
-    return young.unionByName(table_rows.sparkSession.read.parquet(target))
+    return [young, table_rows.sparkSession.read.parquet(target)]
 
 
 def occupancy(tables: dict[str, DataFrame]) -> DataFrame:

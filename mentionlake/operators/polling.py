@@ -67,8 +67,8 @@ def cursor_replay(polls: DataFrame) -> DataFrame:
 def rollovers(primary_log: DataFrame) -> DataFrame:
     """Changes of the primary thread: (thread_id that starts draining, successor, drain_started).
 
-    ``primary_log`` has subreddit, polled_at, thread_id. A thread starts draining once, at the first
-    time it is replaced.
+    ``primary_log`` has subreddit, polled_at, thread_id. A thread is primary for one stretch of time,
+    as daily threads are; for one that returns, the first replacement counts.
     """
     keys, order = ["subreddit"], ["polled_at"]
     log = in_slices(primary_log, keys, order)

@@ -42,6 +42,15 @@ SELECT event_id, concat('t3_', user_id % 20) AS thread_id, ts AS polled_at,
   CASE WHEN event_id % 5 = 0 THEN NULL ELSE ts END AS max_seen_utc,
   CASE WHEN user_id % 13 = 0 THEN NULL ELSE CAST(100 + user_id AS INT) END AS num_comments_reported,
   CAST(floor(value) AS INT) AS fetched_this_cycle
+FROM {events}""",
+    "b_drain_polls": """
+SELECT concat('t3_', CAST(CAST(ts AS DATE) - CAST(user_id % 3 AS INT) AS VARCHAR(10))) AS thread_id,
+  ts AS polled_at, event_id,
+  CASE WHEN floor(value) % 3 = 0 THEN CAST(floor(value) AS INT) ELSE 0 END AS ingested
+FROM {events}""",
+    "b_primary_log": """
+SELECT DISTINCT 'daily' AS subreddit, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS polled_at,
+  concat('t3_', CAST(CAST(ts AS DATE) AS VARCHAR(10))) AS thread_id
 FROM {events}""",
     "b_event_comments": """
 SELECT event_id, concat('t1_', event_id) AS id, concat('t3_', user_id % 25) AS post_id,

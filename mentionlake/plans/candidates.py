@@ -17,7 +17,7 @@ from mentionlake.plans.universe import (
     merged_listings,
     normalized,
 )
-from mentionlake.session import new_folder
+from mentionlake.session import materialize, new_folder
 from mentionlake.sources import candidates as files
 
 MIN_CASHTAG = 20
@@ -160,7 +160,8 @@ PROMOTION = f"WITH {CLASSIFIED_CTES}, {CLASSIFIED}, {MERGED}, {KNOWN}, {NAMES},
 
 
 def promotion(spark: SparkSession, sf_dir: str) -> pr.Promotion:
-    rows = classified(spark, sf_dir)
+    # the classification is handed over as files, to be looked through before anything is promoted
+    rows = materialize(classified(spark, sf_dir), "classified")
     foreign = rows.filter("bucket = 'review_foreign'").withColumns(
         {"cashtag_count": F.lit(1).cast("bigint"), "allcaps_count": F.col("total_count")}
     )
