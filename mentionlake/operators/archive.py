@@ -45,10 +45,12 @@ def add_rows(rows: DataFrame, table: str) -> int:
     dated = with_date(rows)
     columns = [c for c in dated.columns if c not in jsonl.ORDER]
     if table_exists(spark, table):
-        known = spark.read.parquet(table)
+        # calendar days, as literals: an anti-join would not prune the table's folders by itself
+        days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
+        known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
     else:
         known = spark.createDataFrame([], dated.select(*KEYS, PARTITION).schema)
-    fresh = insert_ignore(known, dated, KEYS, jsonl.ORDER, PARTITION).select(*columns)
+    fresh = insert_ignore(known, dated, KEYS, jsonl.ORDER).select(*columns)
     rows_written = F.count(F.lit(1)).alias("rows")
     seen, _ = observe_while(fresh, [rows_written], lambda df: append_rows(df, table))
     return seen["rows"]

@@ -26,18 +26,10 @@ def insert_ignore(
     incoming: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
-    partition: str | None = None,
 ) -> DataFrame:
-    """Incoming rows whose key is new, one per key. Running it again on its own result adds none.
-
-    With ``partition`` only the existing partitions that incoming rows fall into are read.
-    """
+    """Incoming rows whose key is new, one per key. Running it again on its own result adds none."""
     fresh = first_wins(incoming, keys, order)
-    known = existing
-    if partition:
-        touched = incoming.select(partition).distinct()
-        known = known.join(touched, partition, "left_semi")
-    return fresh.join(known.select(*keys), list(keys), "left_anti")
+    return fresh.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def upsert_mutable(

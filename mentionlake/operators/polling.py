@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from mentionlake import fixed_values as fixed
-from mentionlake.operators.running import SLICE, in_slices, last_seen, row_positions
+from mentionlake.operators.running import SLICE, last_seen, previous, run_positions
 
 _KEY = ["thread_id"]
 _ORDER = ["polled_at", "event_id"]
@@ -17,12 +17,9 @@ _ORDER = ["polled_at", "event_id"]
 
 def truncation_streak(polls: DataFrame) -> DataFrame:
     """Adds ``streak``: how many polls in a row, up to this one, were truncated."""
-    placed = row_positions(in_slices(polls, _KEY, _ORDER), _KEY, _ORDER)
-    clear = {"_clear": F.when(~F.col("was_truncated"), F.col("pos"))}
-    marked = last_seen(placed, _KEY, _ORDER, clear)
-    return marked.withColumn(
-        "streak", F.col("pos") - F.coalesce(F.col("_clear"), F.lit(0))
-    ).drop("_clear", "pos", SLICE)
+    runs = run_positions(polls, _KEY, _ORDER, ~F.col("was_truncated"))
+    streak = F.col("pos") - F.coalesce("break_pos", F.lit(0))
+    return runs.withColumn("streak", streak).drop("pos", "break_pos", SLICE)
 
 
 def cursor_replay(polls: DataFrame) -> DataFrame:
@@ -32,19 +29,15 @@ def cursor_replay(polls: DataFrame) -> DataFrame:
     the newest comment seen. Truncated polls hold it until the third in a row, which moves it anyway
     (skipping what was not fetched) and starts the count again.
     """
-    limit = fixed.TRUNCATION_STREAK_LIMIT
-    placed = row_positions(in_slices(polls, _KEY, _ORDER), _KEY, _ORDER)
+    runs = run_positions(polls, _KEY, _ORDER, ~F.col("was_truncated"))
     first = F.col("pos") == 1
-    clear = {"_clear": F.when(first | ~F.col("was_truncated"), F.col("pos"))}
-    runs = last_seen(placed, _KEY, _ORDER, clear).withColumn(
-        "streak", (F.col("pos") - F.col("_clear")) % limit
-    )
-    seen = F.col("max_seen_utc").isNotNull()
-    truncated = F.col("was_truncated") & ~first
-    forced = truncated & (F.col("streak") == 0) & seen
-    advanced = ~first & seen & (~truncated | forced)
-    marked = runs.withColumns(
-        {"cold_start": first, "forced": forced, "cursor_advanced": advanced}
+    # the first poll of a thread starts the count whatever it reports
+    run = F.col("pos") - F.coalesce("break_pos", F.lit(1))
+    judged = runs.withColumns(
+        {"streak": run % fixed.TRUNCATION_STREAK_LIMIT, "cold_start": first}
+    ).withColumn(
+        "cursor_advanced",
+        ~F.col("cold_start") & (F.col("streak") == 0) & F.col("max_seen_utc").isNotNull(),
     )
     moved = F.when(F.col("cold_start"), F.col("polled_at")).when(
         F.col("cursor_advanced"), F.col("max_seen_utc")
@@ -52,7 +45,8 @@ def cursor_replay(polls: DataFrame) -> DataFrame:
     skipped = F.greatest(
         F.lit(0), F.coalesce("num_comments_reported", F.lit(0)) - F.col("fetched_this_cycle")
     )
-    return last_seen(marked, _KEY, _ORDER, {"cursor_utc": moved}).select(
+    forced = F.col("cursor_advanced") & F.col("was_truncated")
+    return last_seen(judged, _KEY, _ORDER, "cursor_utc", moved).select(
         "thread_id",
         "polled_at",
         "event_id",
@@ -60,7 +54,7 @@ def cursor_replay(polls: DataFrame) -> DataFrame:
         "cursor_advanced",
         "cursor_utc",
         "streak",
-        F.when(F.col("forced"), skipped).alias("estimated_skipped"),
+        F.when(forced, skipped).alias("estimated_skipped"),
     )
 
 
@@ -70,12 +64,10 @@ def rollovers(primary_log: DataFrame) -> DataFrame:
     ``primary_log`` has subreddit, polled_at, thread_id. A thread is primary for one stretch of time,
     as daily threads are; for one that returns, the first replacement counts.
     """
-    keys, order = ["subreddit"], ["polled_at"]
-    log = in_slices(primary_log, keys, order)
-    known = last_seen(log, keys, order, {"previous": F.col("thread_id")}, include_current=False)
-    changed = known.filter("previous <> thread_id")
+    known = previous(primary_log, ["subreddit"], ["polled_at"], "before", F.col("thread_id"))
+    changed = known.filter("before <> thread_id")
     return (
-        changed.groupBy("subreddit", F.col("previous").alias("thread_id"))
+        changed.groupBy("subreddit", F.col("before").alias("thread_id"))
         .agg(F.min_by(F.struct("thread_id", "polled_at"), "polled_at").alias("_first"))
         .select(
             "subreddit",
@@ -95,11 +87,8 @@ def drain_outcomes(drains: DataFrame, polls: DataFrame) -> DataFrame:
     during = polls.join(drains.select("thread_id", "drain_started"), "thread_id").filter(
         "polled_at >= drain_started"
     )
-    placed = row_positions(in_slices(during, _KEY, _ORDER), _KEY, _ORDER)
-    busy = {"_busy": F.when(F.col("ingested") > 0, F.col("pos"))}
-    idle = last_seen(placed, _KEY, _ORDER, busy).withColumn(
-        "idle_polls", F.col("pos") - F.coalesce("_busy", F.lit(0))
-    )
+    runs = run_positions(during, _KEY, _ORDER, F.col("ingested") > 0)
+    idle = runs.withColumn("idle_polls", F.col("pos") - F.coalesce("break_pos", F.lit(0)))
     old = F.col("polled_at") >= F.col("drain_started") + F.make_dt_interval(
         hours=F.lit(fixed.DRAIN_MAX_HOURS)
     )

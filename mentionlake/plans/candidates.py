@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mentionlake import fixed_values as fixed
 from mentionlake.functions import text as tx
 from mentionlake.operators import classify as cl, hits, promote as pr, universe
 from mentionlake.operators.keyed_write import first_wins
@@ -21,7 +22,9 @@ from mentionlake.session import materialize, new_folder
 from mentionlake.sources import candidates as files
 
 MIN_CASHTAG = 20
-FALSE_BASES = "('BECK', 'BCK', 'BAB', 'BABY', 'MIL', 'MILF', 'GAY', 'GAYM', 'PSS', 'SEN')"
+FALSE_BASES = str(fixed.FOREIGN_FALSE_BASES)
+CONFIDENT = str(fixed.CONFIDENT_EQUITY)
+ALIASES = f"(VALUES {', '.join(str(pair) for pair in fixed.KNOWN_ALIASES.items())})"
 STOPPED = "(SELECT symbol FROM b_stoplist)"
 
 
@@ -52,19 +55,20 @@ coins AS (
   SELECT symbol, array_to_string(list_sort(list(DISTINCT name))[:5], ' | ') AS names FROM b_coins
   WHERE regexp_full_match(symbol, '[A-Z0-9]{{1,5}}') GROUP BY symbol),
 ruled AS (
-  SELECT c.*, h.sources AS eq_sources, h.names AS eq_names, k.names AS coin_names, f.hit, f.label,
+  SELECT c.*, h.sources AS eq_sources, h.names AS eq_names, k.names AS coin_names, a.target, f.hit, f.label,
     {DROP} AS drop_reason, {FOREIGN} AS is_foreign,
     CASE WHEN h.symbol IS NOT NULL THEN CASE WHEN stopped OR length(c.symbol) <= 1 THEN 1 ELSE 2 END
       WHEN stopped THEN 3
       WHEN {FOREIGN} AND {DROP} IS NOT NULL THEN 4
       WHEN {FOREIGN} THEN 5
       WHEN k.symbol IS NOT NULL THEN 6
-      WHEN c.symbol = 'RDBX' THEN 7
-      WHEN c.symbol = 'APPL' THEN 8
+      WHEN c.symbol IN {CONFIDENT} THEN 7
+      WHEN a.symbol IS NOT NULL THEN 8
       WHEN f.hit THEN 9
       WHEN cashtag_count >= 200 THEN 10 ELSE 11 END AS rule
   FROM {_flags('b_candidates')} AS c LEFT JOIN hits AS h USING (symbol)
     LEFT JOIN coins AS k USING (symbol) LEFT JOIN b_filings AS f USING (symbol)
+    LEFT JOIN {ALIASES} AS a(symbol, target) USING (symbol)
   WHERE cashtag_count >= {MIN_CASHTAG}),
 classified AS (
   SELECT symbol, cashtag_count, allcaps_count, total_count, evidence,
@@ -74,13 +78,13 @@ classified AS (
     CASE rule WHEN 1 THEN 'equity_listing_match' WHEN 2 THEN 'equity_listing_match'
       WHEN 3 THEN 'slang_or_profanity' WHEN 4 THEN 'foreign_suffix_false_positive:' || drop_reason
       WHEN 5 THEN suffix WHEN 6 THEN 'coingecko_symbol' WHEN 7 THEN 'human_confident_equity'
-      WHEN 8 THEN 'alias_of:AAPL' WHEN 9 THEN 'sec_edgar_fulltext' WHEN 10 THEN 'high_cashtag_spotcheck'
+      WHEN 8 THEN 'alias_of:' || target WHEN 9 THEN 'sec_edgar_fulltext' WHEN 10 THEN 'high_cashtag_spotcheck'
       ELSE 'unmatched_low_cashtag' END AS reason,
     CASE rule WHEN 1 THEN eq_sources WHEN 2 THEN eq_sources WHEN 3 THEN 'slang_stoplist'
       WHEN 4 THEN 'foreign_suffix_filter' WHEN 5 THEN suffix WHEN 6 THEN 'coingecko'
       WHEN 7 THEN 'manual_review_allowlist' WHEN 8 THEN 'known_alias_map' WHEN 9 THEN 'sec_efts'
       WHEN 10 THEN 'cashtag_threshold_200' ELSE '' END AS sources,
-    CASE rule WHEN 1 THEN eq_names WHEN 2 THEN eq_names WHEN 6 THEN coin_names WHEN 8 THEN 'AAPL'
+    CASE rule WHEN 1 THEN eq_names WHEN 2 THEN eq_names WHEN 6 THEN coin_names WHEN 8 THEN target
       WHEN 9 THEN label ELSE '' END AS matched_names,
     CASE rule WHEN 4 THEN 'ignore' WHEN 11 THEN 'ignore_or_manual' ELSE 'review' END AS action
   FROM (SELECT *, CASE WHEN length(symbol) = 5 AND symbol LIKE '%Q' THEN 'suffix_nasdaq_bankruptcy_Q'

@@ -237,15 +237,22 @@ UNION SELECT symbol, source, name, exchange FROM b_sec
 UNION SELECT symbol, 'coingecko', name, NULL FROM b_coins WHERE regexp_full_match(symbol, '[A-Z0-9]{{1,5}}')""",
 )
 def json_reference_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three JSON lists written in their published shapes, one document per part, and read back."""
+    """The three JSON lists written in their published shapes and read back.
+
+    Each list is split into documents of about five hundred entries.
+    """
     folder = new_folder(spark, "lists")
-    sec = frame(spark, sf_dir, "b_sec").withColumn("part", F.substring("symbol", 1, 1))
-    coins = frame(spark, sf_dir, "b_coins").withColumn("part", F.col("symbol"))
+
+    def in_documents(df: DataFrame) -> DataFrame:
+        documents = 1 + df.count() // 500
+        return df.withColumn("part", F.pmod(F.xxhash64("symbol", "name"), F.lit(documents)))
+
+    sec = in_documents(frame(spark, sf_dir, "b_sec"))
+    coins = in_documents(frame(spark, sf_dir, "b_coins").distinct())
 
     def write(df: DataFrame, value, path: str) -> str:
-        # one line per file, as each published list is one document
-        docs = df.groupBy("part").agg(value.alias("value")).orderBy("part")
-        docs.select("value").repartition(64, "value").write.option("maxRecordsPerFile", 1).text(path)
+        docs = df.groupBy("part").agg(value.alias("value")).select("value")
+        docs.write.option("maxRecordsPerFile", 1).text(path)
         return path
 
     entries = F.collect_list(F.struct(F.lower("symbol").alias("ticker"), F.col("name").alias("title")))

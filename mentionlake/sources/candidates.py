@@ -23,10 +23,13 @@ def read_review(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_buckets(classified: DataFrame, path: str) -> None:
-    """One folder per bucket, most-tagged candidates first."""
-    ordered = classified.repartition("bucket").sortWithinPartitions(
-        "bucket", classified["cashtag_count"].desc(), "symbol"
-    )
+    """One folder per bucket, most-tagged candidates first.
+
+    Range-partitioned on the whole order, so a bucket with most of the rows is still written by
+    many tasks.
+    """
+    order = ["bucket", classified["cashtag_count"].desc(), "symbol"]
+    ordered = classified.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.write.partitionBy("bucket").csv(path, header=True)
 
 

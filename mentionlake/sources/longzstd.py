@@ -34,7 +34,7 @@ def open_filesystem(path: str):
 
 
 def archive_files(path: str) -> list[str]:
-    """Files behind a path: itself, or everything below a folder, hidden names left out."""
+    """Files behind a path: itself, or everything below a folder except hidden and empty files."""
     from pyarrow import fs
 
     files, inner, prefix = open_filesystem(path)
@@ -45,7 +45,9 @@ def archive_files(path: str) -> list[str]:
         raise FileNotFoundError(path)
     found = files.get_file_info(fs.FileSelector(inner, recursive=True))
     return sorted(
-        prefix + f.path for f in found if f.is_file and not f.base_name.startswith((".", "_"))
+        prefix + f.path
+        for f in found
+        if f.is_file and f.size and not f.base_name.startswith((".", "_"))
     )
 
 

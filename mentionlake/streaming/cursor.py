@@ -84,22 +84,29 @@ class DrainProcessor(StatefulProcessor):
         )
         current = self.primary.get()
         current = current[0] if current else None
+        # a forum drains a handful of threads: read their state once, write it back once
+        before = {k[0]: (pd.Timestamp(v[0]), v[1]) for k, v in self.draining.iterator()}
+        draining = dict(before)
         for poll in log.itertuples():
-            thread = (poll.thread_id,)
+            thread = poll.thread_id
             if poll.is_primary:
-                if current is not None and current != poll.thread_id:
-                    if not self.draining.containsKey((current,)):
-                        self.draining.updateValue((current,), (poll.polled_at, 0))
-                current = poll.thread_id
-            elif self.draining.containsKey(thread) and poll.thread_id != current:
-                started, idle = self.draining.getValue(thread)
+                if current is not None and current != thread:
+                    draining.setdefault(current, (poll.polled_at, 0))
+                current = thread
+            elif thread in draining and thread != current:
+                started, idle = draining[thread]
                 idle = 0 if poll.ingested > 0 else idle + 1
-                age = poll.polled_at.replace(tzinfo=None) - started.replace(tzinfo=None)
-                if idle and (idle >= fixed.DRAIN_IDLE_POLLS or age >= oldest):
-                    self.draining.removeKey(thread)
-                    retired.append((key[0], poll.thread_id, started, poll.polled_at, idle))
+                if idle and (
+                    idle >= fixed.DRAIN_IDLE_POLLS or poll.polled_at - started >= oldest
+                ):
+                    del draining[thread]
+                    retired.append((key[0], thread, started, poll.polled_at, idle))
                 else:
-                    self.draining.updateValue(thread, (started, idle))
+                    draining[thread] = (started, idle)
+        for thread in before.keys() - draining.keys():
+            self.draining.removeKey((thread,))
+        for thread, state in draining.items():
+            self.draining.updateValue((thread,), state)
         if current is not None:
             self.primary.update((current,))
         names = [part.split()[0] for part in DRAIN_SCHEMA.split(", ")]

@@ -2,54 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, functions as F
 
 from mentionlake import fixed_values as fixed
 
-SCHEMA = "id string, pass string, due_from timestamp, due_until timestamp"
 
+def _one_pass(posts: DataFrame, name: str, low: int, high: int, delay_minutes: int) -> DataFrame:
+    """Posts held back until event time reaches the start of their age window.
 
-class PassProcessor(StatefulProcessor):
-    """One timer per pass; the post's state goes when its last pass has fired."""
+    The due time is the event time of the group, so the state store itself releases each post when
+    the watermark gets there. Shifting the delay by the same minutes keeps the watermark that of the
+    creation times.
+    """
+    def later(minutes: int):
+        return F.col("created_utc") + F.make_dt_interval(mins=F.lit(minutes))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.created = handle.getValueState("created", "created_ms bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        created = min(int(r["created_ms"].min()) for r in rows)
-        if not self.created.exists():
-            self.created.update((created,))
-            for low, _ in fixed.COMMENT_PASSES.values():
-                self.handle.registerTimer(created + low * 60_000)
-        yield pd.DataFrame(columns=["id", "pass", "due_from", "due_until"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        created = self.created.get()[0]
-        age = (expiredTimerInfo.getExpiryTimeInMs() - created) // 60_000
-        due = [
-            (key[0], name, pd.Timestamp(created + low * 60_000, unit="ms"),
-             pd.Timestamp(created + high * 60_000, unit="ms"))
-            for name, (low, high) in fixed.COMMENT_PASSES.items()
-            if low == age
-        ]
-        if age >= max(low for low, _ in fixed.COMMENT_PASSES.values()):
-            self.created.clear()
-        yield pd.DataFrame(due, columns=["id", "pass", "due_from", "due_until"])
-
-    def close(self) -> None:
-        pass
-
-
-def due_passes(posts: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Stream of (id, pass, due_from, due_until), emitted once event time reaches ``due_from``."""
-    timed = posts.selectExpr("id", "created_utc", "unix_millis(created_utc) AS created_ms")
+    due = posts.select(
+        "id",
+        F.lit(name).alias("pass"),
+        later(low).alias("due_from"),
+        later(high).alias("due_until"),
+    )
     return (
-        timed.withWatermark("created_utc", delay)
-        .groupBy("id")
-        .transformWithStateInPandas(PassProcessor(), SCHEMA, "Append", "EventTime")
+        due.withWatermark("due_from", f"{low + delay_minutes} minutes")
+        .groupBy("id", "pass", "due_from", "due_until")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .drop("copies")
     )
+
+
+def due_passes(posts: DataFrame, delay_minutes: int = 10) -> DataFrame:
+    """Stream of (id, pass, due_from, due_until), each emitted once, when it becomes due."""
+    parts = [
+        _one_pass(posts, name, low, high, delay_minutes)
+        for name, (low, high) in fixed.COMMENT_PASSES.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
