@@ -14,20 +14,22 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
-def run_available(stream: DataFrame, label: str, checkpoint: str | None = None) -> str:
-    """Process what has arrived, append the output to Parquet files and return their folder."""
-    spark = stream.sparkSession
-    out = new_folder(spark, label)
+def run_available(stream: DataFrame, label: str, folder: str | None = None) -> str:
+    """Process what has arrived, append the output to Parquet files and return where they are.
+
+    ``folder`` keeps output and checkpoint; give the same one again to go on from there.
+    """
+    folder = folder or new_folder(stream.sparkSession, label)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint or new_folder(spark, f"{label}-checkpoint"))
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return out
+    return f"{folder}/rows"
 
 
 def read_output(stream: DataFrame, folder: str) -> DataFrame:
