@@ -15,8 +15,9 @@ MIN_TOKEN_COUNT = 50
 MINE_START_DATE = "2020-01-01"
 SYMBOL_SHAPE = "^[A-Z]{1,5}$"
 WORD_CHARS = r"\p{L}\p{N}\p{M}_"
-CASHTAG = r"\$([A-Za-z]{1,5})(?![" + WORD_CHARS + "])"
-ALL_CAPS = "(?<![" + WORD_CHARS + "])([A-Z]{2,5})(?![" + WORD_CHARS + "])"
+CASHTAG = r"\$([A-Za-z]{1,5}+)(?![" + WORD_CHARS + "])"
+# the look-ahead in front turns most positions away before the dearer look-behind is tried
+ALL_CAPS = "(?=[A-Z]{2})(?<![" + WORD_CHARS + "])([A-Z]{2,5}+)(?![" + WORD_CHARS + "])"
 
 # ---- fixed values: listing files ------------------------------------------------------------
 LISTING_FOOTER = "FILE CREATION TIME"

@@ -7,12 +7,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 NAMES_SHOWN = 5
 
 
-def merge_hits(*lists: DataFrame) -> DataFrame:
-    """Set union of several lists in long form: distinct (symbol, source, name, exchange)."""
+def all_hits(*lists: DataFrame) -> DataFrame:
+    """Rows of several lists one after the other, with trimmed names."""
     rows = lists[0]
     for other in lists[1:]:
         rows = rows.unionByName(other)
-    return rows.withColumn("name", F.nullif(F.trim("name"), F.lit(""))).distinct()
+    return rows.withColumn("name", F.nullif(F.trim("name"), F.lit("")))
+
+
+def merge_hits(*lists: DataFrame) -> DataFrame:
+    """Set union of several lists in long form: distinct (symbol, source, name, exchange)."""
+    return all_hits(*lists).distinct()
 
 
 def first_names(named: DataFrame) -> DataFrame:
@@ -35,6 +40,7 @@ def first_names(named: DataFrame) -> DataFrame:
 def symbol_hits(hits: DataFrame) -> DataFrame:
     """(symbol, sources, exchanges, names): sets as sorted arrays; names cut to those shown.
 
+    Repeated rows do no harm, so ``hits`` may come from ``all_hits``.
     Source tags and exchanges come from short fixed vocabularies, so their sets stay small.
     """
     tags = hits.groupBy("symbol").agg(

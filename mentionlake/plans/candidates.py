@@ -97,8 +97,8 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     coins = frame(spark, sf_dir, "b_coins").filter(F.col("symbol").rlike(r"^[\p{L}\p{N}]{1,5}$"))
     return cl.classify(
         frame(spark, sf_dir, "b_candidates"),
-        equity=hits.symbol_hits(hits.merge_hits(sec, frame(spark, sf_dir, "b_equity"))),
-        sec=hits.symbol_hits(hits.merge_hits(sec)),
+        equity=hits.symbol_hits(hits.all_hits(sec, frame(spark, sf_dir, "b_equity"))),
+        sec=hits.symbol_hits(hits.all_hits(sec)),
         coins=hits.first_names(coins),
         stoplist=frame(spark, sf_dir, "b_stoplist"),
         filings=frame(spark, sf_dir, "b_filings"),

@@ -220,7 +220,7 @@ SELECT symbol, array_to_string(list_sort(list(DISTINCT source)), ';') AS sources
 FROM hit_rows GROUP BY symbol""",
 )
 def set_union_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = hits.merge_hits(frame(spark, sf_dir, "b_sec"), frame(spark, sf_dir, "b_equity"))
+    rows = hits.all_hits(frame(spark, sf_dir, "b_sec"), frame(spark, sf_dir, "b_equity"))
     return hits.symbol_hits(rows).select(
         "symbol",
         hits.joined_sources(F.col("sources")).alias("sources"),
