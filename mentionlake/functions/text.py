@@ -103,3 +103,8 @@ def exchange_name(code: Column) -> Column:
 def lookup(table: dict[str, str], key: Column) -> Column:
     """Value for ``key`` in a small fixed table, else NULL."""
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[key]
+
+
+def one_edit_apart(left: Column, right: Column) -> Column:
+    """Edit distance exactly one: one insertion, deletion or substitution."""
+    return F.levenshtein(left, right, 1) == 1

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mentionlake.operators import mapping, quality
 from mentionlake.operators.keyed_write import insert_ignore
 from mentionlake.operators.layout import PARTITION, append_rows, with_date
+from mentionlake.operators.snapshots import path_exists
 from mentionlake.session import materialize, observe_while
 from mentionlake.sources import jsonl
 
@@ -31,11 +32,6 @@ class LoadStats:
             setattr(self, f.name, getattr(self, f.name) + getattr(other, f.name))
 
 
-def table_exists(spark: SparkSession, table: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def add_rows(rows: DataFrame, table: str) -> int:
     """Append the mapped rows the table does not have yet; returns how many there were.
 
@@ -44,7 +40,7 @@ def add_rows(rows: DataFrame, table: str) -> int:
     spark = rows.sparkSession
     dated = with_date(rows)
     columns = [c for c in dated.columns if c not in jsonl.ORDER]
-    if table_exists(spark, table):
+    if path_exists(spark, table):
         # calendar days, as literals: an anti-join would not prune the table's folders by itself
         days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
         known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))

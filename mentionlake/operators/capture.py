@@ -6,12 +6,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mentionlake import fixed_values as fixed
 from mentionlake.functions import times
+from mentionlake.operators.layout import created_between
 
 
 def comments_per_thread(comments: DataFrame) -> DataFrame:
     return comments.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_comments"))
 
 
+def poll_stats(polls: DataFrame, comments: DataFrame) -> DataFrame:
+    """Poll results with the number of comments the table holds for each polled thread."""
+    counts = comments_per_thread(comments).withColumnRenamed("post_id", "thread_id")
+    held = F.coalesce("n_comments", F.lit(0)).cast("int").alias("comments_in_db_for_thread")
+    return polls.join(counts, "thread_id", "left").select(
+        "event_id",
+        "thread_id",
+        "polled_at",
+        "num_comments_reported",
+        held,
+        "fetched_this_cycle",
+        "was_truncated",
+    )
+
+
+def append_stats(stats: DataFrame, table: str) -> None:
+    """Append to the poll statistics, one folder per UTC day."""
+    dated = stats.withColumn("polled_date", F.to_date("polled_at"))
+    dated.hint("rebalance", "polled_date").write.mode("append").partitionBy("polled_date").parquet(table)
+
+
 def hourly_report(capture: DataFrame, comments: DataFrame, day: str | None = None) -> DataFrame:
     """One row per hour that has comments, snapshots or truncations; all days, or one UTC day.
 
@@ -20,7 +42,11 @@ def hourly_report(capture: DataFrame, comments: DataFrame, day: str | None = Non
     """
     if day:
         capture = capture.filter(times.within_day(F.col("polled_at"), day))
-        comments = comments.filter(times.within_day(F.col("created_utc"), day))
+        if "polled_date" in capture.columns:
+            capture = capture.filter(F.col("polled_date") == F.lit(day).cast("date"))
+        start = F.to_timestamp(F.lit(f"{day} 00:00:00"))
+        in_reach = created_between(comments, start, start + F.make_dt_interval(days=F.lit(1)))
+        comments = in_reach.filter(times.within_day(F.col("created_utc"), day))
     polls = (
         capture.groupBy(F.date_trunc("hour", "polled_at").alias("hour"), "thread_id")
         .agg(

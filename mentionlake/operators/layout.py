@@ -13,6 +13,20 @@ def with_date(rows: DataFrame) -> DataFrame:
     return rows.withColumn(PARTITION, F.to_date("created_utc"))
 
 
+def created_between(
+    rows: DataFrame, low: Column | None = None, high: Column | None = None
+) -> DataFrame:
+    """Rows created within both bounds. A date-partitioned table is told the dates as well: a
+    predicate on the timestamp alone would not prune its folders."""
+    for bound, test in ((low, "__ge__"), (high, "__le__")):
+        if bound is None:
+            continue
+        rows = rows.filter(getattr(F.col("created_utc"), test)(bound))
+        if PARTITION in rows.columns:
+            rows = rows.filter(getattr(F.col(PARTITION), test)(F.to_date(bound)))
+    return rows
+
+
 def _clustered(rows: DataFrame) -> DataFrame:
     """Rows brought together by date, split again where a date is large, sorted for skipping."""
     return rows.hint("rebalance", PARTITION).sortWithinPartitions(

@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from mentionlake import fixed_values as fixed
 from mentionlake.functions import text as tx
+from mentionlake.operators.layout import created_between
 
 
 def since(df: DataFrame, start_date: str) -> DataFrame:
-    """Rows created on or after a UTC date, naming the partition column too so folders are pruned."""
-    keep = F.col("created_utc") >= F.to_timestamp(F.lit(f"{start_date} 00:00:00"))
-    if "created_date" in df.columns:
-        keep = keep & (F.col("created_date") >= F.lit(start_date).cast("date"))
-    return df.filter(keep)
+    """Rows created on or after a UTC date."""
+    return created_between(df, F.to_timestamp(F.lit(f"{start_date} 00:00:00")))
 
 
 def tagged_tokens(texts: DataFrame) -> DataFrame:

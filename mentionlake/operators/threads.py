@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mentionlake import fixed_values as fixed
 from mentionlake.functions import text as tx, times
+from mentionlake.operators.layout import created_between
 
 
 def at_or_after(created: Column, cursor: Column) -> Column:
@@ -70,7 +71,8 @@ def bounded_fetch(
 def daily_thread(hot_posts: DataFrame) -> DataFrame:
     """Per sub-forum, the first stickied daily thread among its hottest posts.
 
-    ``hot_posts`` has ``hot_rank`` (1 = hottest), ``stickied``, ``title``, ``subreddit``, ``id``.
+    ``hot_posts`` has ``hot_rank`` (smallest = hottest, ties by id), ``stickied``, ``title``,
+    ``subreddit``, ``id``.
     """
     w = Window.partitionBy("subreddit").orderBy("hot_rank", "id")
     hottest = hot_posts.withColumn("_rn", F.row_number().over(w)).filter(
@@ -115,7 +117,7 @@ def posts_due(
         return now - F.make_dt_interval(mins=minutes)
 
     created = F.col("created_utc")
-    in_reach = posts.filter(created.between(before(F.lit(oldest)), before(F.lit(newest))))
+    in_reach = created_between(posts, before(F.lit(oldest)), before(F.lit(newest)))
     due = in_reach.select("*", F.inline(windows)).filter(
         created.between(before(F.col("high")), before(F.col("low")))
     )

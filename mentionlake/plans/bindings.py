@@ -119,8 +119,7 @@ FROM {events}""",
     "b_hot_posts": """
 SELECT id, subreddit, CASE num_comments % 4 WHEN 0 THEN concat('Daily Discussion Thread ', id)
     WHEN 1 THEN 'What Are Your MOVES Tomorrow' WHEN 2 THEN 'weekend moves for you' ELSE title END AS title,
-  num_comments % 3 = 0 AS stickied,
-  row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, id) AS hot_rank
+  num_comments % 3 = 0 AS stickied, 100 - score AS hot_rank
 FROM b_posts""",
     "b_cursors": """
 SELECT post_id, CASE WHEN turns % 4 = 0 THEN NULL ELSE started + INTERVAL 25 MINUTE

@@ -170,7 +170,7 @@ def promotion(spark: SparkSession, sf_dir: str) -> pr.Promotion:
         {"cashtag_count": F.lit(1).cast("bigint"), "allcaps_count": F.col("total_count")}
     )
     listings = merged_listings(spark, sf_dir)
-    names = first_wins(universe.name_rows(listings), ["normalized_name"], ["line_no"])
+    names = first_wins(universe.name_rows(listings), ["normalized_name"], ["group_rank", "line_no"])
     return pr.promote(
         rows.filter("bucket = 'confirmed'"),
         foreign,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionlake.operators import layout
+from mentionlake.operators import layout, snapshots
 from mentionlake.plans import threads as th
 from mentionlake.plans.bindings import BINDINGS, ctes, frame, spark_sql, tables_in
 from mentionlake.plans.corpus import EVERY_FORUM, MAPPED_COMMENTS, comment_lines
@@ -93,7 +93,7 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for table in tables_in(BINDINGS[name]):
         path = f"{sf_dir}/{table}.parquet"
         reader = spark.readStream.schema(spark.read.parquet(path).schema)
-        if jobs.is_folder(spark, path):
+        if snapshots.is_folder(spark, path):
             df = reader.parquet(path)
         else:
             df = reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mentionlake.operators import capture, ingest_rates, polling, threads
 from mentionlake.plans.bindings import ctes, frame
 from mentionlake.plans.registry import query
+from mentionlake.session import new_folder
 
 HOURS = """
 polls AS (
@@ -80,6 +81,23 @@ def thread_comment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture.comments_per_thread(frame(spark, sf_dir, "b_comments"))
 
 
+@query(
+    "record_stats",
+    f"""WITH {ctes('b_capture', 'b_event_comments')},
+held AS (SELECT post_id, count(*) AS n FROM b_event_comments GROUP BY post_id)
+SELECT event_id, c.thread_id, polled_at, num_comments_reported,
+  CAST(coalesce(n, 0) AS INT) AS comments_in_db_for_thread, fetched_this_cycle, was_truncated
+FROM b_capture AS c LEFT JOIN held ON post_id = c.thread_id""",
+)
+def record_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every poll with its thread's comment count, appended to the statistics table."""
+    table = new_folder(spark, "stats")
+    polls = frame(spark, sf_dir, "b_capture").drop("comments_in_db_for_thread")
+    stats = capture.poll_stats(polls, frame(spark, sf_dir, "b_event_comments"))
+    capture.append_stats(stats, table)
+    return spark.read.parquet(table).drop("polled_date")
+
+
 @query(
     "tree_since_cursor",
     f"""WITH {ctes('b_tree', 'b_cursors')},
@@ -115,8 +133,9 @@ def bounded_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     "daily_thread_pick",
     f"""WITH {ctes('b_hot_posts')}
 SELECT subreddit, id, title, hot_rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY hot_rank) AS rn FROM b_hot_posts
-  WHERE hot_rank <= 15 AND stickied
+  SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY place) AS rn FROM (
+    SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY hot_rank, id) AS place FROM b_hot_posts)
+  WHERE place <= 15 AND stickied
     AND regexp_matches(coalesce(title, ''), '(daily discussion|what are your moves|moves for)', 'i'))
 WHERE rn = 1""",
 )

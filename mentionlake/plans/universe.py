@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mentionlake import jobs
 from mentionlake.functions import text as tx
-from mentionlake.operators import hits, universe
+from mentionlake.operators import hits, snapshots, universe
 from mentionlake.operators.keyed_write import first_wins
 from mentionlake.plans.bindings import ctes, frame
 from mentionlake.plans.registry import query
@@ -156,8 +157,9 @@ def tickers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 NAMES = f"""
 names AS (
   SELECT normalized_name, symbol FROM (
-    SELECT normalized_name, symbol, row_number() OVER (PARTITION BY normalized_name ORDER BY line_no) AS rn
-    FROM (SELECT symbol, line_no, {normalized('name')} AS normalized_name FROM merged))
+    SELECT normalized_name, symbol, row_number() OVER (PARTITION BY normalized_name
+      ORDER BY CASE WHEN exchange = 'NASDAQ' THEN 0 ELSE 1 END, line_no) AS rn
+    FROM (SELECT symbol, exchange, line_no, {normalized('name')} AS normalized_name FROM merged))
   WHERE rn = 1 AND normalized_name <> '')"""
 
 
@@ -174,7 +176,7 @@ def ticker_names_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_part = part.select(F.lower("p_name").alias("normalized_name")).distinct()
     by_lang = frame(spark, sf_dir, "b_tickers").select(F.lower("symbol").alias("normalized_name"))
     old = by_part.unionByName(by_lang).withColumn("symbol", F.lit("OLD"))
-    return universe.upsert_ticker_names(old, merged_listings(spark, sf_dir), ["line_no"])
+    return universe.upsert_ticker_names(old, merged_listings(spark, sf_dir), ["group_rank", "line_no"])
 
 
 @query(
@@ -200,7 +202,7 @@ JOIN words AS w ON lower(c.symbol) = w.normalized_name""",
 def name_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names cut to their first word, so that one-word names exist in these tables."""
     rows = universe.name_rows(merged_listings(spark, sf_dir))
-    named = first_wins(rows, ["normalized_name"], ["line_no"])
+    named = first_wins(rows, ["normalized_name"], ["group_rank", "line_no"])
     first_word = F.split_part("normalized_name", F.lit(" "), F.lit(1))
     words = named.groupBy(first_word.alias("normalized_name")).agg(F.max("symbol").alias("symbol"))
     return universe.single_word_aliases(frame(spark, sf_dir, "b_candidates"), words)
@@ -278,3 +280,31 @@ def json_reference_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     ]
     return hits.merge_hits(*parts)
+
+
+@query(
+    "universe_load",
+    f"""WITH {ctes('b_listings')}, {MERGED}, {NAMES}
+SELECT 'ticker' AS kind, symbol, name AS value, exchange, is_etf FROM merged
+UNION ALL SELECT 'name', symbol, normalized_name, '', false FROM names""",
+)
+def universe_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both directories loaded into the versioned tables, twice: the second load changes nothing."""
+    folder = new_folder(spark, "universe")
+    nasdaq, other = write_directories(frame(spark, sf_dir, "b_listings"), f"{folder}/listings")
+    tables = jobs.UniverseTables(f"{folder}/tickers", f"{folder}/names")
+    for _ in range(2):
+        jobs.load_universe(spark, nasdaq, other, tables)
+    tickers = snapshots.read(spark, tables.tickers, jobs.TICKERS)
+    names = snapshots.read(spark, tables.names, jobs.NAMES)
+    return tickers.select(
+        F.lit("ticker").alias("kind"), "symbol", F.col("name").alias("value"), "exchange", "is_etf"
+    ).unionByName(
+        names.select(
+            F.lit("name").alias("kind"),
+            "symbol",
+            F.col("normalized_name").alias("value"),
+            F.lit("").alias("exchange"),
+            F.lit(False).alias("is_etf"),
+        )
+    )

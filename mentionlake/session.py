@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -41,18 +42,22 @@ def build_session(app: str = "mentionlake", master: str | None = None, **conf: s
     return prepare(builder.getOrCreate())
 
 
+@cache
+def _private_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="mentionlake-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one in ``spark.checkpoint.dir``.
 
     A private temporary folder is only used by a local session that names none.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="mentionlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _private_dir(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -14,6 +14,11 @@ CLASSIFIED_SCHEMA = (
 )
 
 
+def write_rows(rows: DataFrame, path: str) -> None:
+    """Kept or dropped candidates as one CSV folder."""
+    rows.write.csv(path, header=True)
+
+
 def write_review(candidates: DataFrame, path: str) -> None:
     candidates.write.csv(path, header=True)
 

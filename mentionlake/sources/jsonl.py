@@ -31,7 +31,7 @@ def _zstd(spark: SparkSession, files: list[str], spread: int | None) -> DataFram
         "file", F.lit(0).cast("bigint").alias("block"), "line", "value"
     )
     # one file is one task: hand the lines out before anything is parsed
-    return df.repartition(spread) if spread else df
+    return df.repartition(spread, "line") if spread else df
 
 
 def list_files(paths: Sequence[str]) -> list[tuple[int, str]]:

@@ -9,11 +9,6 @@ from mentionlake.operators import archive, ingest_rates, quality
 from mentionlake.session import new_folder
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
-
-
 def run_available(stream: DataFrame, label: str, folder: str | None = None) -> str:
     """Process what has arrived, append the output to Parquet files and return where they are.
 
