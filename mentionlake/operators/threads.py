@@ -18,29 +18,45 @@ def collect_since(comments: DataFrame, cursors: DataFrame, max_depth: int = 2) -
     """Comments at or after their thread's cursor, down to ``max_depth`` replies.
 
     A reply counts by its own time: it is kept under an older parent as long as its top-level
-    comment is no older than the grace period before the cursor. One self-join per level.
+    comment is no older than the grace period before the cursor. Only the comments since the cursor
+    climb towards their top-level comment, one equi-join per level; those that have arrived carry a
+    key of their own that matches nothing, so they stay spread out.
     """
     rows = comments.select("id", "parent_id", "post_id", "created_utc")
-    tops = rows.filter(F.col("parent_id") == F.col("post_id")).join(
-        cursors.select("post_id", "cursor_utc"), "post_id"
+    is_top = F.col("parent_id") == F.col("post_id")
+    climbing = (
+        rows.join(cursors.select("post_id", "cursor_utc"), "post_id")
+        .filter(at_or_after(F.col("created_utc"), F.col("cursor_utc")))
+        .withColumns(
+            {
+                "depth": F.when(is_top, 0),
+                "top_created": F.when(is_top, F.col("created_utc")),
+                "up": F.when(~is_top, F.col("parent_id")),
+            }
+        )
     )
-    level = tops.filter(
-        at_or_after(F.col("created_utc"), times.reply_grace_floor(F.col("cursor_utc")))
-    ).select("id", "post_id", "created_utc", "cursor_utc", F.lit(0).alias("depth"))
-    replies = rows.filter(F.col("parent_id") != F.col("post_id")).select(
-        F.col("id").alias("reply_id"), "parent_id", F.col("created_utc").alias("reply_created")
+    parents = rows.select(
+        F.col("id").alias("up"),
+        F.col("parent_id").alias("next_up"),
+        F.col("created_utc").alias("up_created"),
+        is_top.alias("up_is_top"),
     )
-    found = level
     for depth in range(1, max_depth + 1):
-        level = level.join(replies, level["id"] == replies["parent_id"]).select(
-            F.col("reply_id").alias("id"),
+        keyed = climbing.withColumn("up", F.coalesce("up", F.concat(F.lit("#"), "id")))
+        arrived = F.coalesce("up_is_top", F.lit(False))
+        climbing = keyed.join(parents, "up", "left").select(
+            "id",
             "post_id",
-            F.col("reply_created").alias("created_utc"),
+            "created_utc",
             "cursor_utc",
-            F.lit(depth).alias("depth"),
+            F.coalesce("depth", F.when(arrived, depth)).alias("depth"),
+            F.coalesce("top_created", F.when(arrived, F.col("up_created"))).alias("top_created"),
+            F.when(~arrived, F.col("next_up")).alias("up"),
         )
-        found = found.unionByName(level)
-    return found.filter(at_or_after(F.col("created_utc"), F.col("cursor_utc"))).drop("cursor_utc")
+    in_grace = at_or_after(F.col("top_created"), times.reply_grace_floor(F.col("cursor_utc")))
+    return climbing.filter(F.col("depth").isNotNull() & in_grace).select(
+        "id", "post_id", "created_utc", "depth"
+    )
 
 
 def bounded_fetch(
