@@ -39,6 +39,9 @@ HEADLINE = [
     "cursor_replay",
     "heartbeat_hourly",
     "layout_write",
+    "archive_load",
+    "promote",
+    "cursor_stream",
 ]
 
 

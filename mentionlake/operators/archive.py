@@ -1,9 +1,10 @@
-"""The archive load as a job: lines to raw tables with counters."""
+"""The archive load as a job: lines to raw tables with counters and quarantine."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,11 +12,10 @@ from mentionlake.operators import mapping, quality
 from mentionlake.operators.keyed_write import insert_ignore
 from mentionlake.operators.layout import PARTITION, append_rows, with_date
 from mentionlake.operators.snapshots import path_exists
-from mentionlake.session import materialize, observe_while
+from mentionlake.session import materialize
 from mentionlake.sources import jsonl
 
 KEYS = ["id", "created_utc"]
-_MAPPERS = {"posts": mapping.map_posts, "comments": mapping.map_comments}
 
 
 @dataclass
@@ -32,50 +32,73 @@ class LoadStats:
             setattr(self, f.name, getattr(self, f.name) + getattr(other, f.name))
 
 
-def add_rows(rows: DataFrame, table: str) -> int:
-    """Append the mapped rows the table does not have yet; returns how many there were.
-
-    ``rows`` should be a staged table: it is read for the touched dates and for the rows.
-    """
-    spark = rows.sparkSession
-    dated = with_date(rows)
-    columns = [c for c in dated.columns if c not in jsonl.ORDER]
-    if path_exists(spark, table):
-        # calendar days, as literals: an anti-join would not prune the table's folders by itself
-        days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
-        known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
-    else:
-        known = spark.createDataFrame([], dated.select(*KEYS, PARTITION).schema)
-    fresh = insert_ignore(known, dated, KEYS, jsonl.ORDER).select(*columns)
-    rows_written = F.count(F.lit(1)).alias("rows")
-    seen, _ = observe_while(fresh, [rows_written], lambda df: append_rows(df, table))
-    return seen["rows"]
-
-
 def classify_lines(lines: DataFrame, kind: str, wanted: quality.LoadFilter) -> DataFrame:
     """Lines of one kind with their document and status."""
     parsed = quality.parse_lines(lines).withColumn("kind", F.lit(kind))
     return quality.with_status(parsed, wanted)
 
 
-def stage(classified: DataFrame, kind: str) -> tuple[DataFrame, LoadStats]:
-    """Mapped rows written to the shared folder, with the counters taken on the way.
+def stage(classified: DataFrame, kind: str) -> DataFrame:
+    """Every line's status, the mapped row of matched ones and the text of malformed ones, written
+    to the shared folder.
 
-    Everything after this reads columns; the lines are parsed once.
+    The lines are parsed once, for this; counters, quarantine and rows all come from these columns.
     """
+    is_matched, is_malformed = F.col("status") == "matched", F.col("status") == "malformed"
+    return materialize(
+        classified.select(
+            *jsonl.ORDER,
+            "status",
+            F.when(is_matched, F.struct(*mapping.COLUMNS[kind]())).alias("row"),
+            F.when(is_malformed, F.col("value")).alias("rejected"),
+        ),
+        f"load-{kind}",
+    )
+
+
+def staged_rows(staged: DataFrame) -> DataFrame:
+    return staged.filter("status = 'matched'").select("row.*", *jsonl.ORDER)
+
+
+def quarantined(staged: DataFrame) -> DataFrame:
+    """Malformed lines with their place of origin."""
+    return staged.filter("status = 'malformed'").select("file", "block", "line", "rejected")
+
+
+def counted(staged: DataFrame) -> LoadStats:
     def having(status: str):
         return F.count_if(F.col("status") == status)
 
-    counters = [
+    row = staged.agg(
         F.count(F.lit(1)).alias("read"),
         having("matched").alias("matched"),
         having("malformed").alias("skipped_malformed"),
         having("filtered").alias("skipped_filter"),
-    ]
-    seen, rows = observe_while(
-        classified, counters, lambda df: materialize(_MAPPERS[kind](df), f"load-{kind}")
-    )
-    return rows, LoadStats(**seen)
+    ).first()
+    return LoadStats(**row.asDict())
+
+
+def add_rows(rows: DataFrame, table: str) -> int:
+    """Append the mapped rows the table does not have yet; returns how many there were.
+
+    ``rows`` should be staged: it is read for the touched dates and for the rows. The new rows are
+    counted in the table itself, by their load time, which is constant in a file and so skips all
+    others.
+    """
+    spark = rows.sparkSession
+    loaded_at = F.lit(datetime.now(timezone.utc))
+    dated = with_date(rows)
+    columns = [c for c in dated.columns if c not in jsonl.ORDER]
+    # calendar days, as literals: an anti-join would not prune the table's folders by itself
+    days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
+    if path_exists(spark, table):
+        known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
+    else:
+        known = spark.createDataFrame([], dated.select(*KEYS).schema)
+    fresh = insert_ignore(known, dated, KEYS, jsonl.ORDER).select(*columns)
+    append_rows(fresh.withColumn("ingested_at", loaded_at), table)
+    written = spark.read.schema(f"ingested_at timestamp, {PARTITION} date").parquet(table)
+    return written.filter(F.col(PARTITION).isin(days) & (F.col("ingested_at") == loaded_at)).count()
 
 
 def load_archive(
@@ -86,27 +109,32 @@ def load_archive(
     kind: str = "auto",
     wanted: quality.LoadFilter = quality.LoadFilter(),
     spread: int | None = None,
+    quarantine: str | None = None,
 ) -> LoadStats:
     """Load dump files into ``tables`` ({"posts": path, "comments": path}) and count.
 
     Files are sorted by kind first (only their heads are read), then each kind is one job.
+    ``quarantine`` is a folder that malformed lines are appended to.
     """
     files = jsonl.list_files(paths)
     kinds = {name: kind for _, name in files}
     if kind == "auto":
         # one short row per file the driver has just listed
         kinds = dict(quality.file_kinds(jsonl.read_heads(spark, files)).toLocalIterator())
-        empty = [name for _, name in files if name not in kinds]
-        if empty:
-            raise ValueError(f"cannot tell the kind of files without an object: {empty[:3]}")
+        untold = [name for _, name in files if name not in kinds]
+        if untold:
+            raise ValueError(f"cannot tell the kind of files without an object: {untold[:3]}")
     total = LoadStats()
-    for name in _MAPPERS:
+    for name in mapping.COLUMNS:
         chosen = [f for f in files if kinds[f[1]] == name]
         if not chosen:
             continue
         lines = jsonl.read_files(spark, chosen, spread=spread)
-        rows, stats = stage(classify_lines(lines, name, wanted), name)
+        staged = stage(classify_lines(lines, name, wanted), name)
+        stats = counted(staged)
         stats.files = len(chosen)
-        stats.inserted = add_rows(rows, tables[name])
+        stats.inserted = add_rows(staged_rows(staged), tables[name])
+        if quarantine:
+            quarantined(staged).write.mode("append").parquet(quarantine)
         total.merge(stats)
     return total

@@ -18,49 +18,54 @@ def fullname(doc: Column, prefix: str) -> Column:
     return F.coalesce(name, prefixed)
 
 
-def _matched(classified: DataFrame, kind: str) -> DataFrame:
-    return classified.filter((F.col("status") == "matched") & (F.col("kind") == kind))
-
-
 def _common(doc: Column) -> dict[str, Column]:
     return {
         "subreddit": F.lower(F.coalesce(text_at(doc, "subreddit"), F.lit(""))),
         "author": tx.archive_author(text_at(doc, "author")),
         "score": F.try_variant_get(doc, "$.score", "int"),
+        "created_utc": F.col("created_utc"),
+        "raw": doc,
     }
 
 
-def map_comments(classified: DataFrame) -> DataFrame:
+def comment_columns() -> list[Column]:
     doc = F.col("doc")
-    common = _common(doc)
-    return _matched(classified, "comments").select(
-        fullname(doc, "t1_").alias("id"),
-        text_at(doc, "link_id").alias("post_id"),
-        common["subreddit"].alias("subreddit"),
-        common["author"].alias("author"),
-        text_at(doc, "body").alias("body"),
-        common["score"].alias("score"),
-        "created_utc",
-        doc.alias("raw"),
-        *ORDER,
-    )
+    columns = {
+        "id": fullname(doc, "t1_"),
+        "post_id": text_at(doc, "link_id"),
+        "body": text_at(doc, "body"),
+        **_common(doc),
+    }
+    return [c.alias(name) for name, c in columns.items()]
 
 
-def map_posts(classified: DataFrame) -> DataFrame:
+def post_columns() -> list[Column]:
     doc = F.col("doc")
-    common = _common(doc)
-    return _matched(classified, "posts").select(
-        fullname(doc, "t3_").alias("id"),
-        common["subreddit"].alias("subreddit"),
-        common["author"].alias("author"),
-        text_at(doc, "title").alias("title"),
-        text_at(doc, "selftext").alias("selftext"),
-        common["score"].alias("score"),
-        F.try_variant_get(doc, "$.num_comments", "int").alias("num_comments"),
-        "created_utc",
-        doc.alias("raw"),
-        *ORDER,
-    )
+    columns = {
+        "id": fullname(doc, "t3_"),
+        "title": text_at(doc, "title"),
+        "selftext": text_at(doc, "selftext"),
+        "num_comments": F.try_variant_get(doc, "$.num_comments", "int"),
+        **_common(doc),
+    }
+    return [c.alias(name) for name, c in columns.items()]
+
+
+COLUMNS = {"posts": post_columns, "comments": comment_columns}
+
+
+def map_rows(classified: DataFrame, kind: str) -> DataFrame:
+    """Matched lines of one kind as rows of its raw table, with their place in the load."""
+    matched = classified.filter((F.col("status") == "matched") & (F.col("kind") == kind))
+    return matched.select(*COLUMNS[kind](), *ORDER)
+
+
+def map_comments(classified: DataFrame) -> DataFrame:
+    return map_rows(classified, "comments")
+
+
+def map_posts(classified: DataFrame) -> DataFrame:
+    return map_rows(classified, "posts")
 
 
 def payload_staleness(rows: DataFrame) -> DataFrame:

@@ -96,10 +96,3 @@ def load_counts(classified: DataFrame) -> DataFrame:
     return one_row_per_file.rollup("file").agg(
         F.count(F.lit(1)).alias("files"), *[F.sum(c).alias(c) for c in counters]
     )
-
-
-def quarantine(classified: DataFrame) -> DataFrame:
-    """Malformed lines with their place of origin, to be written next to the load."""
-    return classified.filter(F.col("status") == "malformed").select(
-        "file", "block", "line", "value"
-    )

@@ -25,13 +25,12 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def date_table(spark: SparkSession, sf_dir: str, appends: int = 1) -> DataFrame:
-    """Events as a date-partitioned table, written in as many loads as asked."""
+def date_table(spark: SparkSession, sf_dir: str, *loads: tuple[int, int]) -> DataFrame:
+    """Events as a date-partitioned table, written in one load per given range of hours."""
     path = new_folder(spark, "table")
     rows = event_rows(spark, sf_dir)
-    for i in range(appends):
-        part = rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(appends)) == i)
-        layout.append_rows(part, path)
+    for first, last in loads or [(0, 23)]:
+        layout.append_rows(rows.filter(F.hour("created_utc").between(first, last)), path)
     return layout.read_table(spark, path)
 
 
@@ -50,13 +49,14 @@ def layout_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "compact_partitions",
-    f"""SELECT CAST(ts AS DATE) AS created_date, count(*) AS rows,
-  CASE WHEN CAST(ts AS DATE) < DATE '{TODAY}' - INTERVAL 7 DAY THEN 1 ELSE 3 END AS files
-FROM events GROUP BY 1, 3""",
+    f"""SELECT created_date, CAST(sum(n) AS BIGINT) AS rows,
+  CASE WHEN created_date < DATE '{TODAY}' - INTERVAL 7 DAY THEN 1 ELSE count(*) END AS files
+FROM (SELECT CAST(ts AS DATE) AS created_date, floor(extract(hour FROM ts) / 8.0) AS load, count(*) AS n
+  FROM events GROUP BY 1, 2) GROUP BY 1""",
 )
 def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table of three loads; after compaction old dates have one file each, young ones three."""
-    table = date_table(spark, sf_dir, appends=3)
+    """A table of three loads a day; after compaction old dates have one file, young ones up to three."""
+    table = date_table(spark, sf_dir, (0, 7), (8, 15), (16, 23))
     today, target = F.lit(TODAY).cast("date"), new_folder(spark, "compacted")
     layout.compact(table, today, target)
     parts = layout.compacted_parts(table, today, target)
@@ -66,21 +66,18 @@ def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "partition_report",
-    """WITH days AS (SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n FROM events GROUP BY 1, 2),
-tables AS (SELECT 'events' AS table_name, d, sum(n) AS n FROM days GROUP BY d
-  UNION ALL SELECT 'errors', d, sum(n) FROM days WHERE event_type = 'error' AND n % 2 = 0 GROUP BY d)
+    """WITH tables AS (
+  SELECT 'events' AS table_name, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 2
+  UNION ALL SELECT 'weekdays', CAST(ts AS DATE), count(*) FROM events
+  WHERE extract(isodow FROM ts) <= 5 GROUP BY 2)
 SELECT table_name, CAST(sum(n) AS BIGINT) AS rows, count(*) AS nonempty_days,
   date_diff('day', min(d), max(d)) + 1 - count(*) AS empty_days FROM tables GROUP BY table_name""",
 )
 def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Occupancy of the event table and of one that lacks some days. Sizes are left out."""
-    table = date_table(spark, sf_dir)
-    daily = table.filter("subreddit = 'error'").groupBy("created_date").agg(F.count(F.lit(1)).alias("n"))
-    even = daily.filter("n % 2 = 0").select("created_date")
-    path = new_folder(spark, "table")
-    errors = table.filter("subreddit = 'error'").join(even, "created_date", "left_semi")
-    layout.append_rows(errors, path)
-    tables = {"events": table, "errors": layout.read_table(spark, path)}
+    """Occupancy of the event table and of one that has no weekends. Sizes are left out."""
+    table, path = date_table(spark, sf_dir), new_folder(spark, "table")
+    layout.append_rows(table.filter("weekday(created_date) < 5"), path)
+    tables = {"events": table, "weekdays": layout.read_table(spark, path)}
     return layout.occupancy(tables).drop("bytes")
 
 
@@ -130,7 +127,7 @@ def stream_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, f"{base}/dumps", f"{base}/table", f"{base}/checkpoint",
             kind="comments", wanted=EVERY_FORUM,
         )
-    return spark.read.parquet(f"{base}/table").drop("raw", layout.PARTITION)
+    return spark.read.parquet(f"{base}/table").drop("raw", "ingested_at", layout.PARTITION)
 
 
 @query("cursor_stream", th.REPLAY)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # SQL settings the operators rely on. Sizing (shuffle partitions, memory) stays with the cluster.
 RUNTIME_SETTINGS = {
@@ -68,33 +67,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Used where rows carry a value that a re-run could assign differently (a range-partition number,
-    an observed count), so that losing an executor afterwards cannot change the result.
+    Used where rows carry a value that a re-run could assign differently (a range-partition number)
+    or are used more than once after expensive work. What is read afterwards is committed files, so
+    losing an executor cannot change the result.
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def observe_while(
-    df: DataFrame, metrics: list[Column], action: Callable[[DataFrame], object]
-) -> tuple[dict, object]:
-    """Run ``action`` on ``df`` and return the metrics taken on the way, with the action's result.
-
-    A plan that adaptive execution finds to be empty would be dropped together with its metrics, so
-    that rule is off while the action runs.
-    """
-    conf, rules = df.sparkSession.conf, "spark.sql.adaptive.optimizer.excludedRules"
-    before = conf.get(rules, None)
-    conf.set(rules, "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation")
-    try:
-        seen = Observation()
-        result = action(df.observe(seen, *metrics))
-        return seen.get, result
-    finally:
-        conf.unset(rules) if before is None else conf.set(rules, before)
-
-
 def small_side(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` when its known row count is within the limit; else leave the join to AQE."""
     return F.broadcast(df) if rows <= limit else df

@@ -56,8 +56,8 @@ def ingest_lines(
         placed = batch.withColumns(
             {"source_rank": F.lit(0), "line": F.monotonically_increasing_id()}
         )
-        rows, _ = archive.stage(archive.classify_lines(placed, kind, wanted), kind)
-        archive.add_rows(rows, table)
+        staged = archive.stage(archive.classify_lines(placed, kind, wanted), kind)
+        archive.add_rows(archive.staged_rows(staged), table)
 
     query = (
         lines.writeStream.foreachBatch(load)

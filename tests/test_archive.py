@@ -4,7 +4,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from mentionlake.operators import archive, quality
+from mentionlake.operators import archive, mapping, quality
 from mentionlake.sources import jsonl
 
 IN_MAY = 1714521600 + 86400  # 2 May 2024
@@ -58,7 +58,9 @@ def load(spark, paths, out, **options):
 
 def test_counts_and_second_load(spark, dump, tmp_path):
     path = dump(LINES)
-    first = load(spark, [path], tmp_path)
+    first = load(spark, [path], tmp_path, quarantine=f"{tmp_path}/bad")
+    bad = spark.read.parquet(f"{tmp_path}/bad").collect()
+    assert [(r.file, r.rejected) for r in bad] == [(path, LINES[10])]
     assert (first.read, first.skipped_malformed, first.skipped_filter) == (11, 1, 2)
     assert (first.matched, first.inserted, first.files) == (8, 8, 1)
     again = load(spark, [path], tmp_path)
@@ -158,6 +160,6 @@ def test_counters_per_file(spark):
 def test_each_line_is_parsed_once(spark):
     rows = spark.createDataFrame([("f", LINES[0])], "file string, value string")
     rows = rows.withColumns({"source_rank": F.lit(0), "block": F.lit(0), "line": F.lit(0)})
-    mapped = archive._MAPPERS["comments"](archive.classify_lines(rows, "comments", WANTED))
+    mapped = mapping.map_comments(archive.classify_lines(rows, "comments", WANTED))
     plan = mapped._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("parsejson") + plan.count("parse_json") == 1, plan
