@@ -9,8 +9,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionlake.operators import mapping, quality
-from mentionlake.operators.keyed_write import insert_ignore
-from mentionlake.operators.layout import PARTITION, append_rows, with_date
+from mentionlake.operators.keyed_write import insert_ignore, upsert_mutable
+from mentionlake.operators.layout import PARTITION, append_rows, overwrite_dates, with_date
 from mentionlake.operators.snapshots import path_exists
 from mentionlake.session import materialize
 from mentionlake.sources import jsonl
@@ -101,6 +101,23 @@ def add_rows(rows: DataFrame, table: str) -> int:
     return written.filter(F.col(PARTITION).isin(days) & (F.col("ingested_at") == loaded_at)).count()
 
 
+def upsert_rows(
+    polled: DataFrame, table: str, mutable: Sequence[str], order: Sequence[str]
+) -> None:
+    """Add polled rows to a raw table; of rows it has, only the mutable columns change.
+
+    Posts take over score and num_comments, comments take over score. Only the dates that were
+    polled are read and rewritten.
+    """
+    spark = polled.sparkSession
+    dated = with_date(polled).withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
+    dated = materialize(dated, "polled")
+    days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
+    known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
+    merged = upsert_mutable(known, dated, KEYS, mutable, order)
+    overwrite_dates(materialize(merged, "merged"), table)
+
+
 def load_archive(
     spark: SparkSession,
     paths: Sequence[str],

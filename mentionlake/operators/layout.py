@@ -43,6 +43,13 @@ def append_rows(rows: DataFrame, table: str) -> None:
     ).parquet(table)
 
 
+def overwrite_dates(rows: DataFrame, table: str) -> None:
+    """Replace the dates that ``rows`` has, and only those. ``rows`` must not be read from ``table``:
+    stage them first, so that a failed write can be repeated."""
+    writer = _clustered(rows).write.mode("overwrite").option("compression", "zstd")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(table)
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table)
 

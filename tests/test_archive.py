@@ -163,3 +163,20 @@ def test_each_line_is_parsed_once(spark):
     mapped = mapping.map_comments(archive.classify_lines(rows, "comments", WANTED))
     plan = mapped._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("parsejson") + plan.count("parse_json") == 1, plan
+
+
+def test_polled_rows_change_only_mutable_columns(spark, dump, tmp_path):
+    lines = [json.dumps(comment(i)) for i in (1, 2)] + [json.dumps(comment(3, created_utc=IN_MAY + 5 * 86400))]
+    load(spark, [dump(lines)], tmp_path)
+    table = f"{tmp_path}/comments"
+    before = {r.id: r for r in spark.read.parquet(table).collect()}
+    polled = [json.dumps(comment(1, score=50, body="edited")), json.dumps(comment(9, score=7))]
+    rows = spark.createDataFrame([("f", p, i) for i, p in enumerate(polled)], "file string, value string, line long")
+    rows = rows.withColumns({"source_rank": F.lit(0), "block": F.lit(0).cast("long")})
+    mapped = mapping.map_comments(archive.classify_lines(rows, "comments", WANTED))
+    archive.upsert_rows(mapped, table, ["score"], ["line"])
+    after = {r.id: r for r in spark.read.parquet(table).collect()}
+    assert {k: r.score for k, r in after.items()} == {"t1_c1": 50, "t1_c2": 2, "t1_c3": 3, "t1_c9": 7}
+    assert after["t1_c1"].body == "text 1"
+    assert after["t1_c1"].ingested_at == before["t1_c1"].ingested_at
+    assert after["t1_c9"].ingested_at > before["t1_c1"].ingested_at
