@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mentionlake.operators import classify as cl
 from mentionlake.operators.keyed_write import first_wins
 from mentionlake.operators.universe import new_corpus_names, new_corpus_tickers
+from mentionlake.session import materialize
 
 
 
@@ -70,52 +71,60 @@ def promote(
     tickers: DataFrame,
     names: DataFrame,
 ) -> Promotion:
-    """Rows a promotion would insert. Nothing is written, so this is also the dry run.
+    """Rows a promotion would insert. No table is changed, so this is also the dry run.
 
-    A symbol that is both confirmed and foreign counts as confirmed.
+    A symbol that is both confirmed and foreign counts as confirmed. Listings and dropped rows are
+    staged, as everything that follows starts from them.
     """
     kept, dropped = split_foreign(foreign, stoplist)
     rows = confirmed.withColumn("source_rank", F.lit(0)).unionByName(
         kept.withColumn("source_rank", F.lit(1))
     )
-    listings = to_listings(first_wins(rows.withColumn("symbol", F.upper("symbol")), ["symbol"], _order()))
+    first = first_wins(rows.withColumn("symbol", F.upper("symbol")), ["symbol"], _order())
+    listings = materialize(to_listings(first), "promoted")
     return Promotion(
         listings=listings,
         new_tickers=new_corpus_tickers(tickers, listings, _order()),
         new_names=new_corpus_names(names, listings, _order()),
-        dropped=dropped,
+        dropped=materialize(dropped, "dropped"),
     )
 
 
 def verification(tickers_before: DataFrame, promotion: Promotion) -> DataFrame:
     """Metrics (metric, item, n): tickers per source before and after, promoted symbols present,
     and dropped symbols that are corpus-mined all the same (should be 0)."""
-    after = tickers_before.unionByName(promotion.new_tickers)
-
-    def per_source(df: DataFrame, metric: str) -> DataFrame:
-        counted = df.groupBy("ticker_source").agg(F.count(F.lit(1)).alias("n"))
-        return counted.select(F.lit(metric).alias("metric"), F.col("ticker_source").alias("item"), "n")
+    columns = ["symbol", "ticker_source"]
+    after = tickers_before.select(*columns, F.lit(1).alias("old")).unionByName(
+        promotion.new_tickers.select(*columns, F.lit(0).alias("old"))
+    )
+    promoted = promotion.listings.select("symbol", F.lit(True).alias("promoted"))
+    dropped = promotion.dropped.select("symbol", F.lit(True).alias("dropped")).distinct()
+    flagged = after.join(promoted, "symbol", "left").join(dropped, "symbol", "left")
+    mined = F.col("ticker_source") == "corpus_mined"
+    counted = flagged.rollup("ticker_source").agg(
+        F.grouping("ticker_source").alias("is_total"),
+        F.sum("old").alias("before"),
+        F.count(F.lit(1)).alias("after"),
+        F.count_if("promoted").alias("present"),
+        F.count_if(F.col("dropped") & mined).alias("wrong"),
+    )
 
-    def total(df: DataFrame, metric: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(metric).alias("metric"), F.lit("").alias("item"), "n"
-        )
+    def metric(name: str, item: Column, n: str) -> Column:
+        return F.struct(F.lit(name).alias("metric"), item.alias("item"), F.col(n).alias("n"))
 
-    present = after.join(promotion.listings.select("symbol"), "symbol", "left_semi")
-    wrong = after.filter("ticker_source = 'corpus_mined'").join(
-        promotion.dropped.select("symbol"), "symbol", "left_semi"
+    source, none = F.col("ticker_source"), F.lit("")
+    metrics = F.when(
+        F.col("is_total") == 0,
+        F.array(metric("before", source, "before"), metric("after", source, "after")),
+    ).otherwise(
+        F.array(metric("present", none, "present"), metric("dropped_but_mined", none, "wrong"))
+    )
+    listed = promotion.listings.agg(F.count(F.lit(1)).alias("n"))
+    return (
+        counted.select(F.inline(metrics))
+        .filter("n > 0 OR item = ''")
+        .unionByName(listed.select(F.lit("promoted").alias("metric"), none.alias("item"), "n"))
     )
-    parts = [
-        per_source(tickers_before, "before"),
-        per_source(after, "after"),
-        total(promotion.listings, "promoted"),
-        total(present, "present"),
-        total(wrong, "dropped_but_mined"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
 
 
 def merge_stoplist(stop_rows: DataFrame, dropped: DataFrame) -> DataFrame:

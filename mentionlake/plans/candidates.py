@@ -163,14 +163,20 @@ new_tickers AS (
 PROMOTION = f"WITH {CLASSIFIED_CTES}, {CLASSIFIED}, {MERGED}, {KNOWN}, {NAMES}, {PROMOTED}"
 
 
-def promotion(spark: SparkSession, sf_dir: str) -> pr.Promotion:
-    # the classification is handed over as files, to be looked through before anything is promoted
-    rows = materialize(classified(spark, sf_dir), "classified")
+def handed_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classification as files, to be looked through before anything is promoted."""
+    return materialize(classified(spark, sf_dir), "classified")
+
+
+def promotion(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> pr.Promotion:
+    rows = handed_over(spark, sf_dir) if rows is None else rows
     foreign = rows.filter("bucket = 'review_foreign'").withColumns(
         {"cashtag_count": F.lit(1).cast("bigint"), "allcaps_count": F.col("total_count")}
     )
     listings = merged_listings(spark, sf_dir)
-    names = first_wins(universe.name_rows(listings), ["normalized_name"], ["group_rank", "line_no"])
+    names = first_wins(
+        universe.name_rows(listings), ["normalized_name"], ["group_rank", "line_no"]
+    )
     return pr.promote(
         rows.filter("bucket = 'confirmed'"),
         foreign,
@@ -223,5 +229,6 @@ SELECT *, false AS is_new FROM stop_rows WHERE symbol NOT IN (SELECT symbol FROM
 UNION ALL SELECT *, symbol NOT IN (SELECT symbol FROM stop_rows) FROM dropped""",
 )
 def stoplist_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stop_rows = classified(spark, sf_dir).filter("bucket = 'stoplist'")
-    return pr.merge_stoplist(stop_rows, promotion(spark, sf_dir).dropped)
+    rows = handed_over(spark, sf_dir)
+    stop_rows = rows.filter("bucket = 'stoplist'")
+    return pr.merge_stoplist(stop_rows, promotion(spark, sf_dir, rows).dropped)

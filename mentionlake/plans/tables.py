@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionlake.operators import layout, snapshots
+from mentionlake.operators import archive, layout, snapshots
 from mentionlake.plans import threads as th
 from mentionlake.plans.bindings import BINDINGS, ctes, frame, spark_sql, tables_in
 from mentionlake.plans.corpus import EVERY_FORUM, MAPPED_COMMENTS, comment_lines
@@ -81,6 +81,24 @@ def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.occupancy(tables).drop("bytes")
 
 
+@query(
+    "poll_upsert",
+    f"""WITH {ctes('b_comments')}
+SELECT id, created_utc, subreddit, author, score + 3 AS score FROM b_comments
+UNION ALL SELECT concat(id, '_new'), created_utc, subreddit, 'polled', score FROM b_comments""",
+)
+def poll_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table of all comments after one poll that saw each again and found one more beside it."""
+    comments = frame(spark, sf_dir, "b_comments").select("id", "created_utc", "subreddit", "author", "score")
+    table = new_folder(spark, "table")
+    layout.append_rows(comments.withColumn("ingested_at", F.current_timestamp()), table)
+    seen = comments.withColumns({"score": F.col("score") + 3, "author": F.lit("polled")})
+    found = comments.withColumns({"id": F.concat("id", F.lit("_new")), "author": F.lit("polled")})
+    polled = seen.unionByName(found).withColumn("poll", F.lit(1))
+    archive.upsert_rows(polled, table, ["score"], ["poll"])
+    return spark.read.parquet(table).drop("ingested_at", layout.PARTITION)
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 
