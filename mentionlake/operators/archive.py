@@ -12,7 +12,7 @@ from mentionlake.operators import mapping, quality
 from mentionlake.operators.keyed_write import insert_ignore, upsert_mutable
 from mentionlake.operators.layout import PARTITION, append_rows, overwrite_dates, with_date
 from mentionlake.operators.snapshots import path_exists
-from mentionlake.session import materialize
+from mentionlake.session import materialize, small_side
 from mentionlake.sources import jsonl
 
 KEYS = ["id", "created_utc"]
@@ -47,6 +47,7 @@ def stage(classified: DataFrame, kind: str) -> DataFrame:
     is_matched, is_malformed = F.col("status") == "matched", F.col("status") == "malformed"
     return materialize(
         classified.select(
+            F.monotonically_increasing_id().alias("row_id"),
             *jsonl.ORDER,
             "status",
             F.when(is_matched, F.struct(*mapping.COLUMNS[kind]())).alias("row"),
@@ -57,7 +58,7 @@ def stage(classified: DataFrame, kind: str) -> DataFrame:
 
 
 def staged_rows(staged: DataFrame) -> DataFrame:
-    return staged.filter("status = 'matched'").select("row.*", *jsonl.ORDER)
+    return staged.filter("status = 'matched'").select("row.*", "row_id", *jsonl.ORDER)
 
 
 def quarantined(staged: DataFrame) -> DataFrame:
@@ -79,26 +80,28 @@ def counted(staged: DataFrame) -> LoadStats:
 
 
 def add_rows(rows: DataFrame, table: str) -> int:
-    """Append the mapped rows the table does not have yet; returns how many there were.
+    """Append the staged rows the table does not have yet; returns how many there were.
 
-    ``rows`` should be staged: it is read for the touched dates and for the rows. The new rows are
-    counted in the table itself, by their load time, which is constant in a file and so skips all
-    others.
+    Which rows to leave out is worked out on keys and places alone. The rows themselves, with their
+    payload, are only shuffled to be laid out: what is left out is usually little and broadcast.
     """
     spark = rows.sparkSession
-    loaded_at = F.lit(datetime.now(timezone.utc))
     dated = with_date(rows)
-    columns = [c for c in dated.columns if c not in jsonl.ORDER]
     # calendar days, as literals: an anti-join would not prune the table's folders by itself
     days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
     if path_exists(spark, table):
         known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
     else:
         known = spark.createDataFrame([], dated.select(*KEYS).schema)
-    fresh = insert_ignore(known, dated, KEYS, jsonl.ORDER).select(*columns)
-    append_rows(fresh.withColumn("ingested_at", loaded_at), table)
-    written = spark.read.schema(f"ingested_at timestamp, {PARTITION} date").parquet(table)
-    return written.filter(F.col(PARTITION).isin(days) & (F.col("ingested_at") == loaded_at)).count()
+    places = rows.select(*KEYS, "row_id", *jsonl.ORDER)
+    fresh = insert_ignore(known, places, KEYS, jsonl.ORDER).select("row_id")
+    left_out = materialize(rows.select("row_id").join(fresh, "row_id", "left_anti"), "left-out")
+    copies, total = left_out.count(), rows.count()
+    if copies < total:
+        new = dated.join(small_side(left_out, copies), "row_id", "left_anti")
+        new = new.drop("row_id", *jsonl.ORDER)
+        append_rows(new.withColumn("ingested_at", F.lit(datetime.now(timezone.utc))), table)
+    return total - copies
 
 
 def upsert_rows(
