@@ -64,16 +64,6 @@ MIN_CASHTAG = 50
 SPOTCHECK_CASHTAG = 200
 OTC_EXCHANGES = ("OTC", "OTCMKTS", "OTCBB", "PINK", "GREY")
 FOREIGN_FALSE_BASES = ("BECK", "BCK", "BAB", "BABY", "MIL", "MILF", "GAY", "GAYM", "PSS", "SEN")
-BUCKETS = (
-    "confirmed",
-    "ambiguous",
-    "crypto",
-    "review_foreign",
-    "stoplist",
-    "alias",
-    "review",
-    "unrecognized",
-)
 KNOWN_ALIASES = {
     "APPL": "AAPL",
     "TESLA": "TSLA",

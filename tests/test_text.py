@@ -75,3 +75,10 @@ def test_epoch_seconds(values):
         ["1704067200", "1704067200.5", " 0 ", "soon", "NaN", "inf", "1e300", None],
     )
     assert seen == ["2024-01-01 00:00:00", "2024-01-01 00:00:00.5", "1970-01-01 00:00:00"] + [None] * 5
+
+
+def test_one_edit_apart(spark):
+    pairs = [("AAPL", "APPL"), ("AAPL", "AAPLS"), ("AAPL", "APL"), ("AAPL", "AAPL"), ("AAPL", "APLA"), ("", "A")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in df.select(tx.one_edit_apart(df.a, df.b)).collect()]
+    assert got == [True, True, True, False, False, True]
