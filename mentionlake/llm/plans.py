@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe
+from mentionlake.llm import bpe, language
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -39,3 +39,17 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def fold(count: int) -> Column:
+    """Fold of a row by its key; null for a null key."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % count
+
+
+@query
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document; fold 0 of 5 is not learned from."""
+    docs = table(spark, folder, "documents")
+    out = language.identify(docs, learn=fold(5) != 0)
+    held_out = F.coalesce(fold(5) == 0, F.lit(False))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
