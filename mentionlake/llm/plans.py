@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe, language
+from mentionlake.llm import bpe, language, pii
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -53,3 +53,12 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     out = language.identify(docs, learn=fold(5) != 0)
     held_out = F.coalesce(fold(5) == 0, F.lit(False))
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document; counts and digest of the base spans, and all spans."""
+    return pii.find(table(spark, folder, "documents")).select(
+        "doc_id", *(f"n_{k}" for k in pii.KINDS),
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans",
+    )
