@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe, language, pii
+from mentionlake.llm import bpe, language, pii, toxicity
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -62,3 +62,12 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *(f"n_{k}" for k in pii.KINDS),
         F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans",
     )
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document; labels of fold 1 of 3 are not learned from."""
+    scored = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"), learn=fold(3) != 1)
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    predicted = (F.col("score") >= toxicity.DECIDED).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
