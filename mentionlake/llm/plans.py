@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe, language, pii, toxicity
+from mentionlake.llm import bpe, language, neardup, neighbours, pii, toxicity
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -71,3 +71,15 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold(3) == 1, F.lit(False))
     predicted = (F.col("score") >= toxicity.DECIDED).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op7_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors linked at cosine 0.95 or more, and their components."""
+    return neardup.link(table(spark, folder, "embeddings"), 0.95)
+
+
+@query
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th id."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, 20)
