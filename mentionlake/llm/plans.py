@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe, language, neardup, neighbours, pii, toxicity
+from mentionlake.llm import bpe, jaccard, language, neardup, neighbours, pii, toxicity
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -83,3 +83,9 @@ def op7_neardup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest vectors found for every 20th id."""
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+@query
+def op5_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles overlap by 85 % or more."""
+    return jaccard.join(table(spark, folder, "documents"), width=4, percent=85)
