@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe, jaccard, language, neardup, neighbours, pii, toxicity
+from mentionlake.llm import bpe, jaccard, language, mixing, neardup, neighbours, pii, toxicity
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -89,3 +89,13 @@ def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op5_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles overlap by 85 % or more."""
     return jaccard.join(table(spark, folder, "documents"), width=4, percent=85)
+
+
+@query
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents mixed: sources weigh 3, 1, 2 in turn, 150 % of all words, at most twice a source."""
+    out = mixing.mix(table(spark, folder, "documents"), weights=(3, 1, 2), percent=150, most=2)
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op2_mixing"] = mixing.ORACLE
