@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe, jaccard, language, mixing, neardup, neighbours, pii, toxicity
+from mentionlake.llm import bpe, jaccard, language, licenses, mixing, neardup, neighbours, pii, quotes, toxicity
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -99,3 +99,18 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op2_mixing"] = mixing.ORACLE
+
+
+@query
+def op3_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message without its quotes, linked to what it answers, in reply order by thread and turn."""
+    return quotes.link(table(spark, folder, "conversations"))
+
+
+ORACLES["op3_quotes"] = quotes.ORACLE
+
+
+@query
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License of every page, its own or that of the nearest directory above it."""
+    return licenses.scan(table(spark, folder, "pages"))
