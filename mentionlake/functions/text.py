@@ -108,3 +108,9 @@ def lookup(table: dict[str, str], key: Column) -> Column:
 def one_edit_apart(left: Column, right: Column) -> Column:
     """Edit distance exactly one: one insertion, deletion or substitution."""
     return F.levenshtein(left, right, 1) == 1
+
+
+def plain_path(address: Column) -> Column:
+    """File address as listed: without the local scheme and with its escapes undone."""
+    local = F.regexp_replace(address, "^file:/+", "/")
+    return F.url_decode(F.replace(local, F.lit("+"), F.lit("%2B")))

@@ -13,7 +13,9 @@ _END_SECOND = 253402300800
 
 def epoch_to_utc(seconds: Column) -> Column:
     """Epoch seconds as number or numeric text to a timestamp; NULL when not a usable number."""
-    number = seconds.try_cast("double")
+    # the cast alone would take Java's float suffixes
+    shaped = seconds.cast("string").rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    number = F.when(shaped, seconds.try_cast("double"))
     usable = (~F.isnan(number)) & (number >= _FIRST_SECOND) & (number < _END_SECOND)
     return F.timestamp_micros(F.when(usable, F.round(number * 1_000_000)).cast("bigint"))
 

@@ -86,6 +86,7 @@ def add_rows(rows: DataFrame, table: str) -> int:
     payload, are only shuffled to be laid out: what is left out is usually little and broadcast.
     """
     spark = rows.sparkSession
+    rows = rows.dropna(subset=KEYS)  # without a key a row would be added again by every load
     dated = with_date(rows)
     # calendar days, as literals: an anti-join would not prune the table's folders by itself
     days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
@@ -113,10 +114,13 @@ def upsert_rows(
     polled are read and rewritten.
     """
     spark = polled.sparkSession
-    dated = with_date(polled).withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
+    dated = with_date(polled.dropna(subset=KEYS)).withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
     dated = materialize(dated, "polled")
     days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
-    known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
+    if path_exists(spark, table):
+        known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
+    else:
+        known = dated.drop(*{*order, *jsonl.ORDER} - {*KEYS, *mutable}).limit(0)
     merged = upsert_mutable(known, dated, KEYS, mutable, order)
     overwrite_dates(materialize(merged, "merged"), table)
 

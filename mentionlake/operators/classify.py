@@ -84,6 +84,13 @@ def _outcome(
     )
 
 
+def filing_hits(filings: DataFrame) -> DataFrame:
+    """One row per symbol: whether any filing has it, and the label of one that does."""
+    rows = filings.select(F.upper(F.trim("symbol")).alias("symbol"), F.coalesce("hit", F.lit(False)).alias("hit"), "label")
+    return rows.groupBy("symbol").agg(
+        F.max("hit").alias("filed"), F.max_by("label", F.struct("hit", "label")).alias("label"))
+
+
 def classify(
     candidates: DataFrame,
     *,
@@ -119,7 +126,7 @@ def classify(
             "left",
         )
         .join(coins.select("symbol", F.col("names").alias("coin_names")), "symbol", "left")
-        .join(filings.select("symbol", F.col("hit").alias("filed"), "label"), "symbol", "left")
+        .join(filing_hits(filings), "symbol", "left")
     )
     symbol = F.col("symbol")
     equity_sources, equity_names = joined_sources(F.col("eq_sources")), joined_names(F.col("eq_names"))

@@ -42,25 +42,21 @@ def upsert_mutable(
     """Existing and incoming rows by key; a known key only takes over the mutable columns.
 
     The fixed columns stay those of the first row ever seen, the mutable ones those of the last,
-    NULL included. One aggregate with map-side combine over the union of both sides.
+    NULL included. Existing rows are joined once with the last values of the polled keys, so their
+    other columns are neither aggregated nor compared; first rows are looked for among polled rows only.
     """
-    fixed = [c for c in existing.columns if c not in keys and c not in mutable]
-    columns = [*keys, *fixed, *mutable]
-    old = existing.select(*columns, F.struct(F.lit(0).alias("load"), *_nulls(incoming, order)).alias("_at"))
-    new = incoming.select(*columns, F.struct(F.lit(1).alias("load"), *order).alias("_at"))
-    merged = old.unionByName(new).groupBy(*keys).agg(
-        F.min_by(F.struct(*fixed), F.col("_at")).alias("_fixed"),
-        F.max_by(F.struct(*mutable), F.col("_at")).alias("_mutable"),
+    last = latest_by_key(incoming.select(*keys, *mutable, *dict.fromkeys(order)), keys, order)
+    last = last.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in mutable], F.lit(True).alias("_polled"))
+    known = existing.join(last, list(keys), "left").select(
+        *[
+            F.when(F.col("_polled"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in mutable else F.col(c)
+            for c in existing.columns
+        ]
+    )
+    fresh = insert_ignore(existing, incoming, keys, order).drop(*mutable).join(last, list(keys))
+    return known.unionByName(
+        fresh.select(*[F.col(f"_new_{c}").alias(c) if c in mutable else F.col(c) for c in existing.columns])
     )
-    out = {c: F.col(c) for c in keys}
-    out |= {c: F.col(f"_fixed.{c}") for c in fixed}
-    out |= {c: F.col(f"_mutable.{c}") for c in mutable}
-    return merged.select(*[out[c].alias(c) for c in existing.columns])
-
-
-def _nulls(df: DataFrame, columns: Sequence[str]) -> list[Column]:
-    types = dict(df.dtypes)
-    return [F.lit(None).cast(types[c]).alias(c) for c in columns]
 
 
 def replace_by_key(

@@ -5,19 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mentionlake.functions import text as tx
-from mentionlake.operators.quality import text_at
+from mentionlake.operators.quality import fullname, text_at
 from mentionlake.sources.jsonl import ORDER
 
 
-def fullname(doc: Column, prefix: str) -> Column:
-    """``name`` when it is non-empty text, else ``id`` carrying the kind's prefix."""
-    name_is_text = F.schema_of_variant(F.variant_get(doc, "$.name", "variant")) == "STRING"
-    name = F.when(name_is_text, F.nullif(text_at(doc, "name"), F.lit("")))
-    bare = text_at(doc, "id")
-    prefixed = F.when(bare.rlike("^t[13]_"), bare).otherwise(F.concat(F.lit(prefix), bare))
-    return F.coalesce(name, prefixed)
-
-
 def _common(doc: Column) -> dict[str, Column]:
     return {
         "subreddit": F.lower(F.coalesce(text_at(doc, "subreddit"), F.lit(""))),

@@ -25,6 +25,15 @@ def text_at(doc: Column, key: str) -> Column:
     return F.try_variant_get(doc, f"$.{key}", "string")
 
 
+def fullname(doc: Column, prefix: str) -> Column:
+    """``name`` when it is non-empty text, else ``id`` carrying the kind's prefix."""
+    name_is_text = F.schema_of_variant(F.variant_get(doc, "$.name", "variant")) == "STRING"
+    name = F.when(name_is_text, F.nullif(text_at(doc, "name"), F.lit("")))
+    bare = text_at(doc, "id")
+    prefixed = F.when(bare.rlike("^t[13]_"), bare).otherwise(F.concat(F.lit(prefix), bare))
+    return F.coalesce(name, prefixed)
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Adds ``doc``: the JSON object as VARIANT without NUL characters, or NULL when there is none.
 
@@ -66,7 +75,7 @@ def with_status(parsed: DataFrame, wanted: LoadFilter = LoadFilter()) -> DataFra
         outside = outside | (day < F.lit(wanted.start_date).cast("date"))
     if wanted.end_date:
         outside = outside | (day > F.lit(wanted.end_date).cast("date"))
-    no_id = (F.coalesce(text_at(doc, "name"), F.lit("")) == "") & text_at(doc, "id").isNull()
+    no_id = fullname(doc, "").isNull()  # as the mapping sees it
     no_parent = (F.col("kind") == "comments") & (
         F.coalesce(text_at(doc, "link_id"), F.lit("")) == ""
     )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,8 +26,21 @@ RUNTIME_SETTINGS = {
 MAX_BROADCAST_ROWS = 100_000
 
 
+@cache
+def _shipped(application: str) -> None:
+    """Send this package to the Python workers of a session, once."""
+    session = SparkSession.active()
+    root = Path(__file__).parent
+    bundle = Path(tempfile.mkdtemp(prefix="mentionlake-")) / "mentionlake.zip"
+    with zipfile.ZipFile(bundle, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    session.sparkContext.addPyFile(str(bundle))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+    """Apply the runtime settings to a session somebody else created, and ship the package to its workers."""
+    _shipped(spark.sparkContext.applicationId)
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mentionlake.functions import text as tx
 from mentionlake.sources import longzstd
 
 ORDER = ("source_rank", "file", "block", "line")
@@ -19,7 +20,7 @@ ORDER = ("source_rank", "file", "block", "line")
 
 def _plain(spark: SparkSession, files: list[str]) -> DataFrame:
     return spark.read.text(files).select(
-        F.regexp_replace("_metadata.file_path", "^file:/+", "/").alias("file"),
+        tx.plain_path(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",

@@ -21,6 +21,8 @@ from mentionlake.fixed_values import ZSTD_MAX_WINDOW
 FORMAT = "longzstd"
 SCHEMA = "file string, line bigint, value string"
 _BATCH_BYTES = 4 << 20
+# names under which Hadoop knows stores that the reader knows by another name
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "gs": "gs"}
 
 
 def open_filesystem(path: str):
@@ -28,8 +30,9 @@ def open_filesystem(path: str):
     from pyarrow import fs
 
     if "://" in path:
-        files, inner = fs.FileSystem.from_uri(path)
-        return files, inner, path.split("://")[0] + "://"
+        scheme, rest = path.split("://", 1)
+        files, inner = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+        return files, inner, f"{scheme}://"
     return fs.LocalFileSystem(), path.removeprefix("file:"), ""
 
 
@@ -51,9 +54,14 @@ def archive_files(path: str) -> list[str]:
     )
 
 
+def _no_constant(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
 def _is_object(line: str) -> bool:
+    """Whether a line is an object to the engine's parser too, which knows no NaN and no infinity."""
     try:
-        return isinstance(json.loads(line), dict)
+        return isinstance(json.loads(line, parse_constant=_no_constant), dict)
     except ValueError:
         return False
 

@@ -46,10 +46,14 @@ def read_sec_exchange(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_historical(spark: SparkSession, folder: str) -> DataFrame:
-    """Yearly snapshots ``wayback_<year>_<kind>.txt`` of both directories; corrupt files are skipped."""
+    """Yearly snapshots ``wayback_<year>_<kind>.txt`` of both directories.
+
+    Each file is read by its own header; files that are no directory are left out, see
+    ``listings.unreadable``. A kind without files has no rows.
+    """
     source = F.regexp_extract("file", r"([^/]+)\.txt$", 1)
-    nasdaq = listings.read_nasdaq_listed(spark, f"{folder}/wayback_*_nasdaqlisted.txt")
-    other = listings.read_other_listed(spark, f"{folder}/wayback_*_otherlisted.txt")
+    nasdaq = listings.read_nasdaq_listed(spark, folder, glob="wayback_*_nasdaqlisted.txt", lenient=True)
+    other = listings.read_other_listed(spark, folder, glob="wayback_*_otherlisted.txt", lenient=True)
     return nasdaq.unionByName(other).select("symbol", source.alias("source"), "name", "exchange")
 
 

@@ -5,6 +5,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from mentionlake.operators import archive, mapping, quality
+from mentionlake.operators.keyed_write import upsert_mutable
 from mentionlake.sources import jsonl
 
 IN_MAY = 1714521600 + 86400  # 2 May 2024
@@ -180,3 +181,33 @@ def test_polled_rows_change_only_mutable_columns(spark, dump, tmp_path):
     assert after["t1_c1"].body == "text 1"
     assert after["t1_c1"].ingested_at == before["t1_c1"].ingested_at
     assert after["t1_c9"].ingested_at > before["t1_c1"].ingested_at
+
+
+def test_first_poll_makes_the_table(spark, tmp_path):
+    rows = spark.createDataFrame([("f", json.dumps(comment(1)), 0)], "file string, value string, line long")
+    rows = rows.withColumns({"source_rank": F.lit(0), "block": F.lit(0).cast("long")})
+    mapped = mapping.map_comments(archive.classify_lines(rows, "comments", WANTED))
+    for score in (4, 5):
+        archive.upsert_rows(mapped.withColumn("score", F.lit(score)), f"{tmp_path}/comments", ["score"], ["line"])
+    assert [(r.id, r.score) for r in spark.read.parquet(f"{tmp_path}/comments").collect()] == [("t1_c1", 5)]
+
+
+def test_rows_without_an_id_are_never_added(spark, dump, tmp_path):
+    odd = json.dumps(comment(1, name=5, id="absent"))
+    for _ in range(2):
+        stats = load(spark, [dump([json.dumps(comment(2)), odd])], tmp_path)
+    assert (stats.matched, stats.skipped_malformed, stats.inserted) == (1, 1, 0)
+    assert [r.id for r in spark.read.parquet(f"{tmp_path}/comments").collect()] == ["t1_c2"]
+
+
+def test_kind_is_told_by_what_the_parser_takes(spark, dump, tmp_path):
+    first = json.dumps(comment(1, score=float("nan")))
+    stats = load(spark, [dump([first, json.dumps(comment(2))], "my 100% dump+1.jsonl")], tmp_path)
+    assert (stats.matched, stats.skipped_malformed, stats.inserted) == (1, 1, 1)
+
+
+def test_upsert_does_not_aggregate_payload(spark):
+    known = spark.createDataFrame([("a", 1, "body", 5)], "id string, at int, body string, score int")
+    merged = upsert_mutable(known, known.withColumn("seq", F.lit(1)), ["id", "at"], ["score"], ["seq"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert all("body" not in line for line in plan.splitlines() if "Aggregate" in line)

@@ -127,3 +127,9 @@ def test_promotion(spark, lists):
     merged = pr.merge_stoplist(done.dropped.withColumn("reason", done.dropped["bucket"]).limit(1), done.dropped)
     assert [(r.symbol, r.is_new) for r in merged.collect()] == [("TSLAQ", False)]
     assert merged.first().reason.endswith("symbol_in_stoplist")
+
+
+def test_filings_of_one_symbol_are_one_row(spark):
+    rows = [("abc ", False, "none"), ("ABC", True, "10-K"), ("ABC", None, None), ("XYZ", False, "q")]
+    got = {r.symbol: (r.filed, r.label) for r in cl.filing_hits(spark.createDataFrame(rows, "symbol string, hit boolean, label string")).collect()}
+    assert got == {"ABC": (True, "10-K"), "XYZ": (False, "q")}

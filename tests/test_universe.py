@@ -133,3 +133,17 @@ def test_historical_snapshots(spark, tmp_path):
 def test_only_first_five_names(spark):
     rows = spark.createDataFrame([("A", f"n{i}") for i in range(9)] * 2, "symbol string, name string")
     assert hits.first_names(rows).first().names == ["n0", "n1", "n2", "n3", "n4"]
+
+
+def test_each_snapshot_is_read_by_its_own_header(spark, tmp_path):
+    head = "Symbol|Security Name|Market Category|Test Issue|Financial Status|Round Lot Size|ETF|NextShares"
+    other = "ETF|Test Issue|Security Name|Symbol"
+    (tmp_path / "wayback_2020_nasdaqlisted.txt").write_text(f"{head}\nAAA|Alpha Inc|Q|N|N|100|N|N\nFile Creation Time: 1|||||||\n")
+    (tmp_path / "wayback_2021_nasdaqlisted.txt").write_text(f"{other}\nY|N|Fig Fund|FIG\nN|Y|Test|ZZZ\n")
+    (tmp_path / "wayback_2022_nasdaqlisted.txt").write_text("<html>\n<body>not found | sorry</body>\n" * 20)
+    got = {(r.symbol, r.source) for r in reference_lists.read_historical(spark, str(tmp_path)).collect()}
+    assert got == {("AAA", "wayback_2020_nasdaqlisted"), ("FIG", "wayback_2021_nasdaqlisted")}
+    left_out = listings.unreadable(spark, str(tmp_path), "Symbol", "wayback_*_nasdaqlisted.txt").collect()
+    assert [r.file.rsplit("/", 1)[1] for r in left_out] == ["wayback_2022_nasdaqlisted.txt"]
+    with pytest.raises(Exception, match="not a symbol directory"):
+        listings.read_nasdaq_listed(spark, str(tmp_path / "wayback_2022_nasdaqlisted.txt")).collect()
