@@ -420,3 +420,22 @@ def join(docs: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id"
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the row of the smallest key of each component; rows without a key or words stay.
+
+    Only the keys that go are joined. Repeats of one row count once.
+    """
+    found = join(docs, width, percent, key, text)
+    gone = materialize(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct(), "gone")
+    twice = materialize(
+        found.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__twice")).agg(F.count("*").alias("__n")).where("__n > 1")
+        .select("__twice"), "twice")
+    kept = docs.join(small_side(gone, gone.count(), BROADCAST_KEYS), F.col(key) == F.col("__gone"), "left_anti")
+    repeated = twice.count()
+    if not repeated:
+        return kept
+    twice = small_side(twice, repeated, BROADCAST_KEYS)
+    same = F.col(key) == F.col("__twice")
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([key, text]))

@@ -202,8 +202,10 @@ def identify(
     return apply(docs, spark.sparkContext.broadcast(parsers), [key], text)
 
 
-def apply(docs: DataFrame, parsers, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` of ``docs`` with lang_pred and score of its texts. ``parsers`` is a broadcast."""
+def apply(
+    docs: DataFrame, parsers, keep: list[str], text: str = "text", into: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with language and score of its texts. ``parsers`` is a broadcast."""
     names = list(keep)
     rows = docs.select(*names, *([] if text in names else [text]))
     at = rows.columns.index(text)
@@ -215,9 +217,17 @@ def apply(docs: DataFrame, parsers, keep: list[str], text: str = "text") -> Data
             found, score = parsers.value.predict(part, codes)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], pa.array(found, pa.string()), pa.array(score)],
-                [*names, "lang_pred", "score"],
+                [*names, *into],
             )
 
     kept = rows.select(*names).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields)
-    return rows.mapInArrow(predicted, f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(predicted, f"{schema}, {into[0]} string, {into[1]} double")
+
+
+def recognised(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text is in some language."""
+    spark = ready(docs.sparkSession)
+    parsers = spark.sparkContext.broadcast(train(docs, F.lit(True), key, text, lang))
+    told = apply(docs, parsers, docs.columns, text, into=("__lang", "__score"))
+    return told.where(F.col("__lang") != UNKNOWN).select(*docs.columns)
