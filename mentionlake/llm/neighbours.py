@@ -36,8 +36,9 @@ CELLS = 8
 WIDTH = 0.75
 ASSUMED_COSINE = 0.25
 SUCCESS = 0.75
-SLAB = 4096  # candidates of a group
-BLOCK = 512  # queries of a group
+SLAB = 32_768  # candidates of a group
+BLOCK = 1024  # queries of a group
+ROWS = 64  # queries whose scores are held at a time
 
 
 def _project(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,25 +116,25 @@ def searcher(k: int):
         x = np.frombuffer(b"".join(rows["vec"]), np.float64).reshape(len(rows), -1)
         ids, bucket = rows["id"].to_numpy(np.int64), rows["bucket"].to_numpy()
         bits = np.unpackbits(np.frombuffer(b"".join(queries["probes"]), np.uint8).reshape(len(q), -1), axis=1)
-        near = np.full((len(q), len(x)), -np.inf)
-        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(x)]):
-            asking = np.flatnonzero(bits[:, bucket[a]])
-            near[asking, a:b] = q[asking] @ x[a:b].T
-        for i, own in enumerate(queries["id"].to_numpy(np.int64)):
-            row = near[i]
-            row[ids == own] = -np.inf
-            if len(row) > k:
-                floor = np.partition(row, len(row) - k)[len(row) - k]
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]).tolist()
+        spans = list(zip(starts, [*starts[1:], len(x)]))
+        asked = queries["id"].to_numpy(np.int64)
+        for first in range(0, len(q), ROWS):
+            part = slice(first, first + ROWS)
+            near = np.full((len(q[part]), len(x)), -np.inf)
+            for a, b in spans:
+                asking = np.flatnonzero(bits[part, bucket[a]])
+                near[asking, a:b] = q[part][asking] @ x[a:b].T
+            for own, vector, row in zip(asked[part].tolist(), q[part], near):
+                row[ids == own] = -np.inf
+                floor = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
                 slack = 1e-9 * max(1.0, abs(floor)) if np.isfinite(floor) else 0.0
                 at = np.flatnonzero((row >= floor - slack) & (row > -np.inf))
-            else:
-                at = np.flatnonzero(row > -np.inf)
-            exact = (x[at] * q[i]).sum(axis=1)  # the same for equal vectors, wherever they stand
-            best = np.lexsort((ids[at], -exact))[:k]
-            out["query_id"] += [own] * len(best)
-            out["vec_id"] += ids[at][best].tolist()
-            out["score"] += exact[best].tolist()
+                exact = (x[at] * vector).sum(axis=1)  # the same for equal vectors, wherever they stand
+                best = np.lexsort((ids[at], -exact))[:k]
+                out["query_id"] += [own] * len(best)
+                out["vec_id"] += ids[at][best].tolist()
+                out["score"] += exact[best].tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     return search
