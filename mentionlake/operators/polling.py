@@ -6,10 +6,13 @@ num_comments_reported and fetched_this_cycle. Results equal what the stateful st
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from mentionlake import fixed_values as fixed
 from mentionlake.operators.running import SLICE, last_seen, previous, run_positions
+from mentionlake.session import materialize
 
 _KEY = ["thread_id"]
 _ORDER = ["polled_at", "event_id"]
@@ -59,34 +62,28 @@ def cursor_replay(polls: DataFrame) -> DataFrame:
 
 
 def rollovers(primary_log: DataFrame) -> DataFrame:
-    """Changes of the primary thread: (thread_id that starts draining, successor, drain_started).
+    """Every replacement of a primary thread: (subreddit, thread_id, successor, drain_started, returned_at).
 
-    ``primary_log`` has subreddit, polled_at, thread_id. A thread is primary for one stretch of time,
-    as daily threads are; for one that returns, the first replacement counts.
+    ``primary_log`` has subreddit, polled_at, thread_id. ``returned_at`` is when the thread becomes
+    primary again, NULL if it does not.
     """
     known = previous(primary_log, ["subreddit"], ["polled_at"], "before", F.col("thread_id"))
-    changed = known.filter("before <> thread_id")
+    changes = materialize(known.filter("before IS NULL OR before <> thread_id"), "changes")
+    gone = changes.filter("before IS NOT NULL").select(
+        "subreddit", F.col("before").alias("thread_id"), F.col("thread_id").alias("successor"),
+        F.col("polled_at").alias("drain_started"),
+    )
+    came = changes.select("subreddit", "thread_id", F.col("polled_at").alias("came_at"))
+    later = F.when(F.col("came_at") > F.col("drain_started"), F.col("came_at"))
     return (
-        changed.groupBy("subreddit", F.col("before").alias("thread_id"))
-        .agg(F.min_by(F.struct("thread_id", "polled_at"), "polled_at").alias("_first"))
-        .select(
-            "subreddit",
-            "thread_id",
-            F.col("_first.thread_id").alias("successor"),
-            F.col("_first.polled_at").alias("drain_started"),
-        )
+        gone.join(came, ["subreddit", "thread_id"], "left")
+        .groupBy("subreddit", "thread_id", "successor", "drain_started")
+        .agg(F.min(later).alias("returned_at"))
     )
 
 
-def drain_outcomes(drains: DataFrame, polls: DataFrame) -> DataFrame:
-    """When each draining thread is retired: its sixth idle poll in a row, or an idle poll after 18 h.
-
-    ``polls`` has thread_id, polled_at, event_id, ingested (net-new rows). Threads still draining
-    have no ``retired_at``.
-    """
-    during = polls.join(drains.select("thread_id", "drain_started"), "thread_id").filter(
-        "polled_at >= drain_started"
-    )
+def _first_ends(during: DataFrame) -> DataFrame:
+    """(thread_id, retired_at, idle_polls) of drains that end, from their polls with ``drain_started``."""
     runs = run_positions(during, _KEY, _ORDER, F.col("ingested") > 0)
     idle = runs.withColumn("idle_polls", F.col("pos") - F.coalesce("break_pos", F.lit(0)))
     old = F.col("polled_at") >= F.col("drain_started") + F.make_dt_interval(
@@ -95,16 +92,40 @@ def drain_outcomes(drains: DataFrame, polls: DataFrame) -> DataFrame:
     ends = idle.filter(
         (F.col("ingested") == 0) & ((F.col("idle_polls") >= fixed.DRAIN_IDLE_POLLS) | old)
     )
-    first = ends.groupBy("thread_id").agg(
-        F.min_by(F.struct("polled_at", "idle_polls"), F.struct(*_ORDER)).alias("_end")
-    )
-    return drains.join(first, "thread_id", "left").select(
-        *drains.columns,
-        F.col("_end.polled_at").alias("retired_at"),
-        F.col("_end.idle_polls").alias("idle_polls"),
+    first = F.min_by(F.struct("polled_at", "idle_polls"), F.struct(*_ORDER)).alias("_end")
+    return ends.groupBy("thread_id").agg(first).select(
+        "thread_id", F.col("_end.polled_at").alias("retired_at"), "_end.idle_polls"
     )
 
 
+def drain_outcomes(drains: DataFrame, polls: DataFrame) -> DataFrame:
+    """When each draining thread is retired: its sixth idle poll in a row, or an idle poll after 18 h.
+
+    ``polls`` has thread_id, polled_at, event_id, ingested (net-new rows). A thread that becomes
+    primary again goes on draining when it is replaced again, without the polls in between; replaced
+    after it was retired, it drains anew. Threads still draining have no ``retired_at``.
+    """
+    drains = materialize(drains, "drains")
+    away = drains.select("thread_id", F.col("drain_started").alias("_from"), F.col("returned_at").alias("_to"))
+    outside = polls.join(away, "thread_id").filter("polled_at >= _from AND (_to IS NULL OR polled_at < _to)")
+    columns = [c for c in drains.columns if c != "returned_at"]
+    first = F.min_by(F.struct(*columns), "drain_started").alias("_first")
+    starts = drains.groupBy("thread_id").agg(first).select("_first.*")
+    rounds = []
+    while True:
+        during = outside.join(starts.select("thread_id", "drain_started"), "thread_id").filter("polled_at >= drain_started")
+        ended = starts.join(_first_ends(during.drop("_from", "_to")), "thread_id", "left").select(*columns, "retired_at", "idle_polls")
+        rounds.append(materialize(ended, "drain-round"))
+        again = (
+            drains.join(rounds[-1].select("thread_id", "retired_at"), "thread_id").filter("drain_started > retired_at")
+            .groupBy("thread_id").agg(first).select("_first.*")
+        )
+        # as many rounds as the thread that was retired most often
+        starts = materialize(again, "drain-again")
+        if not starts.limit(1).count():
+            return reduce(DataFrame.unionByName, rounds)
+
+
 def threads_to_poll(state: DataFrame) -> DataFrame:
     """Primary thread first, then the draining ones in order, each once.
 

@@ -135,11 +135,14 @@ def test_drain_ends_by_idle_polls_or_age(spark):
     assert set(got) == {"a", "b"}
 
 
-def test_drain_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("returning", [False, True])
+def test_drain_stream_equals_batch(spark, tmp_path, returning):
     rng = random.Random(7)
     days, primary, polls = 8, [], []
     for d in range(days):
         primary.append(("f", START + timedelta(days=d), f"d{d}"))
+        for hour in (5, 9, 14, 20) if returning else ():  # threads swap places
+            primary.append(("f", START + timedelta(days=d, hours=hour), f"d{max(0, d - rng.randrange(3))}"))
     for i in range(1500):
         at = START + timedelta(minutes=rng.randrange(days * 1440))
         thread = max(0, (at - START).days - rng.randrange(3))
@@ -147,8 +150,7 @@ def test_drain_stream_equals_batch(spark, tmp_path):
     log = spark.createDataFrame(primary, "subreddit string, polled_at timestamp, thread_id string")
     rows = spark.createDataFrame(polls, "thread_id string, polled_at timestamp, event_id long, ingested int")
     batch = polling.drain_outcomes(polling.rollovers(log), rows)
-    want = {r.thread_id: (r.drain_started, r.retired_at, r.idle_polls)
-            for r in batch.collect() if r.retired_at}
+    want = {(r.thread_id, r.drain_started, r.retired_at, r.idle_polls) for r in batch.collect() if r.retired_at}
     both = log.selectExpr("subreddit", "polled_at", "-1L AS event_id", "thread_id", "true AS is_primary", "0 AS ingested").unionByName(
         rows.selectExpr("'f' AS subreddit", "polled_at", "event_id", "thread_id", "false AS is_primary", "ingested"))
     folder, run = str(tmp_path / "in"), str(tmp_path / "run")
@@ -157,8 +159,9 @@ def test_drain_stream_equals_batch(spark, tmp_path):
         part.write.mode("append").parquet(folder)
         arriving = cursor.retirements(spark.readStream.schema(both.schema).parquet(folder))
         out = jobs.read_output(arriving, jobs.run_available(arriving, "drain", run))
-    got = {r.thread_id: (r.drain_started, r.retired_at, r.idle_polls) for r in out.collect()}
+    got = {(r.thread_id, r.drain_started, r.retired_at, r.idle_polls) for r in out.collect()}
     assert got == want and len(want) >= 5
+    assert not returning or len({w[0] for w in want}) < len(want)
 
 
 def test_poll_order(spark):
