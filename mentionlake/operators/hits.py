@@ -20,25 +20,23 @@ def merge_hits(*lists: DataFrame) -> DataFrame:
     return all_hits(*lists).distinct()
 
 
-def first_names(named: DataFrame) -> DataFrame:
-    """(symbol, names): the first names of each symbol in text order.
+def first_names(named: DataFrame, shown: int | None = NAMES_SHOWN) -> DataFrame:
+    """(symbol, names): the names of each symbol in text order, for display only the first ones.
 
     Ranked and cut before they are collected, so a symbol with very many names stays one short row.
     """
     w = Window.partitionBy("symbol").orderBy("name")
+    names = named.select("symbol", "name").filter(F.col("name").isNotNull()).distinct()
+    if shown is not None:
+        names = names.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= shown)
     return (
-        named.select("symbol", "name")
-        .filter(F.col("name").isNotNull())
-        .distinct()
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= NAMES_SHOWN)
-        .groupBy("symbol")
+        names.groupBy("symbol")
         .agg(F.array_sort(F.collect_list("name")).alias("names"))
     )
 
 
-def symbol_hits(hits: DataFrame) -> DataFrame:
-    """(symbol, sources, exchanges, names): sets as sorted arrays; names cut to those shown.
+def symbol_hits(hits: DataFrame, shown: int | None = NAMES_SHOWN) -> DataFrame:
+    """(symbol, sources, exchanges, names): sets as sorted arrays; names cut to those shown, if any number is.
 
     Repeated rows do no harm, so ``hits`` may come from ``all_hits``.
     Source tags and exchanges come from short fixed vocabularies, so their sets stay small.
@@ -48,7 +46,7 @@ def symbol_hits(hits: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set("exchange")).alias("exchanges"),
     )
     none = F.array().cast("array<string>")
-    return tags.join(first_names(hits), "symbol", "left").withColumn(
+    return tags.join(first_names(hits, shown), "symbol", "left").withColumn(
         "names", F.coalesce("names", none)
     )
 

@@ -218,19 +218,55 @@ hit_rows AS (SELECT symbol, source, name, exchange FROM b_sec
     f"""WITH {ctes('b_sec', 'b_equity')}, {HIT_ROWS}
 SELECT symbol, array_to_string(list_sort(list(DISTINCT source)), ';') AS sources,
   array_to_string(list_sort(list(DISTINCT exchange)), ';') AS exchanges,
-  array_to_string(list_sort(list(DISTINCT name))[:5], ' | ') AS matched_names
+  array_to_string(list_sort(list(DISTINCT name)), ' | ') AS matched_names
 FROM hit_rows GROUP BY symbol""",
 )
 def set_union_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hits.all_hits(frame(spark, sf_dir, "b_sec"), frame(spark, sf_dir, "b_equity"))
-    return hits.symbol_hits(rows).select(
+    return hits.symbol_hits(rows, shown=None).select(
         "symbol",
         hits.joined_sources(F.col("sources")).alias("sources"),
         hits.joined_sources(F.col("exchanges")).alias("exchanges"),
-        hits.joined_names(F.col("names")).alias("matched_names"),
+        F.array_join("names", " | ").alias("matched_names"),
     )
 
 
+def write_snapshot(rows: DataFrame, columns: list[str], folder: str, name: str) -> None:
+    """One yearly snapshot as a single file: a directory of one exchange group is a small file by nature."""
+    cells = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
+    head = rows.sparkSession.createDataFrame([("|".join(columns), -1)], "value string, line_no long")
+    lines = head.unionByName(rows.select(cells.alias("value"), "line_no")).orderBy("line_no").select("value")
+    part = f"{folder}/parts/{name}"
+    lines.coalesce(1).write.text(part)
+    snapshots.move_single_part(rows.sparkSession, part, f"{folder}/lists/{name}.txt")
+
+
+@query(
+    "historical_listings",
+    f"""WITH {ctes('b_listings')}
+SELECT symbol, concat('wayback_', CAST(2019 + line_no % 6 AS INT),
+    CASE WHEN exchange_code = 'Q' THEN '_nasdaqlisted' ELSE '_otherlisted' END) AS source,
+  security_name AS name, CASE WHEN exchange_code = 'Q' THEN 'NASDAQ' ELSE {EXCHANGE} END AS exchange
+FROM b_listings WHERE test_issue = 'N'""",
+)
+def historical_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six years of both directories, one with its columns in another order, and a page that is no directory."""
+    folder = new_folder(spark, "history")
+    listed = frame(spark, sf_dir, "b_listings")
+    page = spark.range(30).select(F.lit("not found | <a href='/'>home</a>").alias("<html>"), F.col("id").alias("line_no"))
+    write_snapshot(page, ["<html>"], folder, "wayback_2018_nasdaqlisted")
+    for year in range(2019, 2025):
+        for kind, symbol in (("nasdaqlisted", "Symbol"), ("otherlisted", "ACT Symbol")):
+            own = listed.filter((F.col("line_no") % 6 == year - 2019) & ((F.col("exchange_code") == "Q") == (kind == "nasdaqlisted")))
+            columns = [symbol, "Security Name", "Exchange", "ETF", "Test Issue"]
+            named = own.select(
+                F.col("symbol").alias(symbol), F.col("security_name").alias("Security Name"),
+                F.col("exchange_code").alias("Exchange"), F.col("etf").alias("ETF"), F.col("test_issue").alias("Test Issue"), "line_no",
+            )
+            write_snapshot(named, columns[::-1] if year == 2021 else columns, folder, f"wayback_{year}_{kind}")
+    return reference_lists.read_historical(spark, f"{folder}/lists")
+
+
 @query(
     "json_reference_lists",
     f"""WITH {ctes('b_sec', 'b_coins')}
