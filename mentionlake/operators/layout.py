@@ -66,26 +66,29 @@ def files_by_date(table_rows: DataFrame) -> DataFrame:
 
 
 def due_for_compaction(table_rows: DataFrame, today: Column) -> DataFrame:
-    """Dates older than the compression age, largest first."""
+    """Dates older than the compression age that lie in several files, largest first."""
     limit = F.date_sub(today, fixed.COMPRESS_AFTER_DAYS)
-    return files_by_date(table_rows.filter(F.col(PARTITION) < limit)).orderBy(
+    return files_by_date(table_rows.filter(F.col(PARTITION) < limit)).filter("files > 1").orderBy(
         F.desc("bytes"), PARTITION
     )
 
 
-def compact(table_rows: DataFrame, today: Column, target: str) -> None:
-    """Rewrite dates older than the compression age into ``target``, a new version folder.
+def compact(table_rows: DataFrame, today: Column, target: str) -> list:
+    """Rewrite the dates that are due into ``target``, a new version folder, and return them.
 
-    Young dates stay where they are; ``compacted_parts`` gives both.
+    Young dates and old ones that are a single file stay where they are; ``compacted_parts`` gives all.
     """
-    old = table_rows.filter(F.col(PARTITION) < F.date_sub(today, fixed.COMPRESS_AFTER_DAYS))
-    append_rows(old, target)
+    days = [row[0] for row in due_for_compaction(table_rows, today).select(PARTITION).toLocalIterator()]
+    if days:
+        append_rows(table_rows.filter(F.col(PARTITION).isin(days)), target)
+    return days
 
 
-def compacted_parts(table_rows: DataFrame, today: Column, target: str) -> list[DataFrame]:
-    """The young dates of the table and the rewritten old ones; their union is the table."""
-    young = table_rows.filter(F.col(PARTITION) >= F.date_sub(today, fixed.COMPRESS_AFTER_DAYS))
-    return [young, table_rows.sparkSession.read.parquet(target)]
+def compacted_parts(table_rows: DataFrame, days: list, target: str) -> list[DataFrame]:
+    """The dates of the table that stayed and the rewritten ones; their union is the table."""
+    if not days:
+        return [table_rows]
+    return [table_rows.filter(~F.col(PARTITION).isin(days)), table_rows.sparkSession.read.parquet(target)]
 
 
 def occupancy(tables: dict[str, DataFrame]) -> DataFrame:

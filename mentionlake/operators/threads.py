@@ -35,7 +35,10 @@ def collect_since(comments: DataFrame, cursors: DataFrame, max_depth: int = 2) -
             }
         )
     )
-    parents = rows.select(
+    # a parent before the grace period has a top-level comment before it too, and decides nothing
+    floors = cursors.select(F.col("post_id").alias("_thread"), times.reply_grace_floor(F.col("cursor_utc")).alias("_floor"))
+    reachable = (F.col("post_id") == F.col("_thread")) & at_or_after(F.col("created_utc"), F.col("_floor"))
+    parents = rows.join(floors, reachable, "left_semi").select(
         F.col("id").alias("up"),
         F.col("parent_id").alias("next_up"),
         F.col("created_utc").alias("up_created"),
@@ -60,12 +63,14 @@ def collect_since(comments: DataFrame, cursors: DataFrame, max_depth: int = 2) -
 
 
 def bounded_fetch(
-    comments: DataFrame, limit: int = fixed.FETCH_LIMIT, *, tie: str = "id", salts: int = 32
+    comments: DataFrame, limit: int = fixed.FETCH_LIMIT, *, tie: str = "id", salts: int = 32,
+    pending: DataFrame | None = None,
 ) -> DataFrame:
     """The newest ``limit`` comments of each thread and whether the fetch was cut.
 
     Cut per (thread, salt) first, so a thread with a third of all comments reaches its final task
-    as at most ``salts * limit`` rows.
+    as at most ``salts * limit`` rows. A fetch was cut when it is full, or when ``pending`` (post_id,
+    stubs_pending) says that stubs of the thread were left unexpanded.
     """
     newest = [F.desc("created_utc"), F.desc(tie)]
     salted = comments.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(salts)))
@@ -78,10 +83,13 @@ def bounded_fetch(
         .filter(F.col("fetch_rank") <= limit)
         .drop("_salt", "_rank")
     )
-    full = comments.groupBy("post_id").agg(
-        (F.count(F.lit(1)) >= limit).alias("truncated")
-    )
-    return kept.join(full, "post_id")
+    full = F.max("fetch_rank").over(Window.partitionBy("post_id")) >= limit
+    if pending is None:
+        return kept.withColumn("truncated", full)
+    stubs = pending.groupBy("post_id").agg(F.max("stubs_pending").alias("_stubs"))
+    left = F.coalesce("_stubs", F.lit(False))
+    return kept.withColumn("truncated", full).join(stubs, "post_id", "left").withColumn(
+        "truncated", F.col("truncated") | left).drop("_stubs")
 
 
 def daily_thread(hot_posts: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionlake.operators import archive, layout, snapshots
@@ -58,9 +60,9 @@ def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of three loads a day; after compaction old dates have one file, young ones up to three."""
     table = date_table(spark, sf_dir, (0, 7), (8, 15), (16, 23))
     today, target = F.lit(TODAY).cast("date"), new_folder(spark, "compacted")
-    layout.compact(table, today, target)
-    parts = layout.compacted_parts(table, today, target)
-    files = layout.files_by_date(parts[0]).unionByName(layout.files_by_date(parts[1]))
+    days = layout.compact(table, today, target)
+    first, *others = map(layout.files_by_date, layout.compacted_parts(table, days, target))
+    files = reduce(DataFrame.unionByName, others, first)
     return files.select("created_date", "rows", "files")
 
 

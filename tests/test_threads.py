@@ -50,6 +50,10 @@ def test_bounded_fetch_against_brute_force(spark):
         kept = sorted((r for r in got if r.post_id == post), key=lambda r: r.fetch_rank)
         assert [r.id for r in kept] == [r[0] for r in mine[:40]]
         assert {r.truncated for r in kept} == {len(mine) >= 40}
+    df = spark.createDataFrame(rows, "id string, post_id string, created_utc timestamp")
+    stubs = spark.createDataFrame([("x", True), ("y", False)], "post_id string, stubs_pending boolean")
+    cut = {(r.post_id, r.truncated) for r in threads.bounded_fetch(df, 200, pending=stubs).collect()}
+    assert cut == {("hot", sum(r[1] == "hot" for r in rows) >= 200), ("x", True), ("y", False)}
 
 
 def test_daily_thread_is_the_first_stickied_among_the_hottest(spark):

@@ -53,9 +53,11 @@ def test_layout_compaction_and_occupancy(spark, tmp_path):
     today = F.lit(date(2024, 6, 13))
     due = layout.due_for_compaction(rows, today).collect()
     assert [r.files for r in due] == [3, 3, 3] and sorted(r.created_date.day for r in due) == [1, 2, 5]
-    layout.compact(rows, today, target)
-    parts = layout.compacted_parts(rows, today, target)
+    days = layout.compact(rows, today, target)
+    parts = layout.compacted_parts(rows, days, target)
     assert parts[0].count() == 60 and parts[1].count() == 180
+    assert layout.compact(parts[1], today, str(tmp_path / "t3")) == []  # single files stay where they are
+    assert layout.compacted_parts(parts[1], [], "")[0].count() == 180
     assert {r.files for r in layout.files_by_date(parts[1]).collect()} == {1}
     report = layout.occupancy({"t": rows}).first()
     assert (report.rows, report.empty_days, report.nonempty_days) == (240, 9, 4) and report.bytes > 0
