@@ -6,12 +6,13 @@ one class. Sets that overlap enough share one of their first tokens in any commo
 the order puts tokens that a large share of texts has last, by counts of all texts in a table of fixed size.
 
 Nodes of a tree hold the bitwise or of their classes' token bitmaps and the range of their sizes; leaves
-hold classes ordered by component and size. The two sides of a tree are traversed together, and a pair
-of nodes is dropped as soon as the overlap that sizes and bitmaps allow is too small, or if both are one
-component already. Two rounds first try every class against one class of each tree, so that groups of
-near copies, however large, are one component before their trees are traversed. A tree of n classes is
-dealt into pairs of blocks of about ``BLOCK``, so no task holds more than two blocks. Surviving pairs are
-decided by their sets. Links inside one component may stay untested, links between components never.
+hold classes of like size. The two sides of a tree are traversed together, and a pair of nodes is dropped
+as soon as the overlap that sizes and bitmaps allow is too small, or if both are one component already.
+Two rounds first try every class against about ``HUBS`` classes of each tree, so that groups of near
+copies, however large, are mostly one component before their trees are traversed; a tree of so few classes
+is a single leaf and done with. A tree of n classes is dealt into pairs of blocks of about ``BLOCK``, so no
+group is larger than two blocks. Surviving pairs are decided by their sets. Links inside one component may
+stay untested, links between components never.
 
 Texts that are null, empty or without words have empty sets and link with nothing, like rows without a
 key (component null). Repeated rows stay repeated; of several texts of one key each counts. Other
@@ -23,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mentionlake.llm.common import components, ready, texts
 from mentionlake.llm.words import SPACES, hash_words, mix
@@ -36,7 +37,8 @@ FREQUENT = 2  # times the mean count from which a token comes last
 BLOCK = 512  # classes of a block
 LEAF = 16
 FAN = 4
-ROUNDS = 2  # of tries against one class of each tree
+HUBS = 16  # most classes of a tree, at least half as many, that all others are tried against in a round
+ROUNDS = 2
 BROADCAST_KEYS = 1_000_000  # 16 MB
 
 
@@ -189,14 +191,30 @@ def _words(bits: bytes, width: int) -> np.ndarray:
     return np.bitwise_or.reduce(x.reshape(-1, width // 64), axis=0)
 
 
+def near(n: int, x: bytes, m: int, y: bytes, percent: int) -> bool:
+    """Whether sizes and bitmaps of two sets allow them to overlap enough."""
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    width = 8 * min(len(x), len(y))
+    p, q = _words(x, width), _words(y, width)
+    spare = min(n - int(np.bitwise_count(p).sum()), m - int(np.bitwise_count(q).sum()))
+    most = min(n, m, int(np.bitwise_count(p & q).sum()) + spare)
+    return (100 + percent) * most >= percent * (n + m)
+
+
 class Tree:
-    """Signature tree over classes of one block, with nodes of ``FAN`` children over leaves of ``LEAF`` classes."""
+    """Signature tree over classes of one block: leaves of up to ``LEAF`` classes of like size, nodes of ``FAN`` children."""
 
     def __init__(self, ids, sizes, groups, bits):
-        order = np.lexsort((sizes, groups))
+        _, back, count = np.unique(groups, return_inverse=True, return_counts=True)
+        own = np.where(count[back] >= LEAF, back, -1)  # components with leaves of their own
+        width = np.array([len(x) for x in bits])
+        order = np.lexsort((sizes, own))
         self.ids, self.sizes, self.groups = ids[order], sizes[order], groups[order]
         self.bits = [bits[i] for i in order]
-        self.levels = [[self._leaf(a, min(a + LEAF, len(ids))) for a in range(0, len(ids), LEAF)]]
+        runs = np.flatnonzero(np.r_[True, (np.diff(own[order]) != 0) | (np.diff(width[order]) != 0), True]).tolist()
+        cuts = [(a, min(a + LEAF, end)) for start, end in zip(runs, runs[1:]) for a in range(start, end, LEAF)]
+        self.levels = [[self._leaf(a, b) for a, b in cuts]]
         while len(self.levels[-1]) > 1:
             below = self.levels[-1]
             self.levels.append([self._node(below[a : a + FAN], a, min(a + FAN, len(below))) for a in range(0, len(below), FAN)])
@@ -271,16 +289,16 @@ def traverse(s: Tree, t: Tree, percent: int) -> set[tuple[int, int]]:
 
 
 def _traversed(percent: int):
-    """Candidate pairs of the groups (token, low, high) of a partition that is sorted by them."""
+    """Candidate pairs of the groups (place, token) of a partition that is sorted by them."""
 
     def finish(rows: list[tuple]) -> set[tuple[int, int]]:
-        _, low, high = rows[0][:3]
+        low, high = rows[0][2:4]
         trees = []
         for block in dict.fromkeys((low, high)):
-            own = [r for r in rows if r[3] == block]
+            own = [r for r in rows if r[5] == block]
             if own:
-                ids, sizes, groups = (np.array([r[k] for r in own], np.int64) for k in (4, 5, 6))
-                trees.append(Tree(ids, sizes, groups, [r[7] for r in own]))
+                ids, sizes, groups = (np.array([r[k] for r in own], np.int64) for k in (6, 7, 8))
+                trees.append(Tree(ids, sizes, groups, [r[9] for r in own]))
         if low == high:
             return traverse(trees[0], trees[0], percent)
         return traverse(*trees, percent) if len(trees) == 2 else set()
@@ -290,13 +308,13 @@ def _traversed(percent: int):
         found: set[tuple[int, int]] = set()
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if group and row[:3] != group[0][:3]:
+                if group and row[:5] != group[0][:5]:
                     found |= finish(group)
+                    if row[:4] != group[0][:4] and len(found) > 10_000:
+                        yield _pairs(found)
+                        found = set()
                     group = []
                 group.append(row)
-                if len(found) > 50_000:
-                    yield _pairs(found)
-                    found = set()
         if group:
             found |= finish(group)
         yield _pairs(found)
@@ -324,15 +342,23 @@ class Join:
         )
         members = self.described.where("class is not null and key is not null")
         self.classes = materialize(
-            members.groupBy("class").agg(F.min(F.struct("key", "n", "first", "bits")).alias("least"))
-            .select("class", F.col("least.key").alias("holder"), "least.n", "least.first", "least.bits"),
+            members.groupBy("class").agg(F.min(F.struct("key", "n", "first")).alias("least"))
+            .select("class", F.col("least.key").alias("holder"), "least.n", "least.first"),
             "classes",
         )
-        roots = self.classes.select(F.explode("first").alias("token"), "class", "n")
-        shared_roots = roots.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token")
-        self.entries = materialize(roots.join(shared_roots, "token"), "entries")
+        # an entry stays if the next smaller or larger class of its tree is near enough in size
+        by_size = Window.partitionBy("token").orderBy("n")
+        near_in_size = (
+            self.classes.select(F.explode("first").alias("token"), "class", "n")
+            .withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size))
+            .where(f"100 * smaller >= {percent} * n or 100 * n >= {percent} * larger")
+            .select("token", "class", "n")
+        )
+        sizes = near_in_size.groupBy("token").agg(F.count("*").alias("size"))
+        self.entries = materialize(near_in_size.join(sizes, "token"), "entries")
         grown = self.entries.select("class").distinct()
-        self.bitmaps = materialize(self.classes.select("class", "n", "bits").join(grown, "class"), "bitmaps")
+        self.bitmaps = materialize(
+            members.select("class", "n", "bits").join(grown, "class").dropDuplicates(["class"]), "bitmaps")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose sets overlap enough."""
@@ -348,54 +374,62 @@ class Join:
         return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_decided(self.percent), "a bigint, b bigint")
 
     def open_trees(self, reached: DataFrame | None) -> DataFrame:
-        """Entries, with components so far, of trees that hold more than one component."""
-        entries = self.entries
+        """Entries, with components so far, of trees that hold more than one component.
+
+        Trees of up to ``HUBS`` classes are through after the first round, which looks at all their pairs.
+        """
         if reached is None:
-            return entries.withColumn("component", F.col("class"))
+            return self.entries.withColumn("component", F.col("class"))
+        entries = self.entries.where(F.col("size") > HUBS)
         known = entries.join(reached.withColumnRenamed("vertex", "class"), "class", "left")
         known = known.withColumn("component", F.coalesce("component", "class"))
         mixed = known.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
         return known.join(mixed.select("token"), "token")
 
     def tries(self, entries: DataFrame, salt: int) -> DataFrame:
-        """Pairs of every class with one class of each of its trees, if sizes and bitmaps allow a link."""
-        first = F.min_by(F.struct("class", "n", "component"), F.xxhash64("class", F.lit(salt))).alias("hub")
-        hubs = entries.groupBy("token").agg(first)
+        """Pairs of every class with about ``HUBS`` classes of each of its trees, if sizes and bitmaps allow a link."""
+        # rounded up, so that like trees have the same hubs and their pairs are the same pairs
+        rounded = F.expr("bigint(power(2, ceil(log2(size))))")
+        hubs = entries.where(F.pmod(F.xxhash64("class", F.lit(salt)), rounded) < HUBS).select(
+            "token", F.struct("class", "n", "component").alias("hub"))
         fit = "100 * least(n, hub.n) >= {0} * greatest(n, hub.n) and component <> hub.component".format(self.percent)
         pairs = entries.join(hubs, "token").where(fit).select(
             F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
+        return self.bounded(pairs)
+
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose bitmaps allow a link."""
         x, y = (self.bitmaps.select(F.col("class").alias(c), F.col("bits").alias(n), F.col("n").alias(m))
                 for c, n, m in (("a", "x", "n"), ("b", "y", "m")))
         percent = self.percent
 
-        def bounded(batches):
+        def run(batches):
             for batch in batches:
-                keep = []
-                for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "n", "m"))):
-                    width = 8 * min(len(x), len(y))
-                    p, q = _words(x, width), _words(y, width)
-                    spare = min(n - int(np.bitwise_count(p).sum()), m - int(np.bitwise_count(q).sum()))
-                    most = min(n, m, int(np.bitwise_count(p & q).sum()) + spare)
-                    keep.append((100 + percent) * most >= percent * (n + m))
+                sides = zip(*(batch.column(c).to_pylist() for c in ("n", "x", "m", "y")))
+                keep = [near(*pair, percent) for pair in sides]
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(bounded, "a bigint, b bigint")
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(run, "a bigint, b bigint")
 
     def descents(self, entries: DataFrame) -> DataFrame:
         """Pairs that traversing the trees of ``entries`` leaves."""
-        sizes = entries.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        least = entries.groupBy("token").agg(F.min("class").alias("least"))
         dealt = (
-            entries.join(sizes, "token")
+            entries.join(least, "token")
+            .withColumn("blocks", F.expr(f"int(power(2, ceil(log2(greatest(1.0D, size / {BLOCK}D)))))"))
             .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .join(self.bitmaps.select("class", "bits"), "class")
-            .select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                    "block", "class", "n", "component", "bits")
+            .select("least", "blocks", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                    "token", "block", "class", "n", "component", "bits")
         )
-        return (
-            dealt.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-            .mapInArrow(_traversed(self.percent), "a bigint, b bigint").distinct()
+        # the same blocks of like trees meet in one task, which gives each of their pairs once
+        place = ["least", "blocks", "low", "high"]
+        traversed = (
+            dealt.repartition(*place).sortWithinPartitions(*place, "token")
+            .mapInArrow(_traversed(self.percent), "a bigint, b bigint")
         )
+        return traversed.distinct()
 
 
 def join(docs: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
