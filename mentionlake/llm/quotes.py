@@ -16,6 +16,8 @@ rows of one turn the least (role, text) counts; a message that only quotes has a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mentionlake.llm.common import ready
@@ -43,15 +45,15 @@ def threads(messages: DataFrame) -> DataFrame:
     begins = F.col("parent").isNull() | F.col("linked")
     at = materialize(
         messages.select("conv", "turn", F.when(begins, F.col("turn")).otherwise(F.col("parent")).alias("thread")), "threads")
-    while True:
-        further = at.select("conv", F.col("turn").alias("thread"), F.col("thread").alias("next"))
-        after = materialize(
-            at.join(further, ["conv", "thread"]).select("conv", "turn", F.col("next").alias("thread"), (F.col("next") != F.col("thread")).alias("moved")),
-            "threads",
-        )
-        at = after.drop("moved")
-        if not after.where("moved").limit(1).count():
-            return at
+    # pointers are doubled for the messages that have not arrived yet; most arrive in a few rounds
+    arrived, moving = [at.where("thread = turn")], at.where("thread <> turn")
+    while moving.limit(1).count():
+        known = reduce(DataFrame.unionByName, [*arrived, moving])
+        further = known.select("conv", F.col("turn").alias("thread"), F.col("thread").alias("next"))
+        step = materialize(moving.join(further, ["conv", "thread"]), "threads")
+        arrived.append(step.where("next = thread").select("conv", "turn", "thread"))
+        moving = step.where("next <> thread").select("conv", "turn", F.col("next").alias("thread"))
+    return reduce(DataFrame.unionByName, arrived)
 
 
 def link(
