@@ -7,7 +7,8 @@ license, licence, copying or notice) that carries one grants it to its directory
 a page without its own inherits from the nearest directory above it that has a grant.
 
 Only words of templates are ever exploded: other words of a line count by number, with the weight of a
-word seen once. Paths are joined by equality of directory prefixes, of which a page has as many as its
+word seen once. Word counts cover all lines; only lines with a telling word are compared (what is left of
+a template without its telling words is too short a vector for the threshold). Paths are joined by equality of directory prefixes, of which a page has as many as its
 path has parts. Null texts are empty; null or empty paths have no directory and inherit nothing; of equal
 scores the template first by name wins, and so it does for several grants of one directory; repeated rows
 stay repeated; other columns are ignored.
@@ -36,6 +37,11 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 THRESHOLD = 0.8
+# A line without any of these shares too little of any template's length to reach the threshold.
+TELLING = "|".join([
+    "licen", "unencumbered", "domain", "gnu", "apache", "bsd", "mozilla", "creative", "by-nc", "by-sa", "released",
+    "subject", "terms", "source", "governed", "affero", "lesser", "attribution", "commons", "public", "software",
+])
 FILES = r"(?i)^(?:(?:licen[cs]e|copying|notice|index)(?:[.-].*)?)?$"
 
 
@@ -70,18 +76,19 @@ def scores(pages: DataFrame, key: str, text: str) -> DataFrame:
     )
     vocabulary = F.array(*map(F.lit, sorted({w for n in TEMPLATES.values() for w in _plain_words(n)})))
     bare = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "<[^>]*>", "\n")
-    lines = (
-        pages.select(F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("digest")).alias("row"), bare.alias("bare"))
-        .select("row", F.posexplode(F.split("bare", "[\r\n]+")).alias("place", "line"))
-        .select("row", "place", words(F.col("line")).alias("words"))
-        .where(F.size("words") > 0)
-        .select("row", "place", F.size("words").alias("length"), F.filter("words", lambda w: F.array_contains(vocabulary, w)).alias("hits"))
+    hits = F.filter("words", lambda w: F.array_contains(vocabulary, w))
+    cut = pages.select(F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("digest")).alias("row"), bare.alias("bare")).select(
+        "row", F.posexplode(F.split("bare", "[\r\n]+")).alias("place", "line"))
+    lines = cut.where(F.lower("line").rlike("[a-z0-9]")).select(words(F.col("line")).alias("words"))
+    telling = materialize(
+        cut.where(F.lower("line").rlike(TELLING)).select("row", "place", words(F.col("line")).alias("words"))
+        .select("row", "place", (F.size("words") - F.size(hits)).alias("others"), hits.alias("hits"))
+        .where(F.size("hits") > 1),
+        "license-lines",
     )
-    seen = (
-        lines.select(F.explode(F.when(F.size("hits") > 0, F.array_distinct("hits")).otherwise(F.array(F.lit("")))).alias("word"))
-        .groupBy("word").agg(F.count("*").alias("df"))
-    )
-    counted = materialize(seen, "line-counts")
+    # a line without such words counts once, under null
+    seen = lines.select(F.explode_outer(F.array_distinct(hits)).alias("word"))
+    counted = materialize(seen.groupBy("word").agg(F.count("*").alias("df")), "line-counts")
     total = counted.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).withColumn("one", F.lit(1))
     # every word of a template has a weight, seen or not; one row per word of the templates
     idf = (
@@ -92,8 +99,7 @@ def scores(pages: DataFrame, key: str, text: str) -> DataFrame:
     norms = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     known = weighted.join(norms, "template").select("template", "word", (F.col("weight") / F.col("norm")).alias("share"))
     vectors = (
-        lines.where(F.size("hits") > 1)
-        .select("row", "place", (F.col("length") - F.size("hits")).alias("others"), F.explode("hits").alias("word"))
+        telling.select("row", "place", "others", F.explode("hits").alias("word"))
         .groupBy("row", "place", "others", "word").agg(F.count("*").alias("tf"))
         .join(F.broadcast(idf), "word")
         .withColumn("weight", F.col("tf") * F.col("idf"))

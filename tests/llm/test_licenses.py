@@ -72,3 +72,15 @@ def test_query_equals_brute_force(spark):
     want = brute([(r["page_id"], r["html"]) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()])
     out = op4_licenses(spark, folder).collect()
     assert want and {r["page_id"]: r["license"] for r in out if r["origin"] == "own"} == want
+
+
+def test_untelling_words_cannot_reach_the_threshold(spark):
+    """What is left of a template without its telling words is shorter than the threshold."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    lines = [set(WORD.findall(x.lower())) for r in pages for x in re.split("[\r\n]+", re.sub("<[^>]*>", "\n", r["html"] or ""))]
+    df = Counter(w for x in lines for w in x)
+    idf = lambda w: math.log((len(lines) + 1) / (df[w] + 1)) + 1
+    for notice in licenses.TEMPLATES.values():
+        weight = {w: c * idf(w) for w, c in Counter(WORD.findall(notice.lower())).items()}
+        left = {w: x for w, x in weight.items() if not re.search(licenses.TELLING, w)}
+        assert sum(x * x for x in left.values()) < licenses.THRESHOLD**2 * sum(x * x for x in weight.values())
