@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,14 +21,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from mentionlake.llm.common import ready
+from mentionlake.llm.common import parts, ready
 
 CHUNK = 32_768  # characters of a chunk
 OVERLAP = 1_024  # characters two neighbours share
 MARGIN = 3  # longest literal of the pattern: boundaries closer to a cut are not trusted
 LONG_PIECE = 48  # bytes from which a piece is merged with a heap instead of in a vector
-CACHED_PIECES = 400_000  # per Python worker
-PART_CHARS = 500_000  # characters whose pieces are held at a time
+CACHED_PIECES = 120_000  # per Python worker
+PART_CHARS = 250_000  # characters whose pieces are held at a time
 NO_RANK = 1 << 40
 
 _loaded: dict[tuple[int, str], "Vocabulary"] = {}
@@ -163,18 +162,6 @@ def _pieces(text: str, ends: np.ndarray) -> list[str]:
     return [text[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def _parts(rows: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for text in rows:
-        part.append(text)
-        size += len(text)
-        if size >= PART_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def encode(
     docs: DataFrame, ranks: bytes, pattern: str, key: str = "doc_id", text: str = "text",
     chunk: int = CHUNK, overlap: int = OVERLAP,
@@ -189,7 +176,7 @@ def encode(
         vocabulary = loaded(shared.value, pattern)
         for batch in batches:
             ids = []
-            for part in _parts(batch.column(1).to_pylist()):
+            for part in parts(batch.column(1).to_pylist(), PART_CHARS):
                 ids += vocabulary.encode_pieces([vocabulary.find(t) for t in part])
             values = np.concatenate(ids) if ids else np.empty(0, np.int32)
             offsets = np.cumsum([0, *map(len, ids)])
@@ -208,9 +195,9 @@ def encode(
         vocabulary = loaded(shared.value, pattern)
         copies = int((frame["start"] == 0).sum())
         frame = frame.drop_duplicates("start").sort_values("start")
-        parts = list(zip(frame["start"], frame["part"], frame["ends"]))
-        text = "".join(p[: chunk if i + 1 < len(parts) else None] for i, (_, p, _) in enumerate(parts))
-        ends = stitch(vocabulary.find, text, [(s, s + len(p), np.asarray(e)) for s, p, e in parts])
+        pieces = list(zip(frame["start"], frame["part"], frame["ends"]))
+        text = "".join(p[: chunk if i + 1 < len(pieces) else None] for i, (_, p, _) in enumerate(pieces))
+        ends = stitch(vocabulary.find, text, [(s, s + len(p), np.asarray(e)) for s, p, e in pieces])
         ids = vocabulary.encode_pieces([_pieces(text, ends)])[0]
         return pd.DataFrame({"key": [frame["key"].iloc[0]] * copies, "ids": [ids] * copies})
 

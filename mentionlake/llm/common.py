@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mentionlake.session import materialize, prepare
 
 # Rows of an Arrow batch: bounds the memory of a Python worker when texts are long.
 BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
 }
 
 
@@ -36,9 +36,22 @@ def texts(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[tuple[
             yield batch, [x or "" for x in batch.column(column).to_pylist()]
 
 
-def int_lists(lists: list, kind: pa.DataType = pa.int32()) -> pa.ListArray:
-    """Lists of numbers as one Arrow column."""
-    return pa.array(lists, pa.list_(kind))
+def parts(rows: list[str], chars: int) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``chars`` characters (or one longer text)."""
+    part, size = [], 0
+    for text in rows:
+        part.append(text)
+        size += len(text)
+        if size >= chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def share(key: str, count: Column, size: int) -> Column:
+    """Whether a row is among about ``size`` of ``count`` rows, picked by a hash of its key."""
+    return F.pmod(F.xxhash64(key), F.greatest(count, F.lit(1))) < size
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -18,15 +18,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from mentionlake.llm.common import ready, texts
+from mentionlake.llm.common import parts, ready, share, texts
+from mentionlake.session import materialize, small_side
 
-SAMPLE_ROWS = 400  # labelled rows of a language that may be learned from
+SAMPLE_ROWS = 400  # labelled rows of a language that are learned from, about
 SAMPLE_CHARS = 1_500  # characters of each of them
 TRAINING_CHARS = 30_000  # normalised characters of a language in its automaton
 ALPHABET = 96  # letters told apart; rarer ones match nothing
 SEGMENT = 512
+PART_CHARS = 500_000  # characters parsed at a time
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -167,28 +169,19 @@ class Parsers:
 
 
 def train(docs: DataFrame, learn: Column, key: str, text: str, lang: str) -> Parsers:
-    """Automata from at most ``SAMPLE_ROWS`` rows of each language among those where ``learn`` holds.
+    """Automata from about ``SAMPLE_ROWS`` rows of each language among those where ``learn`` holds.
 
-    Rows are picked by a hash of their key. The pick looks at keys only; texts of picked rows are
-    fetched afterwards.
+    Rows are picked by a hash of their key where they lie; only they travel.
     """
-    usable = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    picked = (
-        usable.select(F.col(key).alias("key"), F.col(lang).alias("lang"))
-        .withColumn("place", F.row_number().over(place))
-        .where(F.col("place") <= SAMPLE_ROWS)
-        .select("key", "lang", "place")
-    )
+    usable = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"))
+    counts = materialize(usable.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
     rows = (
-        usable.select(F.col(key).alias("key"), F.col(lang).alias("lang"),
-                      F.substring(text, 1, SAMPLE_CHARS).alias("text"))
-        .join(F.broadcast(picked), ["key", "lang"])
-        .groupBy("lang", "place").agg(F.min("text").alias("text"))
-        .collect()
+        usable.join(small_side(counts, counts.count()), "lang").where(share("key", F.col("rows"), SAMPLE_ROWS))
+        .select("lang", F.xxhash64("key").alias("place"), "text").distinct().collect()
     )
     samples: dict[str, list[str]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["place"])):
+    for row in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):
         samples.setdefault(row["lang"], []).append(normalise(row["text"]))
     return Parsers({k: " ".join(v)[:TRAINING_CHARS] for k, v in samples.items()})
 
@@ -214,7 +207,8 @@ def apply(
         codes = None
         for batch, part in texts(batches, at):
             codes = parsers.value.codes() if codes is None else codes
-            found, score = parsers.value.predict(part, codes)
+            told = [parsers.value.predict(rows, codes) for rows in parts(part, PART_CHARS)]
+            found, score = [x for tags, _ in told for x in tags], np.concatenate([s for _, s in told])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], pa.array(found, pa.string()), pa.array(score)],
                 [*names, *into],

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from mentionlake.llm.boosting import Boosted, Isotonic
-from mentionlake.llm.common import ready, texts
+from mentionlake.llm.common import ready, share, texts
 
 # Kinds in the order that breaks ties, and the patterns of the contract.
 KINDS = ("email", "ip", "card", "phone")
@@ -205,9 +205,13 @@ class Detector:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Detector:
-    """A detector from at most ``SAMPLE_TEXTS`` texts, picked by a hash of their key."""
+    """A detector from at most ``SAMPLE_TEXTS`` texts, picked by a hash of their key.
+
+    They are told apart from the rest where they lie, so only they travel, however many tasks there are.
+    """
+    usable = docs.where(F.col(text).rlike("[0-9@]"))
     rows = (
-        docs.where(F.col(text).rlike("[0-9@]"))
+        docs.where(share(key, F.lit(usable.count()), SAMPLE_TEXTS)).where(F.col(text).rlike("[0-9@]"))
         .select(F.xxhash64(key).alias("place"), F.substring(text, 1, SAMPLE_CHARS).alias("text"))
         .orderBy("place", "text")
         .limit(SAMPLE_TEXTS)
