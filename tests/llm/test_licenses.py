@@ -84,3 +84,31 @@ def test_untelling_words_cannot_reach_the_threshold(spark):
         weight = {w: c * idf(w) for w, c in Counter(WORD.findall(notice.lower())).items()}
         left = {w: x for w, x in weight.items() if not re.search(licenses.TELLING, w)}
         assert sum(x * x for x in left.values()) < licenses.THRESHOLD**2 * sum(x * x for x in weight.values())
+
+
+def test_whole_texts_headers_and_short_forms(frame):
+    from pathlib import Path
+
+    text = lambda name: (Path(licenses.__file__).parent / "license_texts" / f"{name}.txt").read_text()
+    wrapped = """# This program is free software: you can redistribute it and/or modify
+        # it under the terms of the GNU General Public License as published by
+        # the Free Software Foundation, either version 3 of the License, or
+        # (at your option) any later version."""
+    gpl = text("GPL-3.0").split("END OF TERMS AND CONDITIONS")[0]  # without the header at its end
+    filler = "\n".join(f"line {i} of words about nothing in particular" for i in range(60))
+    rows = [
+        (1, "https://a.org/mit/LICENSE", "Copyright (c) 2020 Some One\n\n" + text("MIT")), (2, "https://a.org/mit/x/page", "words"),
+        (3, "https://a.org/gpl/COPYING", gpl), (4, "https://a.org/gpl/page", "words"), (5, "https://a.org/f/a.py", wrapped + "\nimport os"),
+        (6, "https://a.org/f/b.py", "// SPDX-License-Identifier: Apache-2.0\n" + filler), (7, "https://a.org/f/c", "Licensed under CC BY 4.0."),
+        (8, "https://a.org/bsd/LICENSE.txt", text("BSD-3-Clause").replace("REGENTS", "COPYRIGHT HOLDERS")), (9, "https://a.org/f/d", "MIT License"),
+        (10, "https://a.org/apache/license", text("Apache-2.0")), (11, "https://a.org/f/e", filler), (12, "https://a.org/f/g", gpl[:3000]),
+        (13, "https://a.org/f/h", "/* Licensed under the Apache License,\n * Version 2.0 (see LICENSE for details) */"),
+        (14, "https://a.org/lgpl/COPYING.LESSER", text("LGPL-3.0")), (15, "https://a.org/f/i", "SPDX-License-Identifier: GPL-2.0-or-later"),
+        (1, "https://a.org/mit/LICENSE", "Copyright (c) 2020 Some One\n\n" + text("MIT")),
+    ]
+    out = {(r["page_id"], r["license"], r["origin"]) for r in licenses.scan(frame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {
+        (1, "MIT", "own"), (2, "MIT", "inherited"), (3, "GPL-3.0", "own"), (4, "GPL-3.0", "inherited"), (5, "GPL-3.0", "own"),
+        (6, "Apache-2.0", "own"), (7, "CC-BY-4.0", "own"), (8, "BSD-3-Clause", "own"), (9, "MIT", "own"), (10, "Apache-2.0", "own"),
+        (11, None, None), (12, "GPL-3.0", "own"), (13, "Apache-2.0", "own"), (14, "LGPL-3.0", "own"), (15, "GPL-2.0", "own"),
+    }
