@@ -2,7 +2,8 @@
 
 Templates are one-sentence notices, short names, standard headers, SPDX lines and whole license texts. Texts
 are cut into words (tags count as line ends); texts and templates are sparse vectors of words weighted by
-inverse document frequency over all lines of the corpus and by 1 + ln of their count. Three kinds of vectors
+the share of all lines of the corpus that hold them (1 - ln of it, shares below ``RARE`` count as ``RARE``, so
+weights do not grow with the table) and by 1 + ln of their count. Three kinds of vectors
 are made: one of each line, one of each place where a notice, header or text of up to ``HEADER`` words may lie
 (as many words as the template has, across line ends, so wrapped headers and notices inside long lines are
 found), and one of each whole license file. A page carries the license of the vector most like a template,
@@ -10,8 +11,8 @@ from ``THRESHOLD`` on. A license file (a directory's index or a file called lice
 notice) that carries one grants it to its directory and everything below; a page without its own inherits
 from the nearest directory above it that has a grant.
 
-A template's telling words are its heaviest ones, by the weights of the run, without which nothing reaches
-the threshold; lines and places without one are not compared. A template of a place is laid so that one of
+A template's telling words are those of it on fewest lines, as many as it takes for nothing to reach the
+threshold without them by the weights of the run; lines and places without one are not compared. A template of a place is laid so that one of
 its telling words falls on the same word of the page. Lines longer than ``LINE`` words are compared by places
 only. Only words of templates are counted; the weight of every other word is that of the rarest.
 Paths are joined by equality of directory prefixes, of which a page has as many as its
@@ -92,7 +93,8 @@ GNU = ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0")  # with -only a
 THRESHOLD = 0.8
 HEADER = 300  # most words of a template that is looked for inside a page; a longer one is compared with whole files
 LINE = 1000
-# Stems of which every one-sentence notice holds enough to be told by them.
+RARE = 1e-3  # share of lines from which on down a word is as heavy as can be
+# Stems of telling words of the one-sentence notices; the scan itself derives telling words from the weights of the run.
 TELLING = "|".join([
     "licen", "unencumbered", "domain", "gnu", "apache", "bsd", "mozilla", "creative", "by-nc", "by-sa", "released",
     "subject", "terms", "source", "governed", "affero", "lesser", "attribution", "commons", "public", "software",
@@ -136,8 +138,8 @@ def templates() -> list[tuple[str, tuple[str, ...], bool, bool]]:
 
 def weights(counts: dict[str, int], lines: int) -> tuple[dict[str, float], float]:
     """(weight of each word of the templates, weight of any other word)."""
-    idf = lambda n: math.log((lines + 1) / (n + 1)) + 1
-    return {w: idf(counts.get(w, 0)) for _, text, _, _ in templates() for w in text}, idf(1)
+    idf = lambda n: 1 - math.log(max(RARE, n / max(1, lines)))
+    return {w: idf(counts.get(w, 0)) for _, text, _, _ in templates() for w in text}, idf(0)
 
 
 def shares(idf: dict[str, float]) -> list[dict[str, float]]:
@@ -150,10 +152,10 @@ def shares(idf: dict[str, float]) -> list[dict[str, float]]:
     return out
 
 
-def telling(vector: dict[str, float]) -> list[str]:
-    """The heaviest words, without which what is left is too short for the threshold."""
+def telling(vector: dict[str, float], counts: dict[str, int]) -> list[str]:
+    """The words on fewest lines, without which what is left is too short for the threshold."""
     out, left = [], 1.0
-    for w, x in sorted(vector.items(), key=lambda e: (-e[1], e[0])):
+    for w, x in sorted(vector.items(), key=lambda e: (counts.get(e[0], 0), -e[1], e[0])):
         if left < THRESHOLD**2 - 1e-9:
             break
         out.append(w)
@@ -167,13 +169,13 @@ def _literal(places: dict[str, list[tuple[int, ...]]], names: tuple[str, ...]) -
     return F.expr(f"map({', '.join(f"'{w}', array({', '.join(map(struct, v))})" for w, v in sorted(places.items()))})")
 
 
-def candidates(pages: DataFrame, vectors: list[dict[str, float]]) -> DataFrame:
+def candidates(pages: DataFrame, vectors: list[dict[str, float]], counts: dict[str, int]) -> DataFrame:
     """(row, kind, place, size, numbers, words): what is compared with which templates."""
     on_line: dict[str, list[tuple[int, ...]]] = {}
     at_place: dict[str, list[tuple[int, ...]]] = {}
     whole = []
     for number, ((_, text, line, place), vector) in enumerate(zip(templates(), vectors)):
-        for w in telling(vector):
+        for w in telling(vector, counts):
             if line:
                 on_line.setdefault(w, []).append((number,))
             if place:
@@ -233,7 +235,7 @@ def scores(pages: DataFrame, key: str, text: str, path: str | None = None) -> Da
     known = spark.createDataFrame([(w, idf[w], v) for w, v in of_word.items()], "word string, idf double, shares array<struct<number: int, share: double>>")
     licenses = F.array(*(F.lit(t) for t, _, _, _ in templates()))
     place = ["row", "kind", "place", "size", "numbers"]
-    once = candidates(cut, vectors).groupBy(*place).agg(F.first("words").alias("words"))
+    once = candidates(cut, vectors, counts).groupBy(*place).agg(F.first("words").alias("words"))
     weighted = (
         once.select(*place, F.explode("words").alias("word")).groupBy(*place, "word").agg(F.count("*").alias("n"))
         .join(F.broadcast(known), "word", "left")

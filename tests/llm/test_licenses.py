@@ -112,3 +112,29 @@ def test_whole_texts_headers_and_short_forms(frame):
         (6, "Apache-2.0", "own"), (7, "CC-BY-4.0", "own"), (8, "BSD-3-Clause", "own"), (9, "MIT", "own"), (10, "Apache-2.0", "own"),
         (11, None, None), (12, "GPL-3.0", "own"), (13, "Apache-2.0", "own"), (14, "LGPL-3.0", "own"), (15, "GPL-2.0", "own"),
     }
+
+
+def test_scores_do_not_change_with_the_size_of_the_table(frame):
+    lines = ["This project is released under the MIT License", "Released under the MIT License (see LICENSE for details)",
+             "this is a text of the public", "under the terms of it", *["words of a line about something"] * 6]
+    schema = "page_id long, url string, html string"
+    got = []
+    for copies in (1, 10, 300):
+        rows = [(i * copies + j, f"https://a.org/{i}", x) for i, x in enumerate(lines) for j in range(copies)]
+        out = {(r["url"], r["license"], r["score"]) for r in licenses.scan(frame(rows, schema)).collect()}
+        assert len(out) == len(lines)
+        got.append(out)
+    assert got[0] == got[1] == got[2]
+    assert {(p, x) for p, x, _ in got[0] if x} == {("https://a.org/0", "MIT"), ("https://a.org/1", "MIT")}
+
+
+def test_notices_are_found_whatever_the_weights():
+    """Without its telling words no template reaches the threshold, at any counts of words."""
+    import random
+
+    for lines in (1, 1000, 10**9):
+        pick = random.Random(lines)
+        counts = {w: pick.randint(0, lines) for _, text, _, _ in licenses.templates() for w in text}
+        for vector in licenses.shares(licenses.weights(counts, lines)[0]):
+            left = set(vector) - set(licenses.telling(vector, counts))
+            assert sum(vector[w] ** 2 for w in left) < licenses.THRESHOLD**2
