@@ -26,7 +26,7 @@ from mentionlake.session import materialize, small_side
 SAMPLE_ROWS = 400  # labelled rows of a language that are learned from, about
 SAMPLE_CHARS = 1_500  # characters of each of them
 TRAINING_CHARS = 30_000  # normalised characters of a language in its automaton
-ALPHABET = 96  # letters told apart; rarer ones match nothing
+TABLE = 20_000_000  # entries of the dense table, about; decides how many letters of a language are in it, not results
 SEGMENT = 512
 PART_CHARS = 500_000  # characters parsed at a time
 UNKNOWN = "und"
@@ -77,48 +77,74 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 
 
 class Parsers:
-    """The automata of all languages in one dense table.
+    """The automata of all languages: a dense table for each language's most frequent letters, sorted arcs for others.
 
-    An entry is twice the table offset of the next state, plus one if a phrase ended before the
-    character. Symbol 0 is the blank, the last one any letter outside the alphabet.
+    Every letter of every training text has a symbol. An entry is twice the table offset of the next state, plus
+    one if a phrase ended before the character. Column 0 is the blank, the last one any letter that the language's
+    text lacks; a letter outside the dense table has a number instead, and its arcs are found by offset and number.
     """
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(lang for lang, text in samples.items() if text.strip())
-        counts = Counter()
-        for lang in self.languages:
-            n = len(samples[lang])
-            counts.update({c: k / n for c, k in Counter(samples[lang]).items() if c != " "})
-        ordered = sorted(counts, key=lambda c: (-counts[c], c))[:ALPHABET]
-        self.symbols = {c: i + 1 for i, c in enumerate(ordered)}
-        self.width = len(ordered) + 2
-        tables, self.roots, self.bits, states = [], [], [], 0
-        for lang in self.languages:
-            codes = [0 if c == " " else self.symbols.get(c, -1) for c in samples[lang]]
-            codes = [c for c in codes if c >= 0]
-            arcs = suffix_automaton(codes)
+        self.symbols = {c: i + 1 for i, c in enumerate(sorted({c for lang in self.languages for c in samples[lang]} - {" "}))}
+        coded = [[0 if c == " " else self.symbols[c] for c in samples[lang]] for lang in self.languages]
+        automata = [suffix_automaton(codes) for codes in coded]
+        letters = [[c for c, _ in sorted(Counter(codes).items(), key=lambda e: (-e[1], e[0])) if c] for codes in coded]
+        common = max(8, TABLE // max(1, sum(map(len, automata))) - 2)
+        common = min(common, max(map(len, letters), default=0))
+        self.width = common + 2
+        # column and number of each symbol in each language
+        self.columns = np.full((len(coded), len(self.symbols) + 2), common + 1, np.int32)
+        self.numbers = np.zeros_like(self.columns)
+        self.columns[:, 0] = 0
+        self.span = max(map(len, letters), default=0) + 1
+        tables, keys, nexts, starts, self.roots, self.bits, states = [], [], [], [], [], [], 0
+        for codes, arcs, known, column, number in zip(coded, automata, letters, self.columns, self.numbers):
+            column[known[:common]] = np.arange(1, len(known[:common]) + 1)
+            number[known[common:]] = np.arange(1, len(known[common:]) + 1)
             root = states * self.width
             alone = states + len(arcs)  # reached by a letter that no phrase can hold
-            entries = np.full((len(arcs) + 1, self.width), 2 * alone * self.width + 1, np.int32)
+            entries = np.full((len(arcs) + 1, self.width), 2 * alone * self.width + 1, np.int64)
             entries[0] -= 1
-            for c, to in arcs[0].items():
-                entries[1:, c] = 2 * (states + to) * self.width + 1
             at = np.repeat(np.arange(len(arcs)), [len(a) for a in arcs])
             symbol = np.array([c for a in arcs for c in a], np.int64)
-            entries[at, symbol] = [2 * (states + to) * self.width for a in arcs for to in a.values()]
+            to = 2 * (states + np.array([t for a in arcs for t in a.values()], np.int64)) * self.width
+            rare = number[symbol] > 0
+            first = (at == 0) & ~rare
+            entries[1:, column[symbol[first]]] = to[first] + 1
+            entries[at[~rare], column[symbol[~rare]]] = to[~rare]
             tables.append(entries.ravel())
+            keys.append((states + at[rare]) * self.width * self.span + number[symbol[rare]])
+            nexts.append(to[rare])
+            begin = np.zeros(self.span, np.int64)  # of a phrase that starts with a numbered letter
+            begin[number[symbol[rare & (at == 0)]]] = to[rare & (at == 0)]
+            starts.append(begin)
             self.roots.append(root)
             self.bits.append(math.log2(max(2, len(codes))))
             states += len(arcs) + 1
-        self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
+        kind = np.int32 if 2 * states * self.width < 2**31 else np.int64
+        self.table = np.concatenate(tables).astype(kind) if tables else np.empty(0, kind)
+        self.keys = np.concatenate(keys) if keys else np.empty(0, np.int64)
+        order = np.argsort(self.keys)
+        self.keys, self.nexts = self.keys[order], np.concatenate(nexts)[order] if nexts else np.empty(0, np.int64)
+        self.starts = np.stack(starts) if starts else np.empty((0, 1), np.int64)
 
     def codes(self) -> np.ndarray:
-        """Symbol of each code point."""
-        table = np.where(letter_table(), self.width - 1, 0).astype(np.uint8)
+        """Symbol of each code point; the last one is any letter of no training text."""
+        table = np.where(letter_table(), len(self.symbols) + 1, 0).astype(np.int32)
         for c, i in self.symbols.items():
             table[ord(c)] = i
         return table
 
+    def numbered(self, state: np.ndarray, number: np.ndarray, entry: np.ndarray) -> None:
+        """Set the entries of letters that are not in the dense table."""
+        lang, text = np.nonzero(number)
+        if len(lang):
+            which = number[lang, text]
+            key = state[lang, text] * self.span + which
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            entry[lang, text] = np.where(self.keys[at] == key, self.nexts[at], self.starts[lang, which] + 1)
+
     def phrases(self, rows: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(phrases by text and language, normalised length of each text; 0: no letter)."""
         lowered = [t.lower() for t in rows]
@@ -141,10 +167,15 @@ class Parsers:
         text, start, size = text[order], start[order], size[order]
         total = np.zeros((len(self.languages), len(text)), np.int32)
         state = np.repeat(np.array(self.roots, np.int64)[:, None], len(text), axis=1)
+        columns, numbers = self.columns[:, symbol], self.numbers[:, symbol]
+        rare = numbers.any()
         active = np.searchsorted(-size, -np.arange(SEGMENT), side="left")
         for t in range(int(size[0]) if len(size) else 0):
             m = active[t]
-            entry = self.table.take(state[:, :m] + symbol[start[:m] + t])
+            at = start[:m] + t
+            entry = self.table.take(state[:, :m] + columns[:, at])
+            if rare:
+                self.numbered(state[:, :m], numbers[:, at], entry)
             total[:, :m] += entry & 1
             state[:, :m] = entry >> 1
         total += state != np.array(self.roots)[:, None]

@@ -53,3 +53,25 @@ def test_held_out_accuracy(spark):
     rows = op8_language(spark, folder).join(docs, "doc_id").where("held_out").collect()
     assert all(0 <= r["score"] <= 1 for r in rows)
     assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.97
+
+
+def test_every_letter_of_many_scripts_counts(monkeypatch):
+    """Letters of all training texts are told apart, in the dense table or not."""
+    scripts = {"ar": (0x627, 28), "el": (0x3B1, 24), "en": (0x61, 26), "he": (0x5D0, 27), "hi": (0x905, 50), "hy": (0x561, 38), "ja": (0x3042, 80),
+               "ka": (0x10D0, 33), "ko": (0xAC00, 1500), "ru": (0x430, 32), "th": (0xE01, 46), "zh": (0x4E00, 3000)}
+    rng = np.random.default_rng(7)
+
+    def text(lang, n):
+        first, size = scripts[lang]
+        p = 1 / np.arange(1, size + 1)
+        return language.normalise("".join(map(chr, np.where(rng.random(n) < 0.15, 32, first + rng.choice(size, n, p=p / p.sum())))))
+
+    samples = {lang: text(lang, 3000) for lang in scripts}
+    rows, want = [text(lang, 200) for lang in scripts], list(scripts)
+    for table in (language.TABLE, 1):
+        monkeypatch.setattr(language, "TABLE", table)
+        parsers = language.Parsers(samples)
+        assert set("".join(samples.values())) - {" "} == set(parsers.symbols)
+        found, _ = parsers.phrases(rows, parsers.codes())
+        assert found.tolist() == [[brute(row, samples[lang]) for lang in parsers.languages] for row in rows]
+        assert parsers.predict(rows, parsers.codes())[0] == want
