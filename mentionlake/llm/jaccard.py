@@ -156,6 +156,17 @@ def _described(width: int, percent: int, shared):
     return run
 
 
+def _classes(width: int):
+    """(key, text, class) of texts."""
+
+    def run(batches):
+        for batch, part in texts(batches):
+            kind = [digest(tokens) if len(tokens) else None for tokens in shingle_sets(part, width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kind, pa.int64())], ["key", "text", "class"])
+
+    return run
+
+
 def _sets(width: int):
     """(class, tokens) of texts whose set is the one that is looked for."""
 
@@ -432,8 +443,12 @@ class Join:
         return traversed.distinct()
 
 
-def join(docs: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) of every row: sets link from ``percent`` / 100 Jaccard similarity."""
+def classed(docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
+    """(key, n, class, component, component_id) of every row; class and component are null without words or key of its set.
+
+    ``component`` is a number of its own for each component, ``component_id`` its smallest key, which rows of
+    several components may share if they share the key.
+    """
     work = Join(docs, key, text, width, percent)
     reached, edges = None, None
     for salt in range(ROUNDS + 1):
@@ -448,8 +463,13 @@ def join(docs: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id"
         .withColumn("component", F.coalesce("component", "class"))
     )
     smallest = lowest.groupBy("component").agg(F.min("holder").alias("component_id"))
-    of_class = lowest.join(smallest, "component").select("class", "component_id")
-    return work.described.select("key", "n", "class").join(of_class, "class", "left").select(
+    of_class = lowest.join(smallest, "component").select("class", "component", "component_id")
+    return work.described.select("key", "n", "class").join(of_class, "class", "left")
+
+
+def join(docs: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id) of every row: sets link from ``percent`` / 100 Jaccard similarity."""
+    return classed(docs, width, percent, key, text).select(
         F.col("key").alias(key),
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key")).alias("component_id"),
@@ -459,17 +479,32 @@ def join(docs: DataFrame, width: int = 4, percent: int = 85, key: str = "doc_id"
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the row of the smallest key of each component; rows without a key or words stay.
 
-    Only the keys that go are joined. Repeats of one row count once.
+    Of several texts of that key in one component the least stays; of one key, texts of different components are
+    decided each by its own. Only the keys that go, and rows whose key repeats, are joined. Repeats of one row
+    count once.
     """
-    found = join(docs, width, percent, key, text)
-    gone = materialize(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct(), "gone")
-    twice = materialize(
-        found.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__twice")).agg(F.count("*").alias("__n")).where("__n > 1")
-        .select("__twice"), "twice")
-    kept = docs.join(small_side(gone, gone.count(), BROADCAST_KEYS), F.col(key) == F.col("__gone"), "left_anti")
+    found = materialize(classed(docs, width, percent, key, text).where("key is not null"), "classed")
+    twice = materialize(found.groupBy(F.col("key").alias("__twice")).agg(F.count("*").alias("__n")).where("__n > 1").select("__twice"), "twice")
     repeated = twice.count()
+    gone = found.where("key <> component_id").select(F.col("key").alias("__gone")).distinct()
+    if repeated:
+        twice = small_side(twice, repeated, BROADCAST_KEYS)
+        gone = gone.join(twice, F.col("__gone") == F.col("__twice"), "left_anti")
+    gone = materialize(gone, "gone")
+    kept = docs.join(small_side(gone, gone.count(), BROADCAST_KEYS), F.col(key) == F.col("__gone"), "left_anti")
     if not repeated:
         return kept
-    twice = small_side(twice, repeated, BROADCAST_KEYS)
     same = F.col(key) == F.col("__twice")
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([key, text]))
+    again = docs.join(twice, same, "left_semi")
+    kind = docs.schema[key].dataType.simpleString()
+    pairs = again.select(F.col(key).alias("key"), F.col(text).alias("text")).distinct().mapInArrow(_classes(width), f"key {kind}, text string, class bigint")
+    verdicts = found.join(twice, F.col("key") == F.col("__twice"), "left_semi").where("class is not null").select("key", "class", "component", "component_id").distinct()
+    judged = pairs.join(verdicts, ["key", "class"], "left").where("class is null or key = component_id")
+    # one text of each component; texts without words are repeats only of themselves
+    stay = (
+        judged.groupBy("key", "component", F.when(F.col("class").isNull(), F.struct(F.col("text").alias("t"))).alias("__own"))
+        .agg(F.min("text").alias("text")).select(F.col("key").alias("__key"), F.col("text").alias("__text"))
+    )
+    once = again.dropDuplicates([key, text]).join(
+        stay, (F.col(key) == F.col("__key")) & F.col(text).eqNullSafe(F.col("__text")), "left_semi")
+    return kept.join(twice, same, "left_anti").unionByName(once)

@@ -118,3 +118,18 @@ def test_query_equals_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     out = op5_jaccard(spark, folder).collect()
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in out) == brute(rows)
+
+
+def test_one_of_each_when_keys_repeat_with_other_texts(frame):
+    text = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    one, two, three, clean = text("a"), text("b"), text("c"), text("d")
+    rows = [
+        (1, one), (5, one + " added"), (5, clean),  # a near copy and a clean text of one key
+        (2, two), (2, two + " added"), (8, two + " more"),  # near copies that share the smallest key
+        (3, three), (3, three), (4, None), (4, None), (4, ""), (None, one), (6, text("e")), (9, clean + " more"),
+    ]
+    out = jaccard.one_of_each(frame([(*r, 1) for r in rows], "doc_id long, text string, class int")).collect()
+    assert all(r["class"] == 1 for r in out)
+    got = [(r["doc_id"], r["text"]) for r in out]
+    assert len(got) == len(set(got))
+    assert set(got) == {(1, one), (5, clean), (2, two), (3, three), (4, None), (4, ""), (None, one), (6, text("e"))}
