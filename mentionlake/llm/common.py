@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -95,3 +97,46 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         pairs.groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("component"))
         .unionByName(roots.select("vertex", F.col("vertex").alias("component")))
     )
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[list[int], pa.RecordBatch]]:
+    """(key, rows) of each stretch of rows with equal keys; batch ends cut stretches. Keys are whole numbers."""
+    for batch in batches:
+        if batch.num_rows:
+            columns = [batch.column(k).to_numpy() for k in keys]
+            starts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)]).tolist()
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                yield [int(c[start]) for c in columns], batch.slice(start, end - start)
+
+
+def meet(
+    batches: Iterator[pa.RecordBatch],
+    keys: list[str],
+    build: Callable[[pa.Table], object],
+    probe: Callable[[object, pa.RecordBatch], Iterator[pa.RecordBatch]],
+) -> Iterator[pa.RecordBatch]:
+    """Build from the rows with role 0 of each group, then probe with those of role 1, batch by batch.
+
+    The rows come sorted by ``keys`` and role, so only what is built is held.
+    """
+    group, held, built = None, [], None
+    for (*own, role), rows in runs(batches, [*keys, "role"]):
+        if own != group:
+            group, held, built = own, [], None
+        if role == 0:
+            held.append(rows)
+        elif held:
+            built = build(pa.Table.from_batches(held)) if built is None else built
+            yield from probe(built, rows)
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Other batches for what runs inside: more rows where all rows are short."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

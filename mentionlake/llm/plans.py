@@ -7,7 +7,9 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mentionlake.llm import bpe, jaccard, language, licenses, mixing, neardup, neighbours, pii, quotes, toxicity
+from mentionlake.llm import (
+    bpe, jaccard, language, licenses, mixing, neardup, neighbours, pii, quotes, toxicity, warc,
+)
 from mentionlake.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -114,3 +116,19 @@ ORACLES["op3_quotes"] = quotes.ORACLE
 def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """License of every page, its own or that of the nearest directory above it."""
     return licenses.scan(table(spark, folder, "pages"))
+
+
+@query
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page archived as a WARC record and read back."""
+    archive = warc.write(table(spark, folder, "pages"))
+    return warc.digests(warc.restore(spark, archive)).select(
+        F.col("key").cast("long").alias("page_id"),
+        F.col("size").alias("payload_bytes"),
+        F.col("sha1").alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+ORACLES["op13_warc"] = warc.ORACLE
