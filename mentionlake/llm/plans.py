@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mentionlake.llm import (
-    bpe, jaccard, language, licenses, mixing, neardup, neighbours, pii, quotes, toxicity, warc,
+    bpe, jaccard, language, licenses, mixing, neardup, negatives, neighbours, pii, quotes, toxicity, warc,
 )
 from mentionlake.llm.common import table
 
@@ -118,6 +118,17 @@ def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "pages"))
 
 
+@query
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Five negatives for each of five positives of every 100th id; every 7th label is off by one."""
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+ORACLES["op12_negatives"] = negatives.ORACLE
+
+
 @query
 def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page archived as a WARC record and read back."""
