@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mentionlake.llm import (
-    bpe, jaccard, language, licenses, mixing, neardup, negatives, neighbours, pii, quotes, toxicity, warc,
+    bpe, jaccard, language, licenses, mixing, neardup, negatives, neighbours, pii, quotes, toxicity, variants, warc,
 )
 from mentionlake.llm.common import table
 
@@ -118,6 +118,15 @@ def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "pages"))
 
 
+@query
+def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Spelling variants of the words of all documents."""
+    return variants.group(variants.words(table(spark, folder, "documents")))
+
+
+ORACLES["op11_variants"] = variants.ORACLE
+
+
 @query
 def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Five negatives for each of five positives of every 100th id; every 7th label is off by one."""
