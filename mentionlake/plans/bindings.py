@@ -116,6 +116,15 @@ SELECT ts, CASE event_type WHEN 'signup' THEN 'posts' WHEN 'view' THEN 'comments
     WHEN 'click' THEN 'requests' ELSE 'other' END AS kind,
   CAST(CASE WHEN event_type = 'click' THEN floor(value * 40) ELSE floor(value) END AS BIGINT) AS n
 FROM {events}""",
+    "b_quiet_log": """
+SELECT ts, CASE event_type WHEN 'signup' THEN 'posts' WHEN 'view' THEN 'comments'
+    WHEN 'click' THEN 'requests' ELSE 'other' END AS kind, CAST(floor(value) AS BIGINT) AS n
+FROM {events} WHERE extract(hour FROM ts) NOT BETWEEN 2 AND 6""",
+    "b_due_posts": """
+SELECT concat('t3_', doc_id) AS id, CASE WHEN lang = 'en' THEN 'wallstreetbets' ELSE lang END AS subreddit,
+  CASE WHEN n_chars % 4 = 0 THEN concat('Daily Discussion Thread ', doc_id) ELSE 'other' END AS title,
+  n_chars % 2 = 0 AS first_done, TS<<1704067200 + doc_id * 60>> AS created_utc
+FROM {documents}""",
     "b_hot_posts": """
 SELECT id, subreddit, CASE num_comments % 4 WHEN 0 THEN concat('Daily Discussion Thread ', id)
     WHEN 1 THEN 'What Are Your MOVES Tomorrow' WHEN 2 THEN 'weekend moves for you' ELSE title END AS title,

@@ -12,7 +12,7 @@ from mentionlake.plans.bindings import BINDINGS, ctes, frame, spark_sql, tables_
 from mentionlake.plans.corpus import EVERY_FORUM, MAPPED_COMMENTS, comment_lines
 from mentionlake.plans.registry import query
 from mentionlake.session import new_folder
-from mentionlake.streaming import cursor, jobs, passes
+from mentionlake.streaming import cursor, heartbeat, jobs, passes, trees
 
 TODAY = "2024-01-20"
 
@@ -127,12 +127,11 @@ def finished(streamed: DataFrame, label: str) -> DataFrame:
 
 @query(
     "heartbeat_stream",
-    th.HEARTBEAT.format(
-        hours="totals WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM b_ingest_log)"
-    ),
+    th.heartbeat_sql("b_quiet_log", "hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM b_quiet_log)"),
 )
 def heartbeat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finished(jobs.heartbeat(stream(spark, sf_dir, "b_ingest_log")), "heartbeat")
+    """A log that is silent from two to seven every night."""
+    return finished(heartbeat.heartbeat(stream(spark, sf_dir, "b_quiet_log")), "heartbeat")
 
 
 @query("stream_ingest_dedup", MAPPED_COMMENTS)
@@ -175,29 +174,53 @@ def drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(cursor.retirements(arriving), "retired")
 
 
+def arriving_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tree")
+    tree = frame(spark, sf_dir, "b_tree")
+    tree.write.parquet(folder)
+    return spark.readStream.schema(tree.schema).parquet(folder)
+
+
+IN_GRACE = "r.created_utc BETWEEN top_created AND top_created + INTERVAL 12 HOUR"
+
+
 @query(
     "late_reply_stream",
-    f"""WITH {ctes('b_tree')}
-SELECT c.id, c.parent_id, c.created_utc, r.id AS root_id, r.created_utc AS root_created
-FROM b_tree AS c JOIN b_tree AS r ON c.parent_id = r.id AND r.parent_id = r.post_id
-WHERE c.created_utc BETWEEN r.created_utc AND r.created_utc + INTERVAL 12 HOUR""",
+    f"""WITH {ctes('b_tree')},
+tops AS (SELECT id, created_utc AS top_created FROM b_tree WHERE parent_id = post_id),
+firsts AS (SELECT r.*, top_created FROM b_tree AS r JOIN tops AS t ON r.parent_id = t.id WHERE {IN_GRACE}),
+seconds AS (SELECT r.*, top_created FROM b_tree AS r JOIN firsts AS t ON r.parent_id = t.id WHERE {IN_GRACE})
+SELECT id, post_id, created_utc, top_created, 1 AS depth FROM firsts
+UNION ALL SELECT id, post_id, created_utc, top_created, 2 FROM seconds""",
 )
 def late_reply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_folder(spark, "tree")
-    tree = frame(spark, sf_dir, "b_tree")
-    tree.write.parquet(folder)
-    arriving = spark.readStream.schema(tree.schema).parquet(folder)
-    roots, replies = arriving.filter("parent_id = post_id"), arriving.filter("parent_id <> post_id")
-    return finished(jobs.late_replies(roots, replies), "late-replies")
+    return finished(trees.tree_stream(arriving_tree(spark, sf_dir)).filter("depth > 0"), "late-replies")
+
+
+@query("tree_stream", th.TREE)
+def tree_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a fetch since each thread's cursor finds, as the comments arrive."""
+    cursors = frame(spark, sf_dir, "b_cursors")
+    return finished(trees.collect_since(arriving_tree(spark, sf_dir), cursors), "tree")
 
 
 @query(
     "due_pass_stream",
-    f"""WITH {ctes('b_posts')},
-passes AS (SELECT '1h' AS pass, 55 AS low, 70 AS high UNION ALL SELECT '24h', 1410, 1470)
+    f"""WITH {ctes('b_due_posts')},
+passes AS (SELECT '1h' AS pass, 55 AS low, 70 AS high UNION ALL SELECT '24h', 1410, 1470),
+awaited AS (SELECT * FROM b_due_posts WHERE id <> 't3_0' AND NOT (subreddit = 'wallstreetbets'
+  AND regexp_matches(title, '(daily discussion|what are your moves|moves for)', 'i')))
 SELECT id, pass, created_utc + to_minutes(low) AS due_from, created_utc + to_minutes(high) AS due_until
-FROM b_posts, passes
-WHERE created_utc + to_minutes(low) <= (SELECT max(created_utc) - INTERVAL 10 MINUTE FROM b_posts)""",
+FROM awaited, passes
+WHERE created_utc + to_minutes(low) <= (SELECT max(created_utc) - INTERVAL 10 MINUTE FROM awaited)
+  AND NOT (pass = '1h' AND first_done)""",
 )
 def due_pass_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return finished(passes.due_passes(stream(spark, sf_dir, "b_posts")), "passes")
+    """The log says that every second post has had its first pass."""
+    posts = frame(spark, sf_dir, "b_due_posts")
+    value = F.when(F.col("first_done"), "done").otherwise("pending")
+    done = posts.select(
+        F.col("id").alias("post_id"), F.lit("1h").alias("pass"), value.alias("value"),
+        (F.col("created_utc") + F.expr("INTERVAL 1 HOUR")).alias("updated_at"))
+    arriving = stream(spark, sf_dir, "b_due_posts")
+    return finished(passes.due_passes(arriving, done, current_thread=F.lit("t3_0")), "passes")

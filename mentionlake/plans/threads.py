@@ -98,17 +98,17 @@ def record_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table).drop("polled_date")
 
 
-@query(
-    "tree_since_cursor",
-    f"""WITH {ctes('b_tree', 'b_cursors')},
+TREE = f"""WITH {ctes('b_tree', 'b_cursors')},
 tops AS (
   SELECT t.*, cursor_utc FROM b_tree AS t JOIN b_cursors USING (post_id) WHERE parent_id = post_id
     AND (cursor_utc IS NULL OR created_utc >= cursor_utc - INTERVAL 12 HOUR)),
 firsts AS (SELECT r.*, cursor_utc FROM b_tree AS r JOIN tops ON r.parent_id = tops.id),
 seconds AS (SELECT r.*, cursor_utc FROM b_tree AS r JOIN firsts ON r.parent_id = firsts.id),
 found AS (SELECT *, 0 AS depth FROM tops UNION ALL SELECT *, 1 FROM firsts UNION ALL SELECT *, 2 FROM seconds)
-SELECT id, post_id, created_utc, depth FROM found WHERE cursor_utc IS NULL OR created_utc >= cursor_utc""",
-)
+SELECT id, post_id, created_utc, depth FROM found WHERE cursor_utc IS NULL OR created_utc >= cursor_utc"""
+
+
+@query("tree_since_cursor", TREE)
 def tree_since_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every comment, with a reply eleven hours later to each."""
     return threads.collect_since(frame(spark, sf_dir, "b_tree"), frame(spark, sf_dir, "b_cursors"))
@@ -259,19 +259,21 @@ def threads_to_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polling.threads_to_poll(state)
 
 
-HEARTBEAT = f"""WITH {ctes('b_ingest_log')},
+def heartbeat_sql(log: str, hours: str) -> str:
+    """Rates of the given hours of a log."""
+    return f"""WITH {ctes(log)},
 totals AS (SELECT date_trunc('hour', ts) AS hour, sum(n) FILTER (kind = 'posts') AS posts,
   sum(n) FILTER (kind = 'comments') AS comments, sum(n) FILTER (kind = 'requests') AS requests
-  FROM b_ingest_log GROUP BY 1),
+  FROM {log} GROUP BY 1),
 spine AS (SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM totals),
 beats AS (SELECT hour, CAST(coalesce(posts, 0) AS BIGINT) AS posts_per_hour,
     CAST(coalesce(comments, 0) AS BIGINT) AS comments_per_hour,
     CAST(coalesce(requests, 0) AS BIGINT) AS api_requests
-  FROM {{hours}})
+  FROM spine LEFT JOIN totals USING (hour) WHERE {hours})
 SELECT *, api_requests / 60 AS requests_per_minute, api_requests / 60 > 80 AS rate_alert,
   posts_per_hour = 0 AND comments_per_hour = 0 AS idle_alert FROM beats"""
 
 
-@query("heartbeat_hourly", HEARTBEAT.format(hours="spine LEFT JOIN totals USING (hour)"))
+@query("heartbeat_hourly", heartbeat_sql("b_ingest_log", "true"))
 def heartbeat_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_rates.heartbeat(frame(spark, sf_dir, "b_ingest_log"))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from mentionlake import fixed_values as fixed
@@ -15,6 +15,7 @@ CURSOR_SCHEMA = (
     "thread_id string, polled_at timestamp, event_id bigint, cold_start boolean, "
     "cursor_advanced boolean, cursor_utc timestamp, streak bigint, estimated_skipped int"
 )
+CHANGE_SCHEMA = "subreddit string, thread_id string, polled_at timestamp, event_id bigint, is_primary boolean"
 DRAIN_SCHEMA = (
     "subreddit string, thread_id string, drain_started timestamp, retired_at timestamp, "
     "idle_polls bigint"
@@ -67,50 +68,58 @@ def cursors(polls: DataFrame) -> DataFrame:
     )
 
 
-class DrainProcessor(StatefulProcessor):
-    """Primary thread of one sub-forum and the replaced threads that are still polled."""
+class RolloverProcessor(StatefulProcessor):
+    """Primary thread of one sub-forum: when it changes, the old one is replaced and the new one is back."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.primary = handle.getValueState("primary", "thread_id string")
-        self.draining = handle.getMapState(
-            "draining", "thread_id string", "drain_started timestamp, idle_polls bigint"
-        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        retired = []
-        oldest = timedelta(hours=fixed.DRAIN_MAX_HOURS)
-        log = _in_order(
-            (r.assign(after=~r["is_primary"]) for r in rows), ["polled_at", "after", "event_id"]
-        )
-        current = self.primary.get()
-        current = current[0] if current else None
-        # a forum drains a handful of threads: read their state once, write it back once
-        before = {k[0]: (pd.Timestamp(v[0]), v[1]) for k, v in self.draining.iterator()}
-        draining = dict(before)
-        for poll in log.itertuples():
-            thread = poll.thread_id
-            if poll.is_primary:
-                if current is not None and current != thread:
-                    draining.setdefault(current, (poll.polled_at, 0))
-                current = thread
-            elif thread in draining and thread != current:
-                started, idle = draining[thread]
-                idle = 0 if poll.ingested > 0 else idle + 1
-                if idle and (
-                    idle >= fixed.DRAIN_IDLE_POLLS or poll.polled_at - started >= oldest
-                ):
-                    del draining[thread]
-                    retired.append((key[0], thread, started, poll.polled_at, idle))
-                else:
-                    draining[thread] = (started, idle)
-        for thread in before.keys() - draining.keys():
-            self.draining.removeKey((thread,))
-        for thread, state in draining.items():
-            self.draining.updateValue((thread,), state)
+        known = self.primary.get()
+        current = known[0] if known else None
+        out = []
+        for poll in _in_order(rows, ["polled_at", "event_id"]).itertuples():
+            if current != poll.thread_id:
+                if current is not None:
+                    out.append((key[0], current, poll.polled_at, poll.event_id, False))
+                out.append((key[0], poll.thread_id, poll.polled_at, poll.event_id, True))
+                current = poll.thread_id
         if current is not None:
             self.primary.update((current,))
-        names = [part.split()[0] for part in DRAIN_SCHEMA.split(", ")]
-        yield pd.DataFrame(retired, columns=names)
+        yield pd.DataFrame(out, columns=[part.split()[0] for part in CHANGE_SCHEMA.split(", ")])
+
+    def close(self) -> None:
+        pass
+
+
+class DrainProcessor(StatefulProcessor):
+    """One thread of a sub-forum: from its replacement to its retirement, unless it is primary again."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.drain = handle.getValueState("drain", "is_primary boolean, drain_started timestamp, idle_polls bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        oldest = timedelta(hours=fixed.DRAIN_MAX_HOURS)
+        state = self.drain.get()
+        primary, started, idle = state if state else (False, None, 0)
+        started = None if started is None else pd.Timestamp(started)
+        retired = []
+        # changes of the primary thread come before the polls of the same time
+        for row in _in_order(rows, ["polled_at", "is_poll", "event_id"]).itertuples():
+            if not row.is_poll:
+                primary = row.is_primary
+                if not primary and started is None:
+                    started, idle = row.polled_at, 0
+            elif started is not None and not primary:
+                idle = 0 if row.ingested > 0 else idle + 1
+                if idle and (idle >= fixed.DRAIN_IDLE_POLLS or row.polled_at - started >= oldest):
+                    retired.append((*key, started, row.polled_at, idle))
+                    started, idle = None, 0
+        if primary or started is not None:
+            self.drain.update((primary, None if started is None else started.to_pydatetime(), idle))
+        elif state:
+            self.drain.clear()
+        yield pd.DataFrame(retired, columns=[part.split()[0] for part in DRAIN_SCHEMA.split(", ")])
 
     def close(self) -> None:
         pass
@@ -119,8 +128,15 @@ class DrainProcessor(StatefulProcessor):
 def retirements(polls: DataFrame) -> DataFrame:
     """Streaming twin of ``operators.polling.drain_outcomes``; emits a thread when it is retired.
 
-    ``polls`` has subreddit, polled_at, event_id, thread_id, is_primary and ingested.
+    ``polls`` has subreddit, polled_at, event_id, thread_id, is_primary and ingested. Only the polls that
+    name a primary thread meet by forum; what changes there goes to the threads, and polls are dealt by thread.
     """
-    return polls.groupBy("subreddit").transformWithStateInPandas(
+    named = polls.filter("is_primary").select("subreddit", "polled_at", "event_id", "thread_id")
+    changes = named.groupBy("subreddit").transformWithStateInPandas(RolloverProcessor(), CHANGE_SCHEMA, "Append", "None")
+    none = F.lit(None).cast("int")
+    told = changes.withColumns({"is_poll": F.lit(False), "ingested": none})
+    polled = polls.filter("NOT is_primary").select(
+        "subreddit", "thread_id", "polled_at", "event_id", F.lit(False).alias("is_primary"), F.lit(True).alias("is_poll"), "ingested")
+    return told.unionByName(polled).groupBy("subreddit", "thread_id").transformWithStateInPandas(
         DrainProcessor(), DRAIN_SCHEMA, "Append", "None"
     )

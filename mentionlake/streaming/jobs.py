@@ -1,11 +1,10 @@
-"""Incremental ingest, hourly heartbeat and late replies, and how a stream is run to its end."""
+"""Incremental ingest, and how a stream is run to its end."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionlake import fixed_values as fixed
-from mentionlake.operators import archive, ingest_rates, quality
+from mentionlake.operators import archive, quality
 from mentionlake.session import new_folder
 
 
@@ -66,31 +65,3 @@ def ingest_lines(
         .start()
     )
     query.awaitTermination()
-
-
-def heartbeat(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Stream of hourly rates with alerts, each hour emitted once it is complete."""
-    hours = (
-        log.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 hour").alias("w"))
-        .agg(*ingest_rates.counters())
-        .withColumn("hour", F.col("w.start"))
-    )
-    return ingest_rates.with_alerts(hours)
-
-
-def late_replies(roots: DataFrame, replies: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Replies joined to the top-level comment they answer, up to the grace period after it.
-
-    ``roots`` and ``replies`` have id and created_utc, replies also parent_id. The time bound lets
-    Spark forget roots whose grace period has passed.
-    """
-    r = roots.select(F.col("id").alias("root_id"), F.col("created_utc").alias("root_created"))
-    c = replies.select("id", "parent_id", "created_utc")
-    grace = F.make_dt_interval(hours=F.lit(fixed.REPLY_GRACE_HOURS))
-    in_time = (F.col("created_utc") >= F.col("root_created")) & (
-        F.col("created_utc") <= F.col("root_created") + grace
-    )
-    return c.withWatermark("created_utc", delay).join(
-        r.withWatermark("root_created", delay), (F.col("parent_id") == F.col("root_id")) & in_time
-    )

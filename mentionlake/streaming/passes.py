@@ -2,41 +2,80 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from mentionlake import fixed_values as fixed
+from mentionlake.operators.threads import is_daily_post
 
+DUE = "id string, pass string, due_from timestamp, due_until timestamp"
+_MINUTE = 60_000
+_LAST = max(high for _, high in fixed.COMMENT_PASSES.values())
 
-def _one_pass(posts: DataFrame, name: str, low: int, high: int, delay_minutes: int) -> DataFrame:
-    """Posts held back until event time reaches the start of their age window.
 
-    The due time is the event time of the group, so the state store itself releases each post when
-    the watermark gets there. Shifting the delay by the same minutes keeps the watermark that of the
-    creation times.
-    """
-    def later(minutes: int):
-        return F.col("created_utc") + F.make_dt_interval(mins=F.lit(minutes))
-
-    due = posts.select(
-        "id",
-        F.lit(name).alias("pass"),
-        later(low).alias("due_from"),
-        later(high).alias("due_until"),
-    )
-    return (
-        due.withWatermark("due_from", f"{low + delay_minutes} minutes")
-        .groupBy("id", "pass", "due_from", "due_until")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .drop("copies")
-    )
+class PassProcessor(StatefulProcessor):
+    """Passes of one post that are still to come; a timer releases each when event time gets there."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.post = handle.getValueState("post", "created_ms bigint")
+        self.done = handle.getValueState("done", "passes string, known_ms bigint")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Passes the log knows of; forgotten when the post cannot come any more."""
+        known = int(initialState["updated_at"].max().timestamp() * 1000)
+        self.done.update((",".join(sorted(set(initialState["pass"]))), known))
+        self.handle.registerTimer(max(known, timerValues.getCurrentWatermarkInMs()) + (_LAST + 1) * _MINUTE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        created = min(int(part["created_utc"].min().timestamp() * 1000) for part in rows)
+        if not self.post.exists():
+            self.post.update((created,))
+            for low, _ in fixed.COMMENT_PASSES.values():
+                self.handle.registerTimer(max(created + low * _MINUTE, timerValues.getCurrentWatermarkInMs() + 1))
+        return iter(())
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        post, log = self.post.get(), self.done.get()
+        names = set(log[0].split(",")) if log and log[0] else set()
+        if post:
+            created = post[0]
+            due = [n for n, (low, _) in fixed.COMMENT_PASSES.items() if created + low * _MINUTE <= now and n not in names]
+            if due:
+                moment = lambda minutes: pd.Timestamp(created + minutes * _MINUTE, unit="ms")
+                yield pd.DataFrame({
+                    "id": key[0], "pass": due,
+                    "due_from": [moment(fixed.COMMENT_PASSES[n][0]) for n in due],
+                    "due_until": [moment(fixed.COMMENT_PASSES[n][1]) for n in due],
+                })
+                names |= set(due)
+                self.done.update((",".join(sorted(names)), created))
+        if (not post and log) or names >= set(fixed.COMMENT_PASSES) or (post and post[0] + _LAST * _MINUTE < now):
+            self.post.clear()
+            self.done.clear()
 
-def due_passes(posts: DataFrame, delay_minutes: int = 10) -> DataFrame:
-    """Stream of (id, pass, due_from, due_until), each emitted once, when it becomes due."""
-    parts = [
-        _one_pass(posts, name, low, high, delay_minutes)
-        for name, (low, high) in fixed.COMMENT_PASSES.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    def close(self) -> None:
+        pass
+
+
+def due_passes(
+    posts: DataFrame, done: DataFrame | None = None, *, current_thread: Column | None = None, delay_minutes: int = 10,
+) -> DataFrame:
+    """Stream of (id, pass, due_from, due_until), each emitted once, when it becomes due.
+
+    ``posts`` has id, subreddit, title, created_utc; daily threads are left to their own poller. ``done`` is
+    the pass log (post_id, pass, value, updated_at) as it stands when the stream first starts: passes it
+    lists as done are not emitted. What the stream emits it remembers itself.
+    """
+    thread = F.lit(None).cast("string") if current_thread is None else current_thread
+    awaited = posts.filter(~is_daily_post(thread)).select("id", "created_utc")
+    finished = None
+    if done is not None:
+        finished = done.filter("value = 'done'").select(F.col("post_id").alias("id"), "pass", "updated_at").groupBy("id")
+    return awaited.withWatermark("created_utc", f"{delay_minutes} minutes").groupBy("id").transformWithStateInPandas(
+        PassProcessor(), DUE, "Append", "EventTime", initialState=finished
+    )

@@ -4,7 +4,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from mentionlake.operators import threads
-from mentionlake.streaming import jobs, passes
 
 NOW = datetime(2024, 6, 5, 12)
 TREE = "id string, parent_id string, post_id string, created_utc timestamp"
@@ -84,29 +83,3 @@ def test_posts_due(spark):
     now = F.lit(NOW)
     got = [(r.id, r["pass"], r.skip) for r in threads.posts_due(posts, log, now, current_thread=F.lit("c")).collect()]
     assert got == [("g", "24h", False), ("f", "24h", False), ("c", "1h", True), ("again", "1h", False), ("b", "1h", True)]
-
-
-def test_due_pass_stream_emits_each_pass_once(spark, tmp_path):
-    schema = "id string, created_utc timestamp"
-    folder, run = str(tmp_path / "in"), str(tmp_path / "run")
-    seen = []
-    for batch in ([("a", NOW), ("b", NOW + timedelta(minutes=30))], [("a", NOW), ("c", NOW + timedelta(minutes=66))],
-                  [("d", NOW + timedelta(days=2))]):
-        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(folder)
-        due = passes.due_passes(spark.readStream.schema(schema).parquet(folder))
-        rows = jobs.read_output(due, jobs.run_available(due, "due", run)).collect()
-        seen.append(sorted((r.id, r["pass"]) for r in rows))
-    assert seen[0] == []
-    assert seen[1] == [("a", "1h")]
-    assert seen[2] == [(i, p) for i in "abc" for p in ("1h", "24h")]
-
-
-def test_late_reply_stream(spark, tmp_path):
-    rows = [("r", "t3_p", "t3_p", NOW), ("in", "r", "t3_p", NOW + timedelta(hours=12)),
-            ("out", "r", "t3_p", NOW + timedelta(hours=12, seconds=1)), ("lost", "nobody", "t3_p", NOW)]
-    folder = str(tmp_path / "in")
-    spark.createDataFrame(rows, TREE).write.parquet(folder)
-    arriving = spark.readStream.schema(TREE).parquet(folder)
-    late = jobs.late_replies(arriving.filter("parent_id = post_id"), arriving.filter("parent_id <> post_id"))
-    got = jobs.read_output(late, jobs.run_available(late, "late")).collect()
-    assert [(r.id, r.root_id) for r in got] == [("in", "r")]
