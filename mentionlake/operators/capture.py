@@ -28,10 +28,14 @@ def poll_stats(polls: DataFrame, comments: DataFrame) -> DataFrame:
     )
 
 
-def append_stats(stats: DataFrame, table: str) -> None:
-    """Append to the poll statistics, one folder per UTC day."""
+def append_stats(stats: DataFrame, table: str, run: str) -> None:
+    """Add a run's rows to the poll statistics, one folder per run and UTC day.
+
+    ``run`` names what produced the rows (a job run, a micro-batch): the same run written again replaces
+    its rows, so a repeated run adds none.
+    """
     dated = stats.withColumn("polled_date", F.to_date("polled_at"))
-    dated.hint("rebalance", "polled_date").write.mode("append").partitionBy("polled_date").parquet(table)
+    dated.hint("rebalance", "polled_date").write.mode("overwrite").partitionBy("polled_date").parquet(f"{table}/run={run}")
 
 
 def hourly_report(capture: DataFrame, comments: DataFrame, day: str | None = None) -> DataFrame:

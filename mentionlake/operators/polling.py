@@ -11,13 +11,47 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from mentionlake import fixed_values as fixed
-from mentionlake.operators.running import SLICE, last_seen, previous, run_positions
+from mentionlake.operators.running import SLICE, in_slices, last_seen, previous, run_positions
 from mentionlake.session import materialize
 
 _KEY = ["thread_id"]
 _ORDER = ["polled_at", "event_id"]
 
 
+def poll_figures(comments: DataFrame, polls: DataFrame, limit: int = fixed.FETCH_LIMIT) -> DataFrame:
+    """What each poll fetched: (event_id, thread_id, polled_at, num_comments_reported, max_seen_utc,
+    fetched_this_cycle, was_truncated), from the comments themselves.
+
+    A comment (post_id, id, created_utc) goes to the first poll (thread_id, polled_at, event_id) of its thread
+    at or after its creation; a fetch is cut at ``limit``. This is an as-of join without a range join per
+    thread: polls and comments are one sequence, newest first, dealt into even slices, along which the poll
+    last passed is carried. Comments after the last poll and polls of other threads are left out.
+    """
+    poll = F.struct("polled_at", "event_id")
+    none = F.lit(None)
+    asked = polls.select(
+        "thread_id", (-F.unix_micros("polled_at")).alias("back"), F.lit(0).alias("kind"),
+        (-F.col("event_id").cast("bigint")).alias("tie"), poll.alias("poll"), F.col("num_comments_reported"),
+        none.cast("timestamp").alias("created_utc"),
+    )
+    # at one instant polls pass first, so that a comment of that instant meets the first of them
+    written = comments.select(
+        F.col("post_id").alias("thread_id"), (-F.unix_micros("created_utc")).alias("back"), F.lit(1).alias("kind"),
+        F.xxhash64("id").alias("tie"), none.cast(asked.schema["poll"].dataType).alias("poll"),
+        none.cast(polls.schema["num_comments_reported"].dataType).alias("num_comments_reported"), "created_utc",
+    )
+    order = ["back", "kind", "tie"]
+    sequence = in_slices(asked.unionByName(written), _KEY, order, lambda rows, inside: rows)
+    met = last_seen(sequence, _KEY, order, "met", F.col("poll")).filter("met IS NOT NULL")
+    fetched = F.count("created_utc")
+    return met.groupBy("thread_id", "met").agg(
+        F.max("num_comments_reported").alias("num_comments_reported"),
+        F.max("created_utc").alias("max_seen_utc"),
+        F.least(fetched, F.lit(limit)).cast("int").alias("fetched_this_cycle"),
+        (fetched >= limit).alias("was_truncated"),
+    ).select("met.event_id", "thread_id", "met.polled_at", "num_comments_reported", "max_seen_utc", "fetched_this_cycle", "was_truncated")
+
+
 def truncation_streak(polls: DataFrame) -> DataFrame:
     """Adds ``streak``: how many polls in a row, up to this one, were truncated."""
     runs = run_positions(polls, _KEY, _ORDER, ~F.col("was_truncated"))
@@ -108,6 +142,7 @@ def drain_outcomes(drains: DataFrame, polls: DataFrame) -> DataFrame:
     drains = materialize(drains, "drains")
     away = drains.select("thread_id", F.col("drain_started").alias("_from"), F.col("returned_at").alias("_to"))
     outside = polls.join(away, "thread_id").filter("polled_at >= _from AND (_to IS NULL OR polled_at < _to)")
+    outside = materialize(outside, "drain-polls")  # read by every round
     columns = [c for c in drains.columns if c != "returned_at"]
     first = F.min_by(F.struct(*columns), "drain_started").alias("_first")
     starts = drains.groupBy("thread_id").agg(first).select("_first.*")

@@ -43,6 +43,10 @@ SELECT event_id, concat('t3_', user_id % 20) AS thread_id, ts AS polled_at,
   CASE WHEN user_id % 13 = 0 THEN NULL ELSE CAST(100 + user_id AS INT) END AS num_comments_reported,
   CAST(floor(value) AS INT) AS fetched_this_cycle
 FROM {events}""",
+    "b_sparse_polls": """
+SELECT event_id, concat('t3_', user_id % 20) AS thread_id, ts AS polled_at,
+  CASE WHEN user_id % 13 = 0 THEN NULL ELSE CAST(100 + user_id AS INT) END AS num_comments_reported
+FROM {events} WHERE event_id % 10 = 0""",
     "b_drain_polls": """
 SELECT concat('t3_', CAST(CAST(ts AS DATE) - CAST(user_id % 3 AS INT) AS VARCHAR(10))) AS thread_id,
   ts AS polled_at, event_id,

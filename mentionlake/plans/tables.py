@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mentionlake.operators import archive, layout, snapshots
 from mentionlake.plans import threads as th
 from mentionlake.plans.bindings import BINDINGS, ctes, frame, spark_sql, tables_in
-from mentionlake.plans.corpus import EVERY_FORUM, MAPPED_COMMENTS, comment_lines
+from mentionlake.plans.corpus import EVERY_FORUM, MAPPED_COMMENTS, comment_lines, write_zstd
 from mentionlake.plans.registry import query
 from mentionlake.session import new_folder
 from mentionlake.streaming import cursor, heartbeat, jobs, passes, trees
@@ -83,20 +83,24 @@ def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.occupancy(tables).drop("bytes")
 
 
-@query(
-    "poll_upsert",
-    f"""WITH {ctes('b_comments')}
+AFTER_POLL = f"""WITH {ctes('b_comments')}
 SELECT id, created_utc, subreddit, author, score + 3 AS score FROM b_comments
-UNION ALL SELECT concat(id, '_new'), created_utc, subreddit, 'polled', score FROM b_comments""",
-)
-def poll_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A raw table of all comments after one poll that saw each again and found one more beside it."""
+UNION ALL SELECT concat(id, '_new'), created_utc, subreddit, 'polled', score FROM b_comments"""
+
+
+def polled_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A raw table of all comments, and a poll that saw each again and found one more beside it."""
     comments = frame(spark, sf_dir, "b_comments").select("id", "created_utc", "subreddit", "author", "score")
     table = new_folder(spark, "table")
     layout.append_rows(comments.withColumn("ingested_at", F.current_timestamp()), table)
     seen = comments.withColumns({"score": F.col("score") + 3, "author": F.lit("polled")})
     found = comments.withColumns({"id": F.concat("id", F.lit("_new")), "author": F.lit("polled")})
-    polled = seen.unionByName(found).withColumn("poll", F.lit(1))
+    return table, seen.unionByName(found).withColumn("poll", F.lit(1))
+
+
+@query("poll_upsert", AFTER_POLL)
+def poll_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, polled = polled_table(spark, sf_dir)
     archive.upsert_rows(polled, table, ["score"], ["poll"])
     return spark.read.parquet(table).drop("ingested_at", layout.PARTITION)
 
@@ -149,6 +153,32 @@ def stream_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/table").drop("raw", "ingested_at", layout.PARTITION)
 
 
+@query("stream_ingest_zstd", MAPPED_COMMENTS)
+def stream_ingest_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumps with long windows that arrive twice, the second time with other scores."""
+    base = new_folder(spark, "incremental")
+    comments = frame(spark, sf_dir, "b_comments")
+    for arrival, shift in enumerate((0, 100)):
+        write_zstd(comment_lines(comments, score_shift=shift), f"{base}/dumps/{arrival}")
+        jobs.ingest_lines(
+            spark, f"{base}/dumps", f"{base}/table", f"{base}/checkpoint",
+            kind="comments", wanted=EVERY_FORUM, packed=True,
+        )
+    return spark.read.parquet(f"{base}/table").drop("raw", "ingested_at", layout.PARTITION)
+
+
+@query("poll_upsert_stream", AFTER_POLL)
+def poll_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polled rows as a stream, and all of its batches once more."""
+    table, polled = polled_table(spark, sf_dir)
+    folder = new_folder(spark, "polled")
+    polled.write.parquet(folder)
+    for _ in range(2):
+        arriving = spark.readStream.schema(polled.schema).parquet(folder)
+        jobs.upsert_polled(arriving, table, new_folder(spark, "checkpoint"), mutable=["score"], order=["poll"])
+    return spark.read.parquet(table).drop("ingested_at", layout.PARTITION)
+
+
 @query("cursor_stream", th.REPLAY)
 def cursor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(cursor.cursors(stream(spark, sf_dir, "b_polls")), "cursors")

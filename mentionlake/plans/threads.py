@@ -53,6 +53,15 @@ def days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("capture_hourly", f"{REPORT} SELECT * FROM hours")(hours)
+DAY = "2024-01-05"
+
+
+@query("capture_day", f"{REPORT} SELECT * FROM hours WHERE CAST(hour AS DATE) = DATE '{DAY}'")
+def capture_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of one UTC day."""
+    return capture.hourly_report(frame(spark, sf_dir, "b_capture"), frame(spark, sf_dir, "b_event_comments"), DAY)
+
+
 query("capture_day_summary", f"{REPORT} SELECT * FROM days")(days)
 
 
@@ -94,8 +103,9 @@ def record_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = new_folder(spark, "stats")
     polls = frame(spark, sf_dir, "b_capture").drop("comments_in_db_for_thread")
     stats = capture.poll_stats(polls, frame(spark, sf_dir, "b_event_comments"))
-    capture.append_stats(stats, table)
-    return spark.read.parquet(table).drop("polled_date")
+    for _ in range(2):  # a repeated run adds nothing
+        capture.append_stats(stats, table, "first")
+    return spark.read.parquet(table).drop("polled_date", "run")
 
 
 TREE = f"""WITH {ctes('b_tree', 'b_cursors')},
@@ -210,6 +220,31 @@ def cursor_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polling.cursor_replay(frame(spark, sf_dir, "b_polls"))
 
 
+CUT = 24  # comments of a fetch, few enough that some polls of the test tables are cut
+FIGURES = f"""
+firsts AS (SELECT thread_id, polled_at, min(event_id) AS event_id FROM b_sparse_polls GROUP BY ALL),
+placed AS (SELECT f.event_id, max(c.created_utc) AS max_seen_utc, count(*) AS n
+  FROM b_event_comments AS c ASOF JOIN firsts AS f ON c.post_id = f.thread_id AND c.created_utc <= f.polled_at GROUP BY 1),
+figures AS (SELECT event_id, thread_id, polled_at, num_comments_reported, max_seen_utc,
+    CAST(least(coalesce(n, 0), {CUT}) AS INT) AS fetched_this_cycle, coalesce(n, 0) >= {CUT} AS was_truncated
+  FROM b_sparse_polls LEFT JOIN placed USING (event_id))"""
+
+
+@query("poll_figures", f"WITH {ctes('b_sparse_polls', 'b_event_comments')}, {FIGURES} SELECT * FROM figures")
+def poll_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of fewer polls fetched, from the comments that were written before it."""
+    return polling.poll_figures(frame(spark, sf_dir, "b_event_comments"), frame(spark, sf_dir, "b_sparse_polls"), CUT)
+
+
+@query(
+    "figures_replay",
+    REPLAY.replace(f"WITH {ctes('b_polls')}", f"WITH {ctes('b_sparse_polls', 'b_event_comments')}, {FIGURES}").replace("b_polls", "figures"),
+)
+def figures_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cursors replayed from comments and poll times alone."""
+    return polling.cursor_replay(poll_figures(spark, sf_dir))
+
+
 # a day's thread is primary from its first second; polls go to the threads of that day and the two before
 DRAINS = """
 changes AS (SELECT *, lag(thread_id) OVER (PARTITION BY subreddit ORDER BY polled_at) AS previous

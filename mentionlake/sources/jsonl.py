@@ -28,11 +28,9 @@ def _plain(spark: SparkSession, files: list[str]) -> DataFrame:
 
 
 def _zstd(spark: SparkSession, files: list[str], spread: int | None) -> DataFrame:
-    df = longzstd.scan(spark, files).select(
-        "file", F.lit(0).cast("bigint").alias("block"), "line", "value"
-    )
-    # one file is one task: hand the lines out before anything is parsed
-    return df.repartition(spread, "line") if spread else df
+    df = longzstd.scan(spark, files)
+    # one frame is one task: hand the lines out before anything is parsed
+    return df.repartition(spread, "block", "line") if spread else df
 
 
 def list_files(paths: Sequence[str]) -> list[tuple[int, str]]:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionlake.operators import archive, quality
+from mentionlake.operators import archive, capture, quality
 from mentionlake.session import new_folder
+from mentionlake.sources import longzstd
 
 
 def run_available(stream: DataFrame, label: str, folder: str | None = None) -> str:
@@ -39,29 +42,45 @@ def ingest_lines(
     kind: str,
     wanted: quality.LoadFilter = quality.LoadFilter(),
     max_files: int = 1000,
+    packed: bool = False,
 ) -> None:
-    """Load the dump files that arrived since the last run; safe to repeat after a failure.
+    """Load what arrived in a folder of dumps since the last run; safe to repeat after a failure.
 
-    A batch that is run again finds its rows in the table and adds none.
+    A batch that is run again finds its rows in the table and adds none. ``packed`` reads ``.zst`` files
+    with long windows, which may grow by further frames; otherwise new files are read.
     """
-    lines = (
-        spark.readStream.option("maxFilesPerTrigger", max_files)
-        .text(folder)
-        .select("value", F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"))
-    )
+    if packed:
+        lines = longzstd.follow(spark, folder)
+    else:
+        lines = (
+            spark.readStream.option("maxFilesPerTrigger", max_files)
+            .text(folder)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line"), "value")
+        )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        placed = batch.withColumns(
-            {"source_rank": F.lit(0), "line": F.monotonically_increasing_id()}
-        )
+        placed = batch.withColumn("source_rank", F.lit(0))
         staged = archive.stage(archive.classify_lines(placed, kind, wanted), kind)
         archive.add_rows(archive.staged_rows(staged), table)
 
-    query = (
-        lines.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    _each_batch(lines, load, checkpoint)
+
+
+def _each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def record_stats(stats: DataFrame, table: str, checkpoint: str) -> None:
+    """Add a stream of poll results to the statistics. The number of a micro-batch names its rows, so a
+    batch that is run again after a failure replaces what it had written."""
+    _each_batch(stats, lambda batch, number: capture.append_stats(batch, table, f"batch-{number}"), checkpoint)
+
+
+def upsert_polled(
+    polled: DataFrame, table: str, checkpoint: str, *, mutable: Sequence[str], order: Sequence[str]
+) -> None:
+    """Apply a stream of polled rows to a raw table, batch by batch. A batch that is run again finds its
+    rows in the table with the values it brings, and changes nothing."""
+    _each_batch(polled, lambda batch, number: archive.upsert_rows(batch, table, mutable, order), checkpoint)

@@ -92,7 +92,7 @@ def test_report_over_recorded_polls(spark, folder):
         "fetched_this_cycle int, was_truncated boolean",
     )
     stats, raw = f"{folder}/stats", f"{folder}/report_comments"
-    capture.append_stats(capture.poll_stats(polls, comments), stats)
+    capture.append_stats(capture.poll_stats(polls, comments), stats, "r1")
     comments.write.parquet(raw)
     hours, day = jobs.capture_report(spark, stats, raw, "2024-05-02")
     assert [(r.comment_volume, r.comments_in_db, r.capture_rate_pct, r.truncations) for r in hours.collect()] == [

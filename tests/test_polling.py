@@ -168,3 +168,29 @@ def test_poll_order(spark):
     state = spark.createDataFrame([("f", "b", ["a", "b", "c", "a"])], "subreddit string, primary string, draining array<string>")
     rows = polling.threads_to_poll(state).orderBy("poll_order").collect()
     assert [r.thread_id for r in rows] == ["b", "a", "c"]
+
+
+@pytest.mark.parametrize("limit", [2, 2048])
+def test_poll_figures(spark, limit):
+    rng = random.Random(limit)
+    at = lambda: START + timedelta(seconds=rng.randrange(200))
+    thread = lambda: "hot" if rng.random() < 0.6 else f"t{rng.randrange(4)}"
+    polls = [(thread(), at(), i, rng.choice([None, 7])) for i in range(40)] + [("idle", at(), 99, 1)]
+    comments = [(thread(), f"c{i}", at()) for i in range(300)] + [("elsewhere", "x", at())]
+    got = polling.poll_figures(
+        spark.createDataFrame(comments, "post_id string, id string, created_utc timestamp"),
+        spark.createDataFrame(polls, "thread_id string, polled_at timestamp, event_id long, num_comments_reported int"), limit)
+    want, held = {i: [] for _, _, i, _ in polls}, 0
+    for post, _, created in comments:
+        later = [(p, i) for t, p, i, _ in polls if t == post and p >= created]
+        if later:
+            want[min(later)[1]].append(created)
+            held += 1
+    rows = {r.event_id: r for r in got.collect()}
+    assert rows.keys() == want.keys() and held > 200
+    for t, p, i, reported in polls:
+        r = rows[i]
+        assert (r.thread_id, r.polled_at, r.num_comments_reported) == (t, p, reported)
+        assert (r.max_seen_utc, r.fetched_this_cycle) == (max(want[i], default=None), min(len(want[i]), limit))
+        assert r.was_truncated == (len(want[i]) >= limit)
+    assert polling.cursor_replay(got).count() == len(polls)

@@ -131,3 +131,16 @@ def test_heartbeat_stream_has_silent_hours(spark, tmp_path):
     want = [r for r in ingest_rates.heartbeat(log).collect() if r.hour < at(14, 0)]
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 14
     assert sum(r.idle_alert for r in got) == 11
+
+
+def test_statistics_of_a_repeated_batch_are_replaced(spark, tmp_path):
+    schema = "event_id long, thread_id string, polled_at timestamp, fetched_this_cycle int"
+    folder, table = str(tmp_path / "in"), str(tmp_path / "stats")
+    for part in range(2):
+        arrive(spark, [(part, "t", START + timedelta(days=part), 1)], schema, folder)
+        for checkpoint in ("one", "two"):  # the second one runs the same batches again
+            stats = spark.readStream.schema(schema).parquet(folder)
+            jobs.record_stats(stats, table, str(tmp_path / checkpoint))
+    rows = spark.read.parquet(table)
+    assert sorted((r.event_id, r.run, str(r.polled_date)) for r in rows.collect()) == [
+        (0, "batch-0", "2024-03-01"), (1, "batch-1", "2024-03-02")]
