@@ -25,15 +25,6 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.getFileStatus(where).isDirectory()
 
 
-def move_single_part(spark: SparkSession, folder: str, path: str) -> None:
-    """Give the one part file of a written folder a name of its own."""
-    files, where = _file_system(spark, folder)
-    _, target = _file_system(spark, path)
-    part = next(s.getPath() for s in files.listStatus(where) if s.getPath().getName().startswith("part-"))
-    files.mkdirs(target.getParent())
-    files.rename(part, target)
-
-
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions in ascending order."""
     files, where = _file_system(spark, root)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionlake import jobs
 from mentionlake.functions import text as tx
-from mentionlake.operators import hits, snapshots, universe
+from mentionlake.operators import classify, hits, snapshots, universe
 from mentionlake.operators.keyed_write import first_wins
 from mentionlake.plans.bindings import ctes, frame
 from mentionlake.plans.registry import query
@@ -231,14 +231,9 @@ def set_union_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_snapshot(rows: DataFrame, columns: list[str], folder: str, name: str) -> None:
-    """One yearly snapshot as a single file: a directory of one exchange group is a small file by nature."""
-    cells = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
-    head = rows.sparkSession.createDataFrame([("|".join(columns), -1)], "value string, line_no long")
-    lines = head.unionByName(rows.select(cells.alias("value"), "line_no")).orderBy("line_no").select("value")
-    part = f"{folder}/parts/{name}"
-    lines.coalesce(1).write.text(part)
-    snapshots.move_single_part(rows.sparkSession, part, f"{folder}/lists/{name}.txt")
+def write_snapshots(rows: DataFrame, folder: str) -> None:
+    """Each snapshot as a folder of files, every one with its header."""
+    rows.write.partitionBy("snapshot").option("header", True).option("sep", "|").option("escape", '"').mode("append").csv(folder)
 
 
 @query(
@@ -252,19 +247,60 @@ FROM b_listings WHERE test_issue = 'N'""",
 def historical_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six years of both directories, one with its columns in another order, and a page that is no directory."""
     folder = new_folder(spark, "history")
-    listed = frame(spark, sf_dir, "b_listings")
-    page = spark.range(30).select(F.lit("not found | <a href='/'>home</a>").alias("<html>"), F.col("id").alias("line_no"))
-    write_snapshot(page, ["<html>"], folder, "wayback_2018_nasdaqlisted")
-    for year in range(2019, 2025):
-        for kind, symbol in (("nasdaqlisted", "Symbol"), ("otherlisted", "ACT Symbol")):
-            own = listed.filter((F.col("line_no") % 6 == year - 2019) & ((F.col("exchange_code") == "Q") == (kind == "nasdaqlisted")))
-            columns = [symbol, "Security Name", "Exchange", "ETF", "Test Issue"]
-            named = own.select(
-                F.col("symbol").alias(symbol), F.col("security_name").alias("Security Name"),
-                F.col("exchange_code").alias("Exchange"), F.col("etf").alias("ETF"), F.col("test_issue").alias("Test Issue"), "line_no",
-            )
-            write_snapshot(named, columns[::-1] if year == 2021 else columns, folder, f"wayback_{year}_{kind}")
-    return reference_lists.read_historical(spark, f"{folder}/lists")
+    listed = frame(spark, sf_dir, "b_listings").withColumn("year", (2019 + F.col("line_no") % 6).cast("string"))
+    page = spark.range(30).select(F.lit("not found | <a href='/'>home</a>").alias("<html>"), F.lit("wayback_2018_nasdaqlisted").alias("snapshot"))
+    write_snapshots(page, folder)
+    for kind, symbol, own in (
+        ("nasdaqlisted", "Symbol", F.col("exchange_code") == "Q"), ("otherlisted", "ACT Symbol", F.col("exchange_code") != "Q"),
+    ):
+        cells = {symbol: "symbol", "Security Name": "security_name", "Exchange": "exchange_code", "ETF": "etf", "Test Issue": "test_issue"}
+        named = [F.col(c).alias(n) for n, c in cells.items()]
+        snapshot = F.concat(F.lit("wayback_"), "year", F.lit(f"_{kind}")).alias("snapshot")
+        for rows, columns in ((listed.filter("year <> '2021'"), named), (listed.filter("year = '2021'"), named[::-1])):
+            write_snapshots(rows.filter(own).select(*columns, snapshot), folder)
+    return reference_lists.read_historical(spark, folder)
+
+
+OTC = "'OTC', 'OTCMKTS', 'OTCBB', 'PINK', 'GREY'"
+
+
+@query(
+    "otc_or_foreign",
+    f"""WITH {ctes('b_sec', 'b_equity')}, hit_rows AS (
+  SELECT symbol, source, exchange FROM b_sec UNION SELECT symbol, source, exchange FROM b_equity
+  UNION SELECT concat(symbol, 'X'), concat('list:', exchange), NULL FROM b_sec
+  UNION SELECT concat(symbol, 'Y'), 'sec_exchange:None', NULL FROM b_equity
+  UNION SELECT concat(symbol, 'Z'), source, CASE WHEN exchange = 'OTC' THEN 'Pink' ELSE exchange END FROM b_sec)
+SELECT symbol, CASE WHEN count(exchange) > 0 THEN count(*) FILTER (upper(exchange) IN ({OTC})) > 0
+  ELSE count(*) FILTER (regexp_matches(source, '^sec_exchange:(OTC|None)|:OTC$')) > 0 END AS is_otc
+FROM hit_rows GROUP BY symbol""",
+)
+def otc_or_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a symbol's exchanges, or without any its sources, are over-the-counter; with symbols of each sort."""
+    sec, equity = (frame(spark, sf_dir, n).select("symbol", "source", "name", "exchange") for n in ("b_sec", "b_equity"))
+    other = lambda rows, end, source, exchange: rows.withColumns(
+        {"symbol": F.concat("symbol", F.lit(end)), "source": source, "exchange": exchange})
+    none = F.lit(None).cast("string")
+    pink = F.when(F.col("exchange") == "OTC", "Pink").otherwise(F.col("exchange"))
+    rows = hits.all_hits(
+        sec, equity, other(sec, "X", F.concat(F.lit("list:"), "exchange"), none),
+        other(equity, "Y", F.lit("sec_exchange:None"), none), other(sec, "Z", F.col("source"), pink))
+    return hits.symbol_hits(rows).select("symbol", classify.is_otc_or_foreign(F.col("sources"), F.col("exchanges")).alias("is_otc"))
+
+
+@query(
+    "edit_one",
+    """WITH words AS (SELECT p_partkey, upper(split_part(p_name, ' ', 1)) AS w FROM part),
+pairs AS (SELECT p_partkey, w, CASE p_partkey % 5 WHEN 0 THEN w WHEN 1 THEN concat(w, 'F') WHEN 2 THEN substr(w, 2)
+  WHEN 3 THEN concat('X', substr(w, 2)) ELSE concat(substr(w, 2), 'QY') END AS v FROM words)
+SELECT p_partkey, w, v, levenshtein(w, v) = 1 AS near FROM pairs""",
+)
+def edit_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words beside themselves, one and two edits away."""
+    pairs = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey", "upper(split_part(p_name, ' ', 1)) AS w").selectExpr(
+        "*", "CASE p_partkey % 5 WHEN 0 THEN w WHEN 1 THEN concat(w, 'F') WHEN 2 THEN substr(w, 2)"
+        " WHEN 3 THEN concat('X', substr(w, 2)) ELSE concat(substr(w, 2), 'QY') END AS v")
+    return pairs.withColumn("near", tx.one_edit_apart(F.col("w"), F.col("v")))
 
 
 @query(

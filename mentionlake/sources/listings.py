@@ -10,14 +10,21 @@ from mentionlake.functions import text as tx
 ORDER = ("file", "block", "line")
 
 
-MOST_CELLS = 24  # a directory line has about a dozen
 NEEDED = ("Security Name", "ETF", "Test Issue")
 
 
+def _width(spark: SparkSession, path: str | list[str], glob: str | None) -> int:
+    """Cells of the longest line."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = reader.text(path)
+    bars = F.length("value") - F.length(F.replace("value", F.lit("|"), F.lit("")))
+    return (lines.agg(F.max(bars)).first()[0] or 0) + 1
+
+
 def _cells(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
     """Lines as arrays of cells, with the first line of their file beside them."""
-    columns = [f"c{i}" for i in range(MOST_CELLS)]
-    reader = spark.read.schema(", ".join(f"{c} string" for c in columns))
+    columns = [f"c{i}" for i in range(_width(spark, path, glob))]
+    reader = spark.read.schema(", ".join(f"{c} string" for c in columns)).option("maxColumns", len(columns) + 1)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     rows = reader.csv(path, sep="|", header=False, encoding="ISO-8859-1", quote='"', escape='"').select(
@@ -28,8 +35,7 @@ def _cells(spark: SparkSession, path: str | list[str], glob: str | None) -> Data
     )
     first = F.min_by(F.struct(F.col("cells").alias("header"), F.col("block").alias("b"), F.col("line").alias("l")), F.struct("block", "line"))
     heads = rows.groupBy("file").agg(first.alias("head"))
-    # one row per file
-    return rows.join(F.broadcast(heads), "file").select(
+    return rows.join(heads, "file").select(
         "cells", *ORDER, "head.header", (F.col("block").eqNullSafe(F.col("head.b")) & (F.col("line") == F.col("head.l"))).alias("is_head"))
 
 

@@ -6,9 +6,11 @@ Equity lists come back in long form, one row per (symbol, source, name, exchange
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionlake.sources import listings
+from mentionlake.sources import listings, longzstd
 
 HIT_COLUMNS = ("symbol", "source", "name", "exchange")
 
@@ -46,15 +48,21 @@ def read_sec_exchange(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_historical(spark: SparkSession, folder: str) -> DataFrame:
-    """Yearly snapshots ``wayback_<year>_<kind>.txt`` of both directories.
+    """Yearly snapshots of both directories: files, or folders of files, named ``wayback_<year>_<kind>``.
 
     Each file is read by its own header; files that are no directory are left out, see
     ``listings.unreadable``. A kind without files has no rows.
     """
-    source = F.regexp_extract("file", r"([^/]+)\.txt$", 1)
-    nasdaq = listings.read_nasdaq_listed(spark, folder, glob="wayback_*_nasdaqlisted.txt", lenient=True)
-    other = listings.read_other_listed(spark, folder, glob="wayback_*_otherlisted.txt", lenient=True)
-    return nasdaq.unionByName(other).select("symbol", source.alias("source"), "name", "exchange")
+    found = longzstd.archive_files(folder)
+    kinds = {"nasdaqlisted": listings.read_nasdaq_listed, "otherlisted": listings.read_other_listed}
+    out = spark.createDataFrame([], "symbol string, source string, name string, exchange string")
+    for kind, read in kinds.items():
+        name = rf"(wayback_[^/]*_{kind})"
+        files = [f for f in found if re.search(name, f)]
+        if files:
+            rows = read(spark, files, lenient=True)
+            out = out.unionByName(rows.select("symbol", F.regexp_extract("file", name, 1).alias("source"), "name", "exchange"))
+    return out
 
 
 def read_coins(spark: SparkSession, path: str) -> DataFrame:

@@ -147,3 +147,17 @@ def test_each_snapshot_is_read_by_its_own_header(spark, tmp_path):
     assert [r.file.rsplit("/", 1)[1] for r in left_out] == ["wayback_2022_nasdaqlisted.txt"]
     with pytest.raises(Exception, match="not a symbol directory"):
         listings.read_nasdaq_listed(spark, str(tmp_path / "wayback_2022_nasdaqlisted.txt")).collect()
+
+
+def test_long_lines_and_folders_of_files(spark, tmp_path):
+    """No cell is lost however many a line has, and a snapshot may be a folder."""
+    many = "|".join(f"extra {i}" for i in range(40))
+    folder = tmp_path / "snapshot=wayback_2023_otherlisted"
+    folder.mkdir()
+    head = f"{many}|ACT Symbol|Security Name|Exchange|ETF|Test Issue"
+    for i in range(2):
+        cells = "|".join(["x"] * 40)
+        (folder / f"part-{i}.csv").write_text(f'{head}\n{cells}|A{i}|"Bar | Co"|N|N|N\n')
+    got = [tuple(r) for r in reference_lists.read_historical(spark, str(tmp_path)).orderBy("symbol").collect()]
+    assert got == [(f"A{i}", "wayback_2023_otherlisted", "Bar | Co", "NYSE") for i in range(2)]
+    assert reference_lists.read_historical(spark, str(folder)).count() == 2
