@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionlake.operators import mapping, quality
+from mentionlake.operators import bucketed, mapping, quality
 from mentionlake.operators.keyed_write import insert_ignore, upsert_mutable
 from mentionlake.operators.layout import PARTITION, append_rows, overwrite_dates, with_date
 from mentionlake.operators.snapshots import path_exists
@@ -79,10 +79,14 @@ def counted(staged: DataFrame) -> LoadStats:
     return LoadStats(**row.asDict())
 
 
-def add_rows(rows: DataFrame, table: str) -> int:
+def _stored(spark: SparkSession, table: str, buckets: int | None) -> DataFrame:
+    return bucketed.read(spark, table, buckets) if buckets else spark.read.parquet(table)
+
+
+def add_rows(rows: DataFrame, table: str, buckets: int | None = None) -> int:
     """Append the staged rows the table does not have yet; returns how many there were.
 
-    Which rows to leave out is worked out on keys and places alone. The rows themselves, with their
+    In a table of ``buckets`` (see ``operators.bucketed``) the stored keys are not moved. Which rows to leave out is worked out on keys and places alone. The rows themselves, with their
     payload, are only shuffled to be laid out: what is left out is usually little and broadcast.
     """
     spark = rows.sparkSession
@@ -91,7 +95,7 @@ def add_rows(rows: DataFrame, table: str) -> int:
     # calendar days, as literals: an anti-join would not prune the table's folders by itself
     days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
     if path_exists(spark, table):
-        known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
+        known = _stored(spark, table, buckets).filter(F.col(PARTITION).isin(days))
     else:
         known = spark.createDataFrame([], dated.select(*KEYS).schema)
     places = rows.select(*KEYS, "row_id", *jsonl.ORDER)
@@ -101,12 +105,16 @@ def add_rows(rows: DataFrame, table: str) -> int:
     if copies < total:
         new = dated.join(small_side(left_out, copies), "row_id", "left_anti")
         new = new.drop("row_id", *jsonl.ORDER)
-        append_rows(new.withColumn("ingested_at", F.lit(datetime.now(timezone.utc))), table)
+        new = new.withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
+        if buckets:
+            bucketed.append_rows(new, table, buckets)
+        else:
+            append_rows(new, table)
     return total - copies
 
 
 def upsert_rows(
-    polled: DataFrame, table: str, mutable: Sequence[str], order: Sequence[str]
+    polled: DataFrame, table: str, mutable: Sequence[str], order: Sequence[str], buckets: int | None = None
 ) -> None:
     """Add polled rows to a raw table; of rows it has, only the mutable columns change.
 
@@ -118,11 +126,15 @@ def upsert_rows(
     dated = materialize(dated, "polled")
     days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
     if path_exists(spark, table):
-        known = spark.read.parquet(table).filter(F.col(PARTITION).isin(days))
+        known = _stored(spark, table, buckets).filter(F.col(PARTITION).isin(days))
     else:
         known = dated.drop(*{*order, *jsonl.ORDER} - {*KEYS, *mutable}).limit(0)
     merged = upsert_mutable(known, dated, KEYS, mutable, order)
-    overwrite_dates(materialize(merged, "merged"), table)
+    merged = materialize(merged, "merged")
+    if buckets:
+        bucketed.overwrite_dates(merged, table, buckets)
+    else:
+        overwrite_dates(merged, table)
 
 
 def load_archive(
@@ -134,11 +146,12 @@ def load_archive(
     wanted: quality.LoadFilter = quality.LoadFilter(),
     spread: int | None = None,
     quarantine: str | None = None,
+    buckets: int | None = None,
 ) -> LoadStats:
     """Load dump files into ``tables`` ({"posts": path, "comments": path}) and count.
 
     Files are sorted by kind first (only their heads are read), then each kind is one job.
-    ``quarantine`` is a folder that malformed lines are appended to.
+    ``quarantine`` is a folder that malformed lines are appended to. ``buckets`` lays the tables out by key.
     """
     files = jsonl.list_files(paths)
     kinds = {name: kind for _, name in files}
@@ -157,7 +170,7 @@ def load_archive(
         staged = stage(classify_lines(lines, name, wanted), name)
         stats = counted(staged)
         stats.files = len(chosen)
-        stats.inserted = add_rows(staged_rows(staged), tables[name])
+        stats.inserted = add_rows(staged_rows(staged), tables[name], buckets)
         if quarantine:
             quarantined(staged).write.mode("append").parquet(quarantine)
         total.merge(stats)

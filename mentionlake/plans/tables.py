@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionlake.operators import archive, layout, snapshots
+from mentionlake.operators import archive, bucketed, layout, snapshots
 from mentionlake.plans import threads as th
 from mentionlake.plans.bindings import BINDINGS, ctes, frame, spark_sql, tables_in
 from mentionlake.plans.corpus import EVERY_FORUM, MAPPED_COMMENTS, comment_lines, write_zstd
@@ -15,6 +15,7 @@ from mentionlake.session import new_folder
 from mentionlake.streaming import cursor, heartbeat, jobs, passes, trees
 
 TODAY = "2024-01-20"
+BUCKETS = 8
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,16 @@ def poll_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table).drop("ingested_at", layout.PARTITION)
 
 
+@query("bucketed_upsert", AFTER_POLL)
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a table whose rows lie in buckets by key."""
+    unbucketed, polled = polled_table(spark, sf_dir)
+    table = new_folder(spark, "bucketed")
+    bucketed.append_rows(layout.read_table(spark, unbucketed), table, BUCKETS)
+    archive.upsert_rows(polled, table, ["score"], ["poll"], BUCKETS)
+    return bucketed.read(spark, table, BUCKETS).drop("ingested_at", layout.PARTITION)
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from mentionlake.operators import keyed_write as kw, layout
+from mentionlake.operators import archive, bucketed, keyed_write as kw, layout
 
 ROWS = "id int, at int, author string, score int, seq int"
 
@@ -87,3 +87,47 @@ def test_date_filter_prunes_folders(spark, tmp_path):
     layout.append_rows(rows_over_days(spark, [0, 40]), table)
     plan = plan_of(since(spark.read.parquet(table), "2024-07-01"))
     assert "PartitionFilters: [isnotnull(created_date" in plan and "created_date#" in plan.split("PartitionFilters")[1]
+
+
+def stored_side(df):
+    """The operators from each bucketed scan up to the join it feeds."""
+    lines = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if x.strip()]
+    depth = lambda x: len(x) - len(x.lstrip(" +-:*"))
+    for i, line in enumerate(lines):
+        if "Bucketed: true" in line:
+            above, at = [], depth(line)
+            for other in reversed(lines[:i]):
+                if depth(other) < at:
+                    at = depth(other)
+                    if "Join" in other:
+                        break
+                    above.append(other)
+            yield above
+
+
+def test_stored_keys_stay_in_their_buckets(spark, tmp_path):
+    """Loads and upserts equal those of a plain table, and the stored side is never shuffled."""
+    table, plain = str(tmp_path / "bucketed"), str(tmp_path / "plain")
+    rows = rows_over_days(spark, [0, 1, 4]).withColumn("id", F.concat(F.lit("k"), F.monotonically_increasing_id().cast("string")))
+    rows = rows.withColumns({"score": F.lit(1), "ingested_at": F.lit(None).cast("timestamp")})
+    more = rows.withColumns({"score": F.lit(5), "line": F.lit(0)})
+    more = more.unionByName(more.limit(5).withColumn("id", F.concat("id", F.lit("new"))))
+    for _ in range(2):  # also over a table another session has written
+        bucketed.append_rows(rows, table, 4)
+        layout.append_rows(rows, plain)
+        spark.sql(f"DROP TABLE {bucketed._name(table, 4)}")
+    known = bucketed.read(spark, table, 4)
+    assert known.count() == 2 * rows.count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for df in (kw.insert_ignore(known, more, archive.KEYS, ["line"]), kw.upsert_mutable(known, layout.with_date(more), archive.KEYS, ["score"], ["line"])):
+            paths = list(stored_side(df))
+            assert paths and not any("Exchange" in node for path in paths for node in path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for target, buckets in ((table, 4), (plain, None)):
+        archive.upsert_rows(more.drop("ingested_at"), target, ["score"], ["line"], buckets)
+    columns = ["id", "created_utc", "score", "created_date"]
+    got, want = (sorted(map(tuple, d.select(*columns).collect())) for d in (bucketed.read(spark, table, 4), spark.read.parquet(plain)))
+    assert got == want and {r[2] for r in got} == {5}
