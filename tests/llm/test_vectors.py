@@ -89,3 +89,28 @@ def test_queries_reach_the_recall(spark):
     links, component = brute_links(x, 0.95)
     out = {r["vec_id"]: r["n_links"] for r in op7_neardup(spark, folder).collect()}
     assert [out[i] for i in ids] == links.tolist()
+
+
+@pytest.mark.parametrize("d", [16, 64])
+def test_planted_pairs_are_found(frame, d):
+    """Pairs at cosines from 0.95 to 0.99 among unrelated vectors, in the dimensions of real tables."""
+    rng = np.random.default_rng(d)
+    a = rng.normal(size=(400, d))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    cosine = np.tile([0.9501, 0.96, 0.97, 0.99], 100)[:, None]
+    x = np.r_[a, cosine * a + np.sqrt(1 - cosine**2) * b, rng.normal(size=(1200, d))]
+    links, component = brute_links(x, 0.95)
+    out = {r["vec_id"]: r for r in neardup.link(frame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    got = np.array([[out[i]["n_links"], out[i]["component_id"]] for i in range(len(x))])
+    assert links.sum() >= 800 and (got[:, 0] <= links).all()
+    assert got[:, 0].sum() >= 0.97 * links.sum() and (got[:, 1] == component)[links > 0].mean() >= 0.97
+
+
+def test_plan_keeps_strangers_and_misses_bounded():
+    for n in (10, 1000, 10**6, 10**9):
+        count, tables = neardup.plan(n, 0.95)
+        assert (1 - neardup.same_cell(0.95) ** count) ** tables <= neardup.MISSED
+        assert n * tables * neardup.same_cell(0.0) ** count <= 1.2 * neardup.STRANGERS or n == 10
