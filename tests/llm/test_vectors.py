@@ -55,10 +55,10 @@ def exact(x, ids, k):
     return out
 
 
-@pytest.mark.parametrize("slab,block", [(neighbours.SLAB, neighbours.BLOCK), (100, 7)])
+@pytest.mark.parametrize("slab,block", [(neighbours.SLAB, neighbours.ROWS), (100, 7)])
 def test_neighbours(frame, monkeypatch, slab, block):
     monkeypatch.setattr(neighbours, "SLAB", slab)
-    monkeypatch.setattr(neighbours, "BLOCK", block)
+    monkeypatch.setattr(neighbours, "ROWS", block)
     x = clusters()
     rows = [(i, v.tolist(), i) for i, v in enumerate(x)] + [(i, v, 0) for i, v in ODD] + [(3, x[3].tolist(), 0)]
     df = frame(rows, "vec_id long, embedding array<double>, score int")
@@ -114,3 +114,36 @@ def test_plan_keeps_strangers_and_misses_bounded():
         count, tables = neardup.plan(n, 0.95)
         assert (1 - neardup.same_cell(0.95) ** count) ** tables <= neardup.MISSED
         assert n * tables * neardup.same_cell(0.0) ** count <= 1.2 * neardup.STRANGERS or n == 10
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 30])
+def test_short_tables_give_all_candidates(frame, n):
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    df = frame([(20 * i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, neighbours.F.col("id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    if n > 1:
+        assert set(got) == {20 * i for i in range(n)}
+    assert all([r for r, _ in v] == list(range(1, min(20, n - 1) + 1)) for v in got.values())
+    if n == 15:
+        assert {i: [j for _, j in v] for i, v in got.items()} == exact(x, [20 * i for i in range(n)], 20)
+
+
+@pytest.mark.parametrize("d", [64, 256])
+@pytest.mark.parametrize("lengths", ["unit", "uneven", "outlier"])
+def test_recall_whatever_the_norms(frame, d, lengths):
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(2500, d))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if lengths == "uneven":
+        x *= rng.lognormal(0, 0.7, (len(x), 1))
+    elif lengths == "outlier":
+        x[7] *= 100
+    want = exact(x, list(range(len(x))), 20)
+    got = {i: set() for i in want}
+    for r in neighbours.nearest(frame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), neighbours.F.col("id") % 20 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    recall = np.mean([len(got[i] & set(want[i])) / 20 for i in want])
+    print("recall", d, lengths, recall)
+    assert recall >= 0.9
