@@ -39,7 +39,7 @@ WIDTH = 0.75
 ASSUMED_COSINE = 0.25
 SUCCESS = 0.78
 RANGES = 5  # of norms, to a factor of two
-SLAB = 4096  # candidates that a task holds
+SLAB = 32_768  # candidates that a task holds; each slab gives k rows for a query, so smaller slabs give more rows
 ROWS = 64  # queries whose scores are held at a time
 
 
