@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from mentionlake.llm.common import components, ready, texts
+from mentionlake.llm.common import components, ready, texts, tidy
 from mentionlake.llm.words import SPACES, hash_words, mix
 from mentionlake.session import materialize, small_side
 
@@ -122,7 +122,7 @@ def frequent_tokens(rows: DataFrame, width: int) -> np.ndarray:
     """For each counter whether its tokens are frequent. Counts cover every text; their table is of fixed size."""
     schema = "chunk int, part int, counts binary"
     chunks = (
-        rows.select("text").mapInArrow(_counts(width), schema)
+        rows.select("text").mapInArrow(tidy(_counts(width)), schema)
         .groupBy("chunk", "part").applyInPandas(_added, schema)
         .groupBy("chunk").applyInPandas(_added, schema)
         .collect()
@@ -348,7 +348,7 @@ class Join:
         kind = docs.schema[key].dataType.simpleString()
         shared = spark.sparkContext.broadcast(frequent_tokens(self.rows, width))
         self.described = materialize(
-            self.rows.mapInArrow(_described(width, percent, shared), f"key {kind}, n int, class bigint, first array<bigint>, bits binary"),
+            self.rows.mapInArrow(tidy(_described(width, percent, shared)), f"key {kind}, n int, class bigint, first array<bigint>, bits binary"),
             "described",
         )
         members = self.described.where("class is not null and key is not null")
@@ -382,7 +382,7 @@ class Join:
             "sets",
         )
         x, y = (sets.select(F.col("class").alias(c), F.col("tokens").alias(n)) for c, n in (("a", "x"), ("b", "y")))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_decided(self.percent), "a bigint, b bigint")
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(tidy(_decided(self.percent)), "a bigint, b bigint")
 
     def open_trees(self, reached: DataFrame | None) -> DataFrame:
         """Entries, with components so far, of trees that hold more than one component.
@@ -438,7 +438,7 @@ class Join:
         place = ["least", "blocks", "low", "high"]
         traversed = (
             dealt.repartition(*place).sortWithinPartitions(*place, "token")
-            .mapInArrow(_traversed(self.percent), "a bigint, b bigint")
+            .mapInArrow(tidy(_traversed(self.percent)), "a bigint, b bigint")
         )
         return traversed.distinct()
 
@@ -483,28 +483,32 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "
     decided each by its own. Only the keys that go, and rows whose key repeats, are joined. Repeats of one row
     count once.
     """
+    names = ["__gone", "__twice", "__key", "__text"]
+    while set(names) & set(docs.columns):  # columns may be called anything
+        names = [f"_{n}" for n in names]
+    gone_key, twice_key, own_key, own_text = names
     found = materialize(classed(docs, width, percent, key, text).where("key is not null"), "classed")
-    twice = materialize(found.groupBy(F.col("key").alias("__twice")).agg(F.count("*").alias("__n")).where("__n > 1").select("__twice"), "twice")
+    twice = materialize(found.groupBy(F.col("key").alias(twice_key)).agg(F.count("*").alias("__n")).where("__n > 1").select(twice_key), "twice")
     repeated = twice.count()
-    gone = found.where("key <> component_id").select(F.col("key").alias("__gone")).distinct()
+    gone = found.where("key <> component_id").select(F.col("key").alias(gone_key)).distinct()
     if repeated:
         twice = small_side(twice, repeated, BROADCAST_KEYS)
-        gone = gone.join(twice, F.col("__gone") == F.col("__twice"), "left_anti")
+        gone = gone.join(twice, F.col(gone_key) == F.col(twice_key), "left_anti")
     gone = materialize(gone, "gone")
-    kept = docs.join(small_side(gone, gone.count(), BROADCAST_KEYS), F.col(key) == F.col("__gone"), "left_anti")
+    kept = docs.join(small_side(gone, gone.count(), BROADCAST_KEYS), F.col(key) == F.col(gone_key), "left_anti")
     if not repeated:
         return kept
-    same = F.col(key) == F.col("__twice")
+    same = F.col(key) == F.col(twice_key)
     again = docs.join(twice, same, "left_semi")
     kind = docs.schema[key].dataType.simpleString()
     pairs = again.select(F.col(key).alias("key"), F.col(text).alias("text")).distinct().mapInArrow(_classes(width), f"key {kind}, text string, class bigint")
-    verdicts = found.join(twice, F.col("key") == F.col("__twice"), "left_semi").where("class is not null").select("key", "class", "component", "component_id").distinct()
+    verdicts = found.join(twice, F.col("key") == F.col(twice_key), "left_semi").where("class is not null").select("key", "class", "component", "component_id").distinct()
     judged = pairs.join(verdicts, ["key", "class"], "left").where("class is null or key = component_id")
     # one text of each component; texts without words are repeats only of themselves
     stay = (
         judged.groupBy("key", "component", F.when(F.col("class").isNull(), F.struct(F.col("text").alias("t"))).alias("__own"))
-        .agg(F.min("text").alias("text")).select(F.col("key").alias("__key"), F.col("text").alias("__text"))
+        .agg(F.min("text").alias("text")).select(F.col("key").alias(own_key), F.col("text").alias(own_text))
     )
     once = again.dropDuplicates([key, text]).join(
-        stay, (F.col(key) == F.col("__key")) & F.col(text).eqNullSafe(F.col("__text")), "left_semi")
+        stay, (F.col(key) == F.col(own_key)) & F.col(text).eqNullSafe(F.col(own_text)), "left_semi")
     return kept.join(twice, same, "left_anti").unionByName(once)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mentionlake.llm.common import parts, ready, share, texts
+from mentionlake.llm.common import parts, ready, share, texts, tidy
 from mentionlake.session import materialize, small_side
 
 SAMPLE_ROWS = 400  # labelled rows of a language that are learned from, about
@@ -247,7 +247,7 @@ def apply(
 
     kept = rows.select(*names).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields)
-    return rows.mapInArrow(predicted, f"{schema}, {into[0]} string, {into[1]} double")
+    return rows.mapInArrow(tidy(predicted), f"{schema}, {into[0]} string, {into[1]} double")
 
 
 def recognised(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

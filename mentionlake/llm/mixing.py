@@ -59,11 +59,14 @@ def uniform(key: Column) -> Column:
     return (digits.cast("double") + 0.5) / float(1 << 48)
 
 
-def sized(docs: DataFrame, prefer: Column | None, text: str) -> DataFrame:
-    """``docs`` with their sizes and preferences."""
+def sized(docs: DataFrame, prefer: Column | None, key: str, text: str, source: str) -> DataFrame:
+    """Key, source, preference and size of every row, the row itself in one struct: whatever its columns are
+    called, they meet no name used here."""
     wanted = F.lit(1.0) if prefer is None else F.greatest(F.coalesce(prefer.cast("double"), F.lit(0.0)), F.lit(0.0))
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(*docs.columns, wanted.alias("__wanted"), size.alias("__size"))
+    return docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col(key).alias("key"), F.col(source).alias("source"),
+        wanted.alias("wanted"), size.alias("size"))
 
 
 class Sample:
@@ -71,17 +74,14 @@ class Sample:
 
     def __init__(self, docs: DataFrame, weights, percent, most, prefer, key, text, source):
         ready(docs.sparkSession)
-        self.key, self.source = key, source
-        self.rows = materialize(
-            sized(docs.select(*dict.fromkeys([key, source, text, *([] if prefer is None else docs.columns)])), prefer, text)
-            .select(key, source, "__wanted", "__size"), "sizes")
-        wish = F.sum(F.col("__size") * F.col("__wanted"))
-        sums = self.rows.groupBy(source).agg(F.sum("__size").alias("source_size"), wish.alias("wish"))
-        targets = shares(sums.select(F.col(source).alias("source"), "source_size"), weights, percent, most)
+        self.rows = materialize(sized(docs, prefer, key, text, source).drop("row"), "sizes")
+        wish = F.sum(F.col("size") * F.col("wanted"))
+        sums = self.rows.groupBy("source").agg(F.sum("size").alias("source_size"), wish.alias("wish"))
+        targets = shares(sums.select("source", "source_size"), weights, percent, most)
         rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
         self.goals = materialize(
             targets.withColumnRenamed("source", "__s").join(
-                sums.select(F.col(source).alias("__t"), "wish"), F.col("__s").eqNullSafe(F.col("__t")))
+                sums.select(F.col("source").alias("__t"), "wish"), F.col("__s").eqNullSafe(F.col("__t")))
             .select(
                 "__s", "source_size", "target", "wish", F.floor(rate).cast("long").alias("certain"),
                 (rate - F.floor(rate)).alias("chance"),
@@ -90,12 +90,12 @@ class Sample:
             "goals",
         )
         self.count = self.goals.count()
-        filled = self.ranked(self.rows).groupBy(source, "slot").agg(F.sum("__size").alias("words"), F.first("goal.rest").alias("rest"))
-        through = F.sum("words").over(Window.partitionBy(source).orderBy("slot"))
+        filled = self.ranked(self.rows).groupBy("source", "slot").agg(F.sum("size").alias("words"), F.first("goal.rest").alias("rest"))
+        through = F.sum("words").over(Window.partitionBy("source").orderBy("slot"))
         self.edges = materialize(
             filled.withColumn("through", through)
             .where((F.col("through") >= F.col("rest")) & (F.col("rest") > 0))
-            .groupBy(F.col(source).alias("__s"))
+            .groupBy(F.col("source").alias("__s"))
             .agg(F.min(F.struct("slot", (F.col("rest") - F.col("through") + F.col("words")).alias("open"))).alias("edge")),
             "edges",
         )
@@ -103,31 +103,31 @@ class Sample:
     def ranked(self, sized_rows: DataFrame) -> DataFrame:
         """Rows with the goal of their source, Pareto's ratio and its slot."""
         goals = self.goals.select("__s", F.struct(*self.goals.columns[1:]).alias("goal"))
-        odds = F.when(F.col("goal.wish") > 0, F.col("__wanted") * F.col("goal.source_size") / F.col("goal.wish")).otherwise(F.lit(1.0))
+        odds = F.when(F.col("goal.wish") > 0, F.col("wanted") * F.col("goal.source_size") / F.col("goal.wish")).otherwise(F.lit(1.0))
         chance = F.greatest(F.least(F.col("goal.chance") * odds, F.lit(1 - 1e-9)), F.lit(1e-9))
-        draw = uniform(F.col(self.key))
+        draw = uniform(F.col("key"))
         return (
-            sized_rows.join(small_side(goals, self.count), F.col(self.source).eqNullSafe(F.col("__s"))).drop("__s")
+            sized_rows.join(small_side(goals, self.count), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
             .withColumn("ratio", (draw / (1 - draw)) / (chance / (1 - chance)))
             .withColumn("slot", F.least(F.floor(F.col("ratio") / (1 + F.col("ratio")) * SLOTS), F.lit(SLOTS - 1)).cast("int"))
         )
 
     def edged(self, ranked: DataFrame) -> tuple[DataFrame, Column]:
         """Ranked rows with the edge of their source, and whether they lie at it."""
-        rows = ranked.join(small_side(self.edges, self.count), F.col(self.source).eqNullSafe(F.col("__s")), "left").drop("__s")
+        rows = ranked.join(small_side(self.edges, self.count), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
         return rows, F.coalesce(F.col("slot") == F.col("edge.slot"), F.lit(False))
 
     def at_edge(self) -> DataFrame:
         """Rows at the edge of their source with the words taken of them beside whole copies."""
         rows, at_edge = self.edged(self.ranked(self.rows))
-        order = Window.partitionBy(self.source).orderBy("ratio", self.key, "__size").rowsBetween(Window.unboundedPreceding, -1)
-        left = F.col("edge.open") - F.coalesce(F.sum("__size").over(order), F.lit(0))
-        return rows.where(at_edge).withColumn("extra", F.greatest(F.lit(0), F.least("__size", left)))
+        order = Window.partitionBy("source").orderBy("ratio", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
+        left = F.col("edge.open") - F.coalesce(F.sum("size").over(order), F.lit(0))
+        return rows.where(at_edge).withColumn("extra", F.greatest(F.lit(0), F.least("size", left)))
 
     def away(self) -> DataFrame:
         """All other rows: taken whole before the edge and not at all behind it."""
         rows, at_edge = self.edged(self.ranked(self.rows))
-        return rows.where(~at_edge).withColumn("extra", F.when(F.col("slot") < F.col("edge.slot"), F.col("__size")).otherwise(0))
+        return rows.where(~at_edge).withColumn("extra", F.when(F.col("slot") < F.col("edge.slot"), F.col("size")).otherwise(0))
 
 
 def mix(
@@ -137,8 +137,8 @@ def mix(
     """(key, size, source_size, target, taken, source) of every row."""
     sample = Sample(docs, weights, percent, most, prefer, key, text, source)
     return sample.at_edge().unionByName(sample.away()).select(
-        key, F.col("__size").alias("size"), "goal.source_size", "goal.target",
-        (F.col("goal.certain") * F.col("__size") + F.col("extra")).cast("long").alias("taken"), source,
+        F.col("key").alias(key), "size", "goal.source_size", "goal.target",
+        (F.col("goal.certain") * F.col("size") + F.col("extra")).cast("long").alias("taken"), F.col("source").alias(source),
     )
 
 
@@ -153,18 +153,18 @@ def mixed(
     """
     sample = Sample(docs, weights, percent, most, prefer, key, text, source)
     chosen = materialize(
-        sample.at_edge().where("extra > 0").select(F.col(key).alias("__k"), F.col(source).alias("__s"), F.col("__size").alias("__z")).distinct(),
+        sample.at_edge().where("extra > 0").select(F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("size").alias("__z")).distinct(),
         "at-edge",
     )
-    rows, at_edge = sample.edged(sample.ranked(sized(docs, prefer, text)))
-    same = F.col(key).eqNullSafe(F.col("__k")) & F.col(source).eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z"))
+    rows, at_edge = sample.edged(sample.ranked(sized(docs, prefer, key, text, source)))
+    same = F.col("key").eqNullSafe(F.col("__k")) & F.col("source").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__z"))
     more = F.when(at_edge, F.col("__z").isNotNull()).otherwise(F.coalesce(F.col("slot") < F.col("edge.slot"), F.lit(False)))
     return (
         rows.join(small_side(chosen, chosen.count()), same, "left")
-        .withColumn("__copies", F.when(F.col("__size") > 0, F.col("goal.certain") + more.cast("int")).otherwise(0))
+        .withColumn("__copies", F.when(F.col("size") > 0, F.col("goal.certain") + more.cast("int")).otherwise(0))
         .where("__copies > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-        .select(*(rows[c] for c in docs.columns))
+        .select("row.*")
     )
 
 

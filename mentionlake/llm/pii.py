@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from mentionlake.llm.boosting import Boosted, Isotonic
-from mentionlake.llm.common import ready, share, texts
+from mentionlake.llm.common import ready, share, texts, tidy
 
 # Kinds in the order that breaks ties, and the patterns of the contract.
 KINDS = ("email", "ip", "card", "phone")
@@ -274,4 +274,4 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(cleaned, docs.schema)
+    return docs.mapInArrow(tidy(cleaned), docs.schema)

@@ -133,3 +133,13 @@ def test_one_of_each_when_keys_repeat_with_other_texts(frame):
     got = [(r["doc_id"], r["text"]) for r in out]
     assert len(got) == len(set(got))
     assert set(got) == {(1, one), (5, clean), (2, two), (3, three), (4, None), (4, ""), (None, one), (6, text("e"))}
+
+
+def test_one_of_each_with_columns_of_any_name(frame):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (2, text + " more"), (3, "something else that is quite different from it"), (1, "a third text of a repeated key altogether")]
+    names = ["__gone", "__twice", "_____gone", "class", "component_id", "__key", "__text"]
+    df = frame([(*r, *names) for r in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = jaccard.one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"], r["text"], r["__gone"]) for r in out.collect()) == sorted((i, t, "__gone") for i, t in (rows[0], *rows[2:]))

@@ -65,3 +65,14 @@ def test_whole_rows(docs):
 def test_empty(docs):
     assert mixing.mix(docs.where("false")).count() == 0
     assert mixing.mix(docs.where("doc_id in (701, 702)")).where("taken = 0 and target = 0").count() == 2
+
+
+def test_columns_may_be_called_anything(docs):
+    names = ["ratio", "slot", "goal", "edge", "extra", "row", "key", "size", "wanted", "__s", "__copies", "source_size"]
+    odd = docs.drop("ratio").withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    out = mixing.mixed(odd)
+    assert out.columns == odd.columns
+    rows = out.collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r["doc_id"]) for r in mixing.mixed(docs).collect())
+    assert all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in rows for n in names)
+    assert sorted(r["taken"] for r in mixing.mix(odd).collect()) == sorted(r["taken"] for r in mixing.mix(docs).collect())
