@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from mentionlake.llm.common import parts, ready
+from mentionlake.llm.common import parts, ready, tidy
 
 CHUNK = 32_768  # characters of a chunk
 OVERLAP = 1_024  # characters two neighbours share
@@ -201,7 +201,7 @@ def encode(
         ids = vocabulary.encode_pieces([_pieces(text, ends)])[0]
         return pd.DataFrame({"key": [frame["key"].iloc[0]] * copies, "ids": [ids] * copies})
 
-    short = rows.where(F.length("text") <= chunk).mapInArrow(whole, f"key {kind}, ids array<int>")
+    short = rows.where(F.length("text") <= chunk).mapInArrow(tidy(whole), f"key {kind}, ids array<int>")
     starts = F.sequence(F.lit(0), F.length("text") - 1, F.lit(chunk))
     long = (
         rows.where(F.length("text") > chunk)
@@ -210,7 +210,7 @@ def encode(
         .select("key", "h1", "h2", "start",
                 F.expr(f"substring(text, start + 1, {chunk + overlap})").alias("part"))
         .repartition("key", "h1", "start")
-        .mapInArrow(chunks, f"key {kind}, h1 bigint, h2 int, start int, part string, ends array<bigint>")
+        .mapInArrow(tidy(chunks), f"key {kind}, h1 bigint, h2 int, start int, part string, ends array<bigint>")
         .groupBy("key", "h1", "h2")
         .applyInPandas(joined, f"key {kind}, ids array<int>")
     )
