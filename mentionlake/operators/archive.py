@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionlake.operators import bucketed, mapping, quality
-from mentionlake.operators.keyed_write import insert_ignore, upsert_mutable
+from mentionlake.operators.keyed_write import first_wins, insert_ignore, upsert_mutable
 from mentionlake.operators.layout import PARTITION, append_rows, overwrite_dates, with_date
 from mentionlake.operators.snapshots import path_exists
 from mentionlake.session import materialize, small_side
@@ -38,23 +38,32 @@ def classify_lines(lines: DataFrame, kind: str, wanted: quality.LoadFilter) -> D
     return quality.with_status(parsed, wanted)
 
 
+def judged(classified: DataFrame, kind: str) -> DataFrame:
+    """Every line's status, the mapped row of matched ones and the text of malformed ones."""
+    is_matched, is_malformed = F.col("status") == "matched", F.col("status") == "malformed"
+    return classified.select(
+        *[c for c in jsonl.ORDER if c in classified.columns],
+        "status",
+        F.when(is_matched, F.struct(*mapping.COLUMNS[kind]())).alias("row"),
+        F.when(is_malformed, F.col("value")).alias("rejected"),
+    )
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Judged lines written to the shared folder with a number each, which stands for the line in its
+    file where the reader gives none."""
+    number = F.monotonically_increasing_id()
+    if "line" not in lines.columns:
+        lines = lines.withColumn("line", number)
+    return materialize(lines.withColumn("row_id", number), "load")
+
+
 def stage(classified: DataFrame, kind: str) -> DataFrame:
-    """Every line's status, the mapped row of matched ones and the text of malformed ones, written
-    to the shared folder.
+    """The judged lines as committed files.
 
     The lines are parsed once, for this; counters, quarantine and rows all come from these columns.
     """
-    is_matched, is_malformed = F.col("status") == "matched", F.col("status") == "malformed"
-    return materialize(
-        classified.select(
-            F.monotonically_increasing_id().alias("row_id"),
-            *jsonl.ORDER,
-            "status",
-            F.when(is_matched, F.struct(*mapping.COLUMNS[kind]())).alias("row"),
-            F.when(is_malformed, F.col("value")).alias("rejected"),
-        ),
-        f"load-{kind}",
-    )
+    return numbered(judged(classified, kind))
 
 
 def staged_rows(staged: DataFrame) -> DataFrame:
@@ -86,8 +95,9 @@ def _stored(spark: SparkSession, table: str, buckets: int | None) -> DataFrame:
 def add_rows(rows: DataFrame, table: str, buckets: int | None = None) -> int:
     """Append the staged rows the table does not have yet; returns how many there were.
 
-    In a table of ``buckets`` (see ``operators.bucketed``) the stored keys are not moved. Which rows to leave out is worked out on keys and places alone. The rows themselves, with their
-    payload, are only shuffled to be laid out: what is left out is usually little and broadcast.
+    In a table of ``buckets`` (see ``operators.bucketed``) the stored keys are not moved. Which rows to
+    leave out is worked out on keys and places alone. The rows themselves, with their payload, are only
+    shuffled to be laid out: what is left out is usually little and broadcast.
     """
     spark = rows.sparkSession
     rows = rows.dropna(subset=KEYS)  # without a key a row would be added again by every load
@@ -98,12 +108,24 @@ def add_rows(rows: DataFrame, table: str, buckets: int | None = None) -> int:
         known = _stored(spark, table, buckets).filter(F.col(PARTITION).isin(days))
     else:
         known = spark.createDataFrame([], dated.select(*KEYS).schema)
-    places = rows.select(*KEYS, "row_id", *jsonl.ORDER)
-    fresh = insert_ignore(known, places, KEYS, jsonl.ORDER).select("row_id")
-    left_out = materialize(rows.select("row_id").join(fresh, "row_id", "left_anti"), "left-out")
+    fresh = insert_ignore(known, rows.select(*KEYS, "row_id", *jsonl.ORDER), KEYS, jsonl.ORDER)
+    return _append_only(fresh.select("row_id"), rows, table, buckets)
+
+
+def add_unseen(rows: DataFrame, unseen: DataFrame, table: str, buckets: int | None = None) -> int:
+    """Append the staged rows whose key is in ``unseen``, the first of each key, without a look into the
+    table: ``unseen`` holds the keys of these rows that are known not to be there."""
+    rows = rows.dropna(subset=KEYS)
+    fresh = first_wins(rows.select(*KEYS, "row_id", *jsonl.ORDER), KEYS, jsonl.ORDER)
+    return _append_only(fresh.join(unseen, KEYS, "left_semi").select("row_id"), rows, table, buckets)
+
+
+def _append_only(chosen: DataFrame, rows: DataFrame, table: str, buckets: int | None) -> int:
+    """Append the rows with the ids in ``chosen``; returns how many there were."""
+    left_out = materialize(rows.select("row_id").join(chosen, "row_id", "left_anti"), "left-out")
     copies, total = left_out.count(), rows.count()
     if copies < total:
-        new = dated.join(small_side(left_out, copies), "row_id", "left_anti")
+        new = with_date(rows).join(small_side(left_out, copies), "row_id", "left_anti")
         new = new.drop("row_id", *jsonl.ORDER)
         new = new.withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
         if buckets:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mentionlake.operators import archive, capture, quality
 from mentionlake.session import new_folder
 from mentionlake.sources import longzstd
+from mentionlake.streaming import recent
 
 
 def run_available(stream: DataFrame, label: str, folder: str | None = None) -> str:
@@ -43,11 +44,15 @@ def ingest_lines(
     wanted: quality.LoadFilter = quality.LoadFilter(),
     max_files: int = 1000,
     packed: bool = False,
+    recent_hours: int | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Load what arrived in a folder of dumps since the last run; safe to repeat after a failure.
 
     A batch that is run again finds its rows in the table and adds none. ``packed`` reads ``.zst`` files
-    with long windows, which may grow by further frames; otherwise new files are read.
+    with long windows, which may grow by further frames; otherwise new files are read. With
+    ``recent_hours`` the keys of rows that young are remembered by the stream, and only older rows are
+    looked up in the table (see ``streaming.recent``); a checkpoint keeps the setting it began with.
     """
     if packed:
         lines = longzstd.follow(spark, folder)
@@ -55,16 +60,23 @@ def ingest_lines(
         lines = (
             spark.readStream.option("maxFilesPerTrigger", max_files)
             .text(folder)
-            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("line"), "value")
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
         )
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        placed = batch.withColumn("source_rank", F.lit(0))
-        staged = archive.stage(archive.classify_lines(placed, kind, wanted), kind)
-        archive.add_rows(archive.staged_rows(staged), table)
+    classified = archive.classify_lines(lines.withColumn("source_rank", F.lit(0)), kind, wanted)
+    judged = archive.judged(classified, kind)
+    if recent_hours is None:
+        def load(batch: DataFrame, number: int) -> None:
+            archive.add_rows(archive.staged_rows(archive.numbered(batch)), table, buckets)
 
-    _each_batch(lines, load, checkpoint)
+        _each_batch(judged, load, checkpoint)
+    else:
+        marks = recent.Marks(spark, f"{checkpoint}/recent")
+
+        def load_recent(batch: DataFrame, number: int) -> None:
+            recent.add_batch(batch, number, table, marks, recent_hours, buckets)
+
+        _each_batch(recent.with_unseen(judged, recent_hours), load_recent, checkpoint)
 
 
 def _each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
