@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,8 @@ CHUNK = 32_768  # characters of a chunk
 OVERLAP = 1_024  # characters two neighbours share
 MARGIN = 3  # longest literal of the pattern: boundaries closer to a cut are not trusted
 LONG_PIECE = 48  # bytes from which a piece is merged with a heap instead of in a vector
-CACHED_PIECES = 120_000  # per Python worker
+CACHED_BYTES = 24_000_000  # of known pieces per Python worker and generation, of which there are two
+ENTRY_BYTES = 160  # what a known piece takes besides its characters and ids
 PART_CHARS = 250_000  # characters whose pieces are held at a time
 NO_RANK = 1 << 40
 
@@ -52,35 +54,45 @@ class Vocabulary:
         self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-        self.cache: dict[str, list[int]] = {}
+        # ids, as bytes, of pieces met lately and of those met before these; bounded by their size
+        self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
+        self.held = 0
 
     def _rank(self, key: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NO_RANK)
 
-    def merge_many(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of short pieces: in each round every piece merges its leftmost pair of least rank."""
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of short pieces: in each round every piece merges its leftmost pair of least rank. Only the
+        pairs on both sides of a merge are looked up again."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ids = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
         own = np.repeat(np.arange(len(pieces)), sizes)
-        out: list[list[int]] = [[]] * len(pieces)
+        out = [b""] * len(pieces)
+        rank = np.full(len(ids), NO_RANK)
+        inside = np.flatnonzero(own[:-1] == own[1:])
         while len(ids):
-            rank = np.full(len(ids), NO_RANK)
-            inside = np.flatnonzero(own[:-1] == own[1:])
             rank[inside] = self._rank(ids[inside] << 20 | ids[inside + 1])
             starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
             least = np.minimum.reduceat(rank, starts)
             lengths = np.diff(np.r_[starts, len(ids)])
             done = least == NO_RANK
             if done.any():
-                for s, n in zip(starts[done].tolist(), lengths[done].tolist()):
-                    out[own[s]] = ids[s : s + n].tolist()
+                packed = ids.astype(np.int32).tobytes()
+                for i, s, n in zip(own[starts[done]].tolist(), starts[done].tolist(), lengths[done].tolist()):
+                    out[i] = packed[4 * s : 4 * (s + n)]
             hit = np.flatnonzero((rank == np.repeat(least, lengths)) & (rank < NO_RANK))
             hit = hit[np.r_[True, own[hit[1:]] != own[hit[:-1]]]] if len(hit) else hit
             ids[hit] = rank[hit]
             keep = np.repeat(~done, lengths)
             keep[hit + 1] = False
-            ids, own = ids[keep], own[keep]
+            at = (np.cumsum(keep) - 1)[hit]  # where the merged ids lie afterwards
+            ids, own, rank = ids[keep], own[keep], rank[keep]
+            rank[at] = NO_RANK  # the last id of a piece has no pair
+            beside = np.r_[at - 1, at]
+            beside = beside[(beside >= 0) & (beside + 1 < len(ids))]
+            inside = beside[own[beside] == own[beside + 1]]
         return out
 
     def merge_long(self, piece: bytes) -> list[int]:
@@ -104,21 +116,40 @@ class Vocabulary:
                     heapq.heappush(heap, (r, left))
         return [x for x in ids if x >= 0]
 
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Looks up or merges all of ``pieces``; short ones stay known, long ones are returned."""
+        if self.held > CACHED_BYTES:
+            self.known, self.known_before, self.held = {}, self.known, 0
+        apart, fresh, raw = {}, [], []
+        for p in pieces.difference(self.known):
+            ids = self.known_before.get(p)
+            if ids is None:
+                b = p.encode("utf-8", "surrogatepass")
+                token = self.ids.get(b)
+                if token is not None:
+                    ids = token.to_bytes(4, sys.byteorder)
+                elif len(b) > LONG_PIECE:
+                    apart[p] = np.array(self.merge_long(b), np.int32).tobytes()
+                    continue
+                else:
+                    fresh.append(p)
+                    raw.append(b)
+                    continue
+            self.known[p] = ids
+            self.held += len(p) + len(ids) + ENTRY_BYTES
+        self.known.update(zip(fresh, merged := self.merge_many(raw)))
+        self.held += sum(map(len, raw)) + sum(map(len, merged)) + ENTRY_BYTES * len(raw)
+        return apart
+
     def encode_pieces(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Ids of texts that are given as lists of pieces; pieces seen before are looked up."""
-        if len(self.cache) > CACHED_PIECES:
-            self.cache.clear()
-        known = self.cache
-        fresh = list({p for pieces in texts for p in pieces if p not in known})
-        raw = [p.encode("utf-8", "surrogatepass") for p in fresh]
-        short = [i for i, b in enumerate(raw) if len(b) <= LONG_PIECE]
-        for i, ids in zip(short, self.merge_many([raw[i] for i in short])):
-            known[fresh[i]] = ids
-        for i, b in enumerate(raw):
-            if len(b) > LONG_PIECE:
-                known[fresh[i]] = self.merge_long(b)
-        flat = lambda pieces: [x for ids in map(known.__getitem__, pieces) for x in ids]
-        return [np.array(flat(pieces), np.int32) for pieces in texts]
+        """Ids of texts that are given as lists of pieces; each distinct piece is merged once, and pieces
+        seen before are looked up."""
+        apart = self._learn(set().union(*texts))
+        if apart:
+            find = lambda p: self.known.get(p) or apart[p]
+        else:
+            find = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(find, pieces)), np.int32) for pieces in texts]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
