@@ -69,9 +69,9 @@ def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     return run
 
 
-def share(key: str, count: Column, size: int) -> Column:
-    """Whether a row is among about ``size`` of ``count`` rows, picked by a hash of its key."""
-    return F.pmod(F.xxhash64(key), F.greatest(count, F.lit(1))) < size
+def share(key: str, count: Column, size: int, *more: str) -> Column:
+    """Whether a row is among about ``size`` of ``count`` rows, picked by a hash of its key (and of ``more``)."""
+    return F.pmod(F.xxhash64(key, *more), F.greatest(count, F.lit(1))) < size
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -1,6 +1,7 @@
 """Language identification by cross-parsing entropy.
 
-For each language a suffix automaton is built from a bounded sample of labelled text. A text is parsed
+For each language a suffix automaton is built from a bounded sample of labelled text: a stretch of each of its
+``SAMPLE_ROWS`` rows, at a place given by a hash, ``TRAINING_CHARS`` in all. A text is parsed
 against every automaton into phrases, each the longest match that starts where the last one ended; the
 language whose automaton needs the fewest phrases, normalised to bits per character by the size of its
 training text, wins (ties: the smaller name). Texts are lower-cased and every run of non-letters is one
@@ -23,9 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mentionlake.llm.common import parts, ready, share, texts, tidy
 from mentionlake.session import materialize, small_side
 
-SAMPLE_ROWS = 400  # labelled rows of a language that are learned from, about
-SAMPLE_CHARS = 1_500  # characters of each of them
-TRAINING_CHARS = 30_000  # normalised characters of a language in its automaton
+SAMPLE_ROWS = 200  # labelled rows of a language that are learned from, about
+TRAINING_CHARS = 30_000  # characters of a language in its automaton, about; spread over its rows
 TABLE = 20_000_000  # entries of the dense table, about; decides how many letters of a language are in it, not results
 SEGMENT = 512
 PART_CHARS = 500_000  # characters parsed at a time
@@ -202,19 +202,23 @@ class Parsers:
 def train(docs: DataFrame, learn: Column, key: str, text: str, lang: str) -> Parsers:
     """Automata from about ``SAMPLE_ROWS`` rows of each language among those where ``learn`` holds.
 
-    Rows are picked by a hash of their key where they lie; only they travel.
+    Rows are picked by a hash of key and text where they lie, so many texts of one key are many rows; only a
+    stretch of each travels, from anywhere in the text, as long as needed for ``TRAINING_CHARS`` of its language.
     """
     usable = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"))
+        F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = materialize(usable.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    size = F.ceil(TRAINING_CHARS / F.least("rows", F.lit(SAMPLE_ROWS))).cast("int")
+    start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - size + 1, F.lit(1))).cast("int") + 1
     rows = (
-        usable.join(small_side(counts, counts.count()), "lang").where(share("key", F.col("rows"), SAMPLE_ROWS))
-        .select("lang", F.xxhash64("key").alias("place"), "text").distinct().collect()
+        usable.join(small_side(counts, counts.count()), "lang").where(share("key", F.col("rows"), SAMPLE_ROWS, "text"))
+        .select("lang", F.xxhash64("key", "text").alias("place"), F.substring("text", start, size).alias("text"))
+        .distinct().collect()
     )
     samples: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):
         samples.setdefault(row["lang"], []).append(normalise(row["text"]))
-    return Parsers({k: " ".join(v)[:TRAINING_CHARS] for k, v in samples.items()})
+    return Parsers({k: " ".join(v) for k, v in samples.items()})
 
 
 def identify(

@@ -16,7 +16,9 @@ repeated; other columns are ignored or, in ``redact``, kept.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, insort
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +35,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-SAMPLE_TEXTS = 3_000  # texts with a digit or an at sign that may be learned from
-SAMPLE_CHARS = 4_000  # characters of each of them
-SAMPLE_CANDIDATES = 30_000
+SAMPLE_TEXTS = 3_000  # texts with a digit or an at sign that may be learned from; they are taken whole
+SAMPLE_CANDIDATES = 30_000  # candidates of them that are learned from, spread evenly over all
 THRESHOLD = 0.95  # calibrated probability from which a candidate is selected
-WINDOW = 8  # most groups in a candidate
+MOST_DIGITS = 19  # of any kind; no candidate has more
+PART = 20_000  # candidates that are scored at a time
 
 ANY = re.compile("[0-9@]")
 DIGITS = re.compile("[0-9]+")
@@ -94,17 +96,16 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str) -> list[Span]:
-    """Overlapping spans that may be personal data."""
-    found: list[Span] = []
+def candidates(text: str) -> Iterator[Span]:
+    """Overlapping spans that may be personal data, all of at most ``MOST_DIGITS`` digits however grouped."""
     if not ANY.search(text):
-        return found
+        return
     if "@" in text:
         done = 0
         for m in AT_WORD.finditer(text):
             start = done + len(text[done : m.start()].rstrip(LOCAL))
             if start < m.start():
-                found.append(("email", start, m.end()))
+                yield "email", start, m.end()
             done = m.start() + 1
     for run in RUN.finditer(text):
         if run.end() - run.start() < 7:
@@ -112,19 +113,17 @@ def candidates(text: str) -> list[Span]:
         groups = [(a + run.start(), b + run.start()) for a, b in (m.span() for m in DIGITS.finditer(run.group()))]
         for i, (start, _) in enumerate(groups):
             digits = 0
-            for j in range(i, min(i + WINDOW, len(groups))):
+            for j in range(i, len(groups)):
                 end = groups[j][1]
                 digits += end - groups[j][0]
-                if digits > 24:
+                if digits > MOST_DIGITS:
                     break
-                between = text[start:end]
-                if j == i + 3 and between.count(".") == 3 and end - start == digits + 3:
-                    found.append(("ip", start, end))
-                if 13 <= digits <= 19:
-                    found.append(("card", start, end))
+                if j == i + 3 and end - start == digits + 3 and text.count(".", start, end) == 3:
+                    yield "ip", start, end
+                if digits >= 13:
+                    yield "card", start, end
                 if 7 <= digits <= 15 and j > i:
-                    found.append(("phone", start - (text[start - 1 : start] == "+"), end))
-    return found
+                    yield "phone", start - (text[start - 1 : start] == "+"), end
 
 
 def proven(text: str, span: Span) -> bool:
@@ -161,15 +160,27 @@ def features(text: str, span: Span) -> list[float]:
     ]
 
 
+class Taken:
+    """Stretches of a text that do not overlap."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.spans = sorted(spans)
+
+    def free(self, start: int, end: int) -> bool:
+        i = bisect_left(self.spans, (end, 0))
+        return i == 0 or self.spans[i - 1][1] <= start
+
+    def add(self, start: int, end: int) -> None:
+        insort(self.spans, (start, end))
+
+
 class Detector:
     """Boosted trees with a calibration for each kind; without examples of both sorts it selects nothing."""
 
     def __init__(self, sample: list[str]):
-        rows: list[tuple[int, bool, list[float]]] = []
-        for i, text in enumerate(sample):
-            rows += [(i, proven(text, c), features(text, c)) for c in candidates(text)]
-            if len(rows) >= SAMPLE_CANDIDATES:
-                break
+        step = -(-sum(1 for text in sample for _ in candidates(text)) // SAMPLE_CANDIDATES) or 1
+        every = ((i, text, c) for i, text in enumerate(sample) for c in candidates(text))
+        rows = [(i, proven(text, c), features(text, c)) for i, text, c in islice(every, 0, None, step)]
         self.model, self.calibrated = None, {}
         y = np.array([r[1] for r in rows], float)
         held = np.array([r[0] % 4 == 0 for r in rows], bool)
@@ -187,20 +198,22 @@ class Detector:
         """Selected spans beside the base ones."""
         if self.model is None:
             return []
-        taken = {kind: [(a, b) for k, a, b in base if k == kind] for kind in KINDS}
-        free = [c for c in candidates(text) if c[0] in self.calibrated
-                and all(c[2] <= a or b <= c[1] for a, b in taken[c[0]])]
-        if not free:
-            return []
-        score = self.model.score(np.array([features(text, c) for c in free], float))
+        taken = {kind: Taken((a, b) for k, a, b in base if k == kind) for kind in KINDS}
+        free = (c for c in candidates(text) if c[0] in self.calibrated and taken[c[0]].free(c[1], c[2]))
+        likely: list[tuple[float, int, Span]] = []
+        while part := list(islice(free, PART)):
+            score = self.model.score(np.array([features(text, c) for c in part], float))
+            kinds = np.array([KINDS.index(c[0]) for c in part])
+            chance = np.zeros(len(part))
+            for k, kind in enumerate(KINDS):
+                if (own := kinds == k).any():
+                    chance[own] = self.calibrated[kind](score[own])
+            likely += [(-score[i], part[i][1] - part[i][2], part[i]) for i in np.flatnonzero(chance >= threshold)]
         chosen = []
-        for i in sorted(range(len(free)), key=lambda i: (-score[i], free[i][1] - free[i][2], free[i])):
-            kind, start, end = free[i]
-            if self.calibrated[kind](score[i : i + 1])[0] < threshold:
-                continue
-            if all(end <= a or b <= start for a, b in taken[kind]):
-                taken[kind].append((start, end))
-                chosen.append(free[i])
+        for _, _, (kind, start, end) in sorted(likely):
+            if taken[kind].free(start, end):
+                taken[kind].add(start, end)
+                chosen.append((kind, start, end))
         return chosen
 
 
@@ -212,7 +225,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Detector:
     usable = docs.where(F.col(text).rlike("[0-9@]"))
     rows = (
         docs.where(share(key, F.lit(usable.count()), SAMPLE_TEXTS)).where(F.col(text).rlike("[0-9@]"))
-        .select(F.xxhash64(key).alias("place"), F.substring(text, 1, SAMPLE_CHARS).alias("text"))
+        .select(F.xxhash64(key).alias("place"), F.col(text).alias("text"))
         .orderBy("place", "text")
         .limit(SAMPLE_TEXTS)
         .collect()

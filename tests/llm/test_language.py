@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from mentionlake.llm import language
 from mentionlake.llm.plans import op8_language
@@ -47,6 +48,18 @@ def test_edges(frame):
     assert {r["lang_pred"] for r in language.identify(docs.where("lang is null")).collect()} == {"und"}
 
 
+def test_training_takes_stretches_from_anywhere(frame, monkeypatch):
+    """Long texts are learned from beyond their first characters, and many texts of one key are many rows."""
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(language, "TRAINING_CHARS", 4_000)
+    rows = [(7, "z" * 3_000 + " das haus ist alt" * 300 + f" {i}", "de") for i in range(200)]
+    rows += [(i, "z" * 3_000 + " the house is old" * 300, "en") for i in range(200)]
+    docs = frame(rows, "doc_id long, text string, lang string")
+    parsers = language.train(docs, F.lit(True), "doc_id", "text", "lang")
+    assert parsers.predict(["das haus ist alt", "the house is old"], parsers.codes())[0] == ["de", "en"]
+    assert all(2**bits < 2 * language.TRAINING_CHARS for bits in parsers.bits)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")

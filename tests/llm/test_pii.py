@@ -44,7 +44,37 @@ def test_base_spans_equal_the_patterns():
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "@a" * 100_000, "+1 (" * 50_000, "1 " * 150_000):
         pii.base_spans(text)
-        pii.candidates(text)
+        assert sum(1 for _ in pii.candidates(text)) <= 17 * len(text)
+
+
+def test_candidates_have_no_most_groups():
+    """Every span between two groups of a run that has the digits of a kind is proposed."""
+    rng = random.Random(8)
+    for _ in range(200):
+        text = "".join(rng.choice(["1", "23", "456"]) + rng.choice([" ", "-", ".", ". "]) for _ in range(rng.randint(4, 30))) + "7"
+        groups = [m.span() for m in re.finditer("[0-9]+", text)]
+        got, want = set(pii.candidates(text)), set()
+        for i, (start, _) in enumerate(groups):
+            for j in range(i, len(groups)):
+                digits = sum(b - a for a, b in groups[i : j + 1])
+                want |= {("card", start, groups[j][1])} if 13 <= digits <= 19 else set()
+                want |= {("phone", start, groups[j][1])} if 7 <= digits <= 15 and j > i else set()
+        assert {s for s in got if s[0] != "ip"} == want
+    apart = "4 " + "1 " * 14 + "1"
+    assert ("card", 0, len(apart)) in set(pii.candidates(apart))
+
+
+def test_parts_do_not_change_what_is_selected(monkeypatch):
+    sample = [f"call {i} 4{i % 10}{i:014d} now +1 (826) 555-{i % 10000:04d} or {i}.{i % 300}.7.9" for i in range(400)]
+    detector = pii.Detector(sample)
+    text = " , ".join(sample[:40])
+    want = detector.added(text, pii.base_spans(text))
+    monkeypatch.setattr(pii, "PART", 7)
+    assert detector.added(text, pii.base_spans(text)) == want
+    ends = {}
+    for kind, start, end in sorted(pii.base_spans(text) + want, key=lambda s: s[1]):
+        assert ends.get(kind, 0) <= start
+        ends[kind] = end
 
 
 def test_trees_learn_a_rule():
