@@ -3,9 +3,12 @@
 Base spans are the leftmost non-overlapping matches of a fixed pattern for each kind that pass its
 check; matches that fail are dropped whole. On top, high-recall generators propose overlapping spans:
 every window of digit or dotted groups that could be a card, phone or address, and every word around an
-at sign. Boosted trees score them by format and context. They learn from a bounded sample of the corpus,
-where a candidate that stands alone and passes the check of its kind counts as true; probabilities are
-calibrated on held-out candidates of each kind, and a candidate is selected from ``THRESHOLD`` on,
+at sign. Boosted trees score them by format and context. There are no labels, so they are made: in a bounded
+sample of the corpus base spans are taken out and ``PLANTED`` made-up pieces are put in, half of them personal
+data, alone or side by side, half of them corrupted (wrong check digit, wrong length, glued to other
+characters, parts out of range). What was put in whole is true, every other candidate of these texts is not;
+so the trees see the corpus' own versions, hashes and numbers as what to leave alone. Probabilities are
+calibrated on texts held out, for each kind, and a candidate is selected from ``THRESHOLD`` on,
 best first, if it overlaps neither a base span nor a selected one of its kind. So two adjacent card
 numbers, which the base pattern reads as one too long number, are both found.
 
@@ -15,7 +18,9 @@ repeated; other columns are ignored or, in ``redact``, kept.
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -36,7 +41,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 SAMPLE_TEXTS = 3_000  # texts with a digit or an at sign that may be learned from; they are taken whole
-SAMPLE_CANDIDATES = 30_000  # candidates of them that are learned from, spread evenly over all
+SAMPLE_CANDIDATES = 60_000  # candidates of them that are learned from, spread evenly over all
+PLANTED = 8  # pieces put into each of them
 THRESHOLD = 0.95  # calibrated probability from which a candidate is selected
 MOST_DIGITS = 19  # of any kind; no candidate has more
 PART = 20_000  # candidates that are scored at a time
@@ -126,19 +132,74 @@ def candidates(text: str) -> Iterator[Span]:
                     yield "phone", start - (text[start - 1 : start] == "+"), end
 
 
-def proven(text: str, span: Span) -> bool:
-    """Whether a candidate stands alone and passes the check of its kind."""
-    kind, start, end = span
-    inside, before, after = text[start:end], text[start - 1 : start], text[end : end + 1]
+def check_digit(digits: str) -> str:
+    return next(c for c in "0123456789" if luhn(digits + c))
+
+
+def made_up(kind: str, rng: random.Random) -> str:
+    """Personal data of a kind, in one of its usual forms."""
+    def digits(n: int) -> str:
+        return "".join(rng.choices("0123456789", k=n))
+
+    def word() -> str:
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+
+    if kind == "email":
+        return word() + rng.choice(["", ".", "_", "+"]) + word() + "@" + word() + "." + rng.choice(["com", "org", "net", "co.uk", "de"])
+    if kind == "ip":
+        return ".".join(str(rng.randint(0, 255)) for _ in range(4))
+    if kind == "card":
+        number = rng.choice("3456") + digits(rng.choice([12, 13, 14, 14, 14, 14, 15, 17]))
+        number += check_digit(number)
+        gap = rng.choice(["", "", " ", "-"])
+        sizes = [4, 6, 5] if len(number) == 15 else [4] * 5
+        starts = [sum(sizes[:i]) for i in range(len(sizes))]
+        return gap.join(filter(None, (number[s : s + n] for s, n in zip(starts, sizes))))
+    gap = rng.choice([" ", "-", "."])
+    area = rng.choice(["({})", "{}"]).format(digits(3))
+    return f"+{rng.randint(1, 99)}{rng.choice([' ', '-'])}{area}{rng.choice([gap, ' '])}{digits(3)}{gap}{digits(rng.choice([4, 4, 5]))}"
+
+
+def corrupted(kind: str, rng: random.Random) -> str:
+    """What looks like personal data of a kind and is not."""
+    good = made_up(kind, rng)
+    way = rng.randrange(3)
+    if way == 0:  # part of something longer
+        glue = "".join(rng.choices("0123456789abcdef", k=rng.randint(3, 9))) + rng.choice("abcdef")
+        return glue + good if kind != "email" else good.partition("@")[0] + "@" + glue
     if kind == "email":
-        return bool(DOMAIN.fullmatch(inside, inside.index("@")))
-    if before.isalnum() or after.isalnum() or before in "+-." and before or after in "-@" and after:
-        return False
+        return good.replace(".", "")
     if kind == "ip":
-        return valid_ip(inside)
+        return f"{good}.{rng.randint(0, 99)}" if way == 1 else good.rpartition(".")[0] + f".{rng.randint(256, 9999)}"
     if kind == "card":
-        return valid_card(inside) and len({len(g) for g in re.split("[^0-9]+", inside)}) <= 2 and "." not in inside
-    return inside[0] == "+" and valid_phone(inside) and not re.search(r"[\x20.-]{2}|[0-9]\(", inside)
+        return good[:-1] + str((int(good[-1]) + rng.randint(1, 9)) % 10) if way == 1 else good[:-5]
+    return good[1:] if way == 1 else good[:-6]
+
+
+def planted(text: str) -> tuple[str, set[Span]]:
+    """``text`` without its base spans but with made-up pieces, and where the true ones are."""
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    out, at = [], 0
+    for _, start, end in base_spans(text):
+        if start >= at:
+            out.append(text[at:start])
+        at = max(at, end)
+    plain = "".join([*out, text[at:]])
+    blanks = [m.start() for m in re.finditer(r"\s", plain)] or [len(plain)]
+    places = sorted(rng.choices(blanks, k=PLANTED))
+    true, made, size, at = set(), [], 0, 0
+    for place in places:
+        kinds = rng.choices(KINDS, k=rng.choice([1, 1, 2, 3]))
+        kinds = kinds[:1] * len(kinds) if rng.random() < 0.5 else kinds
+        pieces = [(k, made_up(k, rng)) for k in kinds] if rng.random() < 0.5 else [("", corrupted(kinds[0], rng))]
+        made.append(plain[at:place] + rng.choice([" ", " ", ": ", " (", ", "]))
+        size, at = size + len(made[-1]), place
+        for kind, piece in pieces:
+            if kind:
+                true.add((kind, size, size + len(piece)))
+            made.append(piece + rng.choice([" ", " ", " ", ", "]))
+            size += len(made[-1])
+    return "".join([*made, plain[at:]]), true
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -175,12 +236,13 @@ class Taken:
 
 
 class Detector:
-    """Boosted trees with a calibration for each kind; without examples of both sorts it selects nothing."""
+    """Boosted trees over planted examples with a calibration for each kind; without examples of both sorts it selects nothing."""
 
     def __init__(self, sample: list[str]):
-        step = -(-sum(1 for text in sample for _ in candidates(text)) // SAMPLE_CANDIDATES) or 1
-        every = ((i, text, c) for i, text in enumerate(sample) for c in candidates(text))
-        rows = [(i, proven(text, c), features(text, c)) for i, text, c in islice(every, 0, None, step)]
+        sown = [planted(text) for text in sample]
+        step = -(-sum(1 for text, _ in sown for _ in candidates(text)) // SAMPLE_CANDIDATES) or 1
+        every = ((i, text, c, c in true) for i, (text, true) in enumerate(sown) for c in candidates(text))
+        rows = [(i, true, features(text, c)) for i, text, c, true in islice(every, 0, None, step)]
         self.model, self.calibrated = None, {}
         y = np.array([r[1] for r in rows], float)
         held = np.array([r[0] % 4 == 0 for r in rows], bool)
