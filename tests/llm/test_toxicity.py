@@ -4,6 +4,7 @@ held-out accuracy."""
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from mentionlake.llm import toxicity, words
 from mentionlake.llm.plans import op6_toxicity
@@ -118,6 +119,24 @@ def test_edges(frame):
     assert toxicity.score(docs.where("false"), labels).count() == 0
 
 
+def test_words_and_thresholds_come_from_all_rows(frame, monkeypatch):
+    """Beyond the few rows that are sampled, every row counts."""
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 20)
+    rows = sample(600)
+    docs = frame([(i, t, lang) for i, (t, _, lang) in enumerate(rows)], "key long, text string, lang string")
+    labels = frame([(i, y) for i, (_, y, _) in enumerate(rows)], "key long, toxic int")
+    known = toxicity.labelled(labels, F.lit(True), "key", "toxic")
+    held = {r["key"] for r in known.where("held").collect()}
+    counts = toxicity.count_words(docs, known)
+    assert counts.rows == 600 - len(held) and 0 < len(held) < 300
+    bucket = buckets_of("idiot")[0]
+    assert counts.hits[bucket] == sum(y for i, (_, y, _) in enumerate(rows) if i not in held)
+    seen, decide = [], toxicity.Classifier.decide
+    monkeypatch.setattr(toxicity.Classifier, "decide", lambda self, *a: (seen.append((a[3].sum(), a[4].sum())), decide(self, *a)))
+    out = toxicity.score(docs, labels, key="key").collect()
+    assert len(out) == 600 and seen == [(len(held), sum(rows[i][1] for i in held))]
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
