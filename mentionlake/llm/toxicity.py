@@ -312,23 +312,24 @@ def labelled(labels: DataFrame, learn: Column, key: str, label: str) -> DataFram
     return known.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label")).withColumn("held", held)
 
 
+def one_of_a_key(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, label, text, lang) of the known keys; a key that is repeated counts once."""
+    both = rows.join(known, "key").groupBy("key", "label")
+    return both.agg(F.min("text").alias("text"), F.min("lang").alias("lang"))
+
+
 def sample_rows(rows: DataFrame, known: DataFrame) -> list[tuple[str, int, str | None]]:
     """About ``SAMPLE_ROWS`` rows of each label, picked by a hash of their key where they lie."""
     known = known.where("NOT held")
     counts = dict(known.groupBy("label").count().collect())
     of_label = F.when(F.col("label") == 1, F.lit(counts.get(1, 0))).otherwise(F.lit(counts.get(0, 0)))
     picked = known.where(share("key", of_label, SAMPLE_ROWS))
-    found = (
-        rows.join(F.broadcast(picked), "key")
-        .groupBy("key", "label").agg(F.min("text").alias("text"), F.min("lang").alias("lang"))
-        .orderBy(F.xxhash64("key"), "key")
-        .collect()
-    )
+    found = one_of_a_key(rows, F.broadcast(picked)).orderBy(F.xxhash64("key"), "key").collect()
     return [(r["text"] or "", r["label"], r["lang"]) for r in found]
 
 
 def count_words(rows: DataFrame, known: DataFrame) -> WordCounts:
-    """Counts over all rows that are not held back; a row that is repeated counts each time."""
+    """Counts over all keys that are not held back."""
 
     def counted(batches):
         counts = WordCounts()
@@ -340,26 +341,24 @@ def count_words(rows: DataFrame, known: DataFrame) -> WordCounts:
                 [pa.array([kind] * len(n)), pa.array([lang] * len(n), pa.string()), pa.array(buckets), pa.array(n)],
                 ["kind", "lang", "bucket", "n"])
 
-    own = rows.join(known.where("NOT held"), "key").select("key", "text", "label", "lang")
+    own = one_of_a_key(rows, known.where("NOT held")).select("key", "text", "label", "lang")
     cells = own.mapInArrow(tidy(counted), "kind string, lang string, bucket long, n double")
     return WordCounts.of_cells(cells.groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
 
 
 def set_thresholds(model: Classifier, rows: DataFrame, known: DataFrame) -> None:
-    """Thresholds from all rows held back, scored where they lie; of repeated rows of a key the lowest score counts."""
+    """Thresholds from all keys held back, scored where they lie."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    kind = rows.schema["key"].dataType.simpleString()
 
     def scored(batches):
         for batch, part in texts(batches):
             raw, lang = shared.value.raw(part)
             columns = [pa.array(raw.astype(float)), pa.array(_steps(raw)), pa.array(lang.astype(int))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, batch.column(2)], ["key", "raw", "step", "lang", "label"])
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], ["raw", "step", "lang", "label"])
 
-    own = rows.join(known.where("held"), "key").select("key", "text", "label")
+    own = one_of_a_key(rows, known.where("held")).select("key", "text", "label")
     ranges = (
-        own.mapInArrow(tidy(scored), f"key {kind}, raw double, step long, lang long, label int")
-        .groupBy("key").agg(F.min(F.struct("raw", "step", "lang", "label")).alias("r")).select("r.*")
+        own.mapInArrow(tidy(scored), "raw double, step long, lang long, label int")
         .groupBy("lang", "step").agg(
             F.min("raw").alias("low"), F.max("raw").alias("high"), F.count("*").alias("rows"), F.sum("label").alias("hits"))
         .toArrow()
