@@ -338,7 +338,7 @@ def count_words(rows: DataFrame, known: DataFrame) -> WordCounts:
                 counts.add(text, label, lang)
         for kind, lang, buckets, n in counts.cells():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(n)), pa.array([lang] * len(n), pa.string()), pa.array(buckets), pa.array(n)],
+                [pa.array([kind] * len(n), pa.string()), pa.array([lang] * len(n), pa.string()), pa.array(buckets), pa.array(n)],
                 ["kind", "lang", "bucket", "n"])
 
     own = one_of_a_key(rows, known.where("NOT held")).select("key", "text", "label", "lang")

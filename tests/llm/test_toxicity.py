@@ -129,6 +129,8 @@ def test_words_and_thresholds_come_from_all_rows(frame, monkeypatch):
     held = {r["key"] for r in known.where("held").collect()}
     counts = toxicity.count_words(docs, known)
     assert counts.rows == 600 - len(held) and 0 < len(held) < 300
+    clean = known.withColumn("label", F.lit(0))
+    assert toxicity.count_words(docs, clean).positives == 0  # no row of some kinds
     bucket = buckets_of("idiot")[0]
     assert counts.hits[bucket] == sum(y for i, (_, y, _) in enumerate(rows) if i not in held)
     seen, decide = [], toxicity.Classifier.decide
