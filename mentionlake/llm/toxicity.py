@@ -4,9 +4,9 @@ Words (lower-cased runs of letters and digits) are hashed to embeddings; filters
 over them, each is rectified and pooled by its maximum over the text, and a logistic layer gives the
 score. A quarter of all labelled rows, by a hash of the key, is held back. Of the others, every row counts for the odds
 of words, the rare words and the words of a language; the filters are trained in numpy on whole texts of a bounded
-sample of them. All held-back rows are scored in tasks and set a threshold for each language, and scores are
-stretched so that every threshold lies at ``DECIDED``; the language is told from the words of the text, never from a
-column.
+sample of them. Every text is scored once, where it lies; held-back rows set a threshold for each language, and scores
+are stretched so that every threshold lies at ``DECIDED``; the language is told from the words of the text, never from a
+column. Texts outside the sample do not move: only their counts of words meet the labels, and their scores.
 
 Null and empty texts get the score of a text without words; repeated rows stay repeated; labels that are
 null or neither 0 nor 1 are not learned from, of several labels of one key the largest counts; without
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mentionlake.llm.common import ready, share, texts, tidy
 from mentionlake.llm.words import MARKS, hash_words
+from mentionlake.session import materialize
 
 SAMPLE_ROWS = 4_000  # labelled rows of each label that may be learned from; their texts are taken whole
 BUCKETS = 1 << 17
@@ -38,6 +39,8 @@ PART_WORDS = 60_000
 PAD = max(WIDTHS) - 1
 HOLD = 4  # one in so many labelled rows is held back for the thresholds
 STEPS = 1 << 16  # ranges of scores between which a threshold may lie
+HEAD = 24  # first characters of a text by which, and then by its hash, the least text of a key is told
+HALF = 1 << 16  # buckets below it and the others are told apart by their number, so each takes two bytes
 
 
 def padded(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,6 +54,30 @@ def padded(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, starts + shift, ends + shift
 
 
+def bags(rows: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(buckets in order, how often each occurs) of each text."""
+    hashes, counts = hash_words(rows, MARKS)
+    own = np.repeat(np.arange(len(rows)), counts)
+    cells, n = np.unique(own * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64), return_counts=True)
+    bounds = np.searchsorted(cells, np.arange(len(rows) + 1) * BUCKETS).tolist()
+    return [(cells[a:b] % BUCKETS, n[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+
+def packed(buckets: np.ndarray, n: np.ndarray) -> bytes:
+    """A bag in three bytes a bucket, or six if a word occurs more than 255 times."""
+    sizes = np.array([np.searchsorted(buckets, HALF), len(buckets)], np.int32)
+    kind = np.uint8 if n.max(initial=0) < 256 else np.uint32
+    return sizes.tobytes() + (buckets % HALF).astype(np.uint16).tobytes() + n.astype(kind).tobytes()
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    low, size = np.frombuffer(data, np.int32, 2).tolist()
+    buckets = np.frombuffer(data, np.uint16, size, 8).astype(np.int64)
+    buckets[low:] += HALF
+    kind = np.uint8 if len(data) == 8 + 3 * size else np.uint32
+    return buckets, np.frombuffer(data, kind, size, 8 + 2 * size)
+
+
 class Network:
     """Embeddings, filters and the logistic layer."""
 
@@ -142,16 +169,15 @@ class WordCounts:
         self.words: dict[str, np.ndarray] = {}
         self.rows = self.positives = 0.0
 
-    def add(self, text: str, label: int, lang: str | None) -> None:
-        buckets, starts, ends = padded([text])
-        own = np.unique(buckets)
+    def add(self, bag: tuple[np.ndarray, np.ndarray], label: int, lang: str | None) -> None:
+        buckets, n = bag
         self.rows += 1
         self.positives += label
-        self.texts[own] += 1
-        self.hits[own] += label
+        for own in (buckets, BUCKETS):  # every text has padding
+            self.texts[own] += 1
+            self.hits[own] += label
         if lang is not None:
-            words = self.words.setdefault(lang, np.zeros(BUCKETS + 1))
-            np.add.at(words, buckets[starts[0] : ends[0]], 1)
+            self.words.setdefault(lang, np.zeros(BUCKETS + 1))[buckets] += n
 
     @property
     def share(self) -> float:
@@ -210,9 +236,9 @@ class Classifier:
         rows = [s[0] for s in sample]
         if counts is None:
             counts = WordCounts()
-            for row, h in zip(sample, held):
+            for (text, label, lang), h in zip(sample, held):
                 if not h:
-                    counts.add(*row)
+                    counts.add(bags([text])[0], label, lang)
         network = Network()
         network.train([r for r, h in zip(rows, held) if not h], labels[~held], counts)
         self.languages = sorted(counts.words) or ["any"]
@@ -301,15 +327,23 @@ class Classifier:
         if not self.usable:
             return np.zeros(len(rows))
         raw, lang = self.raw(rows)
-        t = self.thresholds[lang]
-        return np.where(raw < t, DECIDED * raw / t, DECIDED + (1 - DECIDED) * (raw - t) / (1 - t))
+        return stretched(raw, self.thresholds[lang])
+
+
+def stretched(raw: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Scores whose thresholds ``t`` lie at ``DECIDED``."""
+    return np.where(raw < t, DECIDED * raw / t, DECIDED + (1 - DECIDED) * (raw - t) / (1 - t))
+
+
+def held_back(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("held"), key), F.lit(HOLD)) == 0
 
 
 def labelled(labels: DataFrame, learn: Column, key: str, label: str) -> DataFrame:
     """(key, label, held) of each key that may be learned from."""
     known = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    held = F.pmod(F.xxhash64(F.lit("held"), "key"), F.lit(HOLD)) == 0
-    return known.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label")).withColumn("held", held)
+    one = known.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label"))
+    return one.withColumn("held", held_back("key"))
 
 
 def one_of_a_key(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -328,39 +362,73 @@ def sample_rows(rows: DataFrame, known: DataFrame) -> list[tuple[str, int, str |
     return [(r["text"] or "", r["label"], r["lang"]) for r in found]
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """``rows`` with what puts the texts of a key in order, so that they need not be compared themselves."""
+    return rows.withColumns({"head": F.substring("text", 1, HEAD), "hash": F.xxhash64("text")})
+
+
+def least(values: Column) -> Column:
+    """The values of the least text of a key; a missing one is the last."""
+    return F.min_by(values, F.struct(F.col("head").isNull(), "head", "hash"))
+
+
+def bagged(rows: DataFrame) -> DataFrame:
+    """(key, lang, head, hash, bag) of the rows."""
+
+    def run(batches):
+        for batch, part in texts(batches):
+            bag = pa.array([packed(*b) for b in bags(part)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], bag], ["key", "lang", "head", "hash", "bag"])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return placed(rows.select("key", "text", "lang")).mapInArrow(
+        tidy(run), f"key {kind}, lang string, head string, hash long, bag binary")
+
+
 def count_words(rows: DataFrame, known: DataFrame) -> WordCounts:
-    """Counts over all keys that are not held back."""
+    """Counts over all keys that are not held back. The texts stay where they lie, their bags meet the labels."""
 
     def counted(batches):
         counts = WordCounts()
-        for batch, part in texts(batches):
-            for text, label, lang in zip(part, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                counts.add(text, label, lang)
+        for batch in batches:
+            for bag, label, lang in zip(*(batch.column(c).to_pylist() for c in ("bag", "label", "lang"))):
+                counts.add(unpacked(bag), label, lang)
         for kind, lang, buckets, n in counts.cells():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([kind] * len(n), pa.string()), pa.array([lang] * len(n), pa.string()), pa.array(buckets), pa.array(n)],
                 ["kind", "lang", "bucket", "n"])
 
-    own = one_of_a_key(rows, known.where("NOT held")).select("key", "text", "label", "lang")
+    if rows.schema["key"].dataType == known.schema["key"].dataType:  # else their hashes differ
+        rows = rows.where(~held_back("key"))
+    own = bagged(rows).join(known.where("NOT held"), "key").groupBy("key", "label")
+    own = own.agg(least(F.col("bag")).alias("bag"), F.min("lang").alias("lang")).drop("key")
     cells = own.mapInArrow(tidy(counted), "kind string, lang string, bucket long, n double")
     return WordCounts.of_cells(cells.groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
 
 
-def set_thresholds(model: Classifier, rows: DataFrame, known: DataFrame) -> None:
-    """Thresholds from all keys held back, scored where they lie."""
+def raw_scores(model: Classifier, rows: DataFrame) -> DataFrame:
+    """(key, head, hash, raw, lang, step) of every row: the network's output, language number and range."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
         for batch, part in texts(batches):
             raw, lang = shared.value.raw(part)
-            columns = [pa.array(raw.astype(float)), pa.array(_steps(raw)), pa.array(lang.astype(int))]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], ["raw", "step", "lang", "label"])
+            columns = [pa.array(raw.astype(np.float32)), pa.array(lang.astype(np.int32)), pa.array(_steps(raw).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *columns], ["key", "head", "hash", "raw", "lang", "step"])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return placed(rows.select("key", "text")).mapInArrow(
+        tidy(scored), f"key {kind}, head string, hash long, raw float, lang int, step int")
 
-    own = one_of_a_key(rows, known.where("held")).select("key", "text", "label")
+
+def set_thresholds(model: Classifier, scores: DataFrame, known: DataFrame) -> None:
+    """Thresholds from all keys held back; a key that is repeated counts once."""
+    own = scores.join(known.where("held"), "key").groupBy("key", "label")
+    own = own.agg(least(F.struct("raw", "lang", "step")).alias("least")).select("label", "least.*")
+    raw = F.col("raw").cast("double")
     ranges = (
-        own.mapInArrow(tidy(scored), "raw double, step long, lang long, label int")
-        .groupBy("lang", "step").agg(
-            F.min("raw").alias("low"), F.max("raw").alias("high"), F.count("*").alias("rows"), F.sum("label").alias("hits"))
+        own.groupBy("lang", "step").agg(
+            F.min(raw).alias("low"), F.max(raw).alias("high"), F.count("*").alias("rows"), F.sum("label").alias("hits"))
         .toArrow()
     )
     model.decide(*(ranges.column(c).to_numpy() for c in ("low", "high", "lang", "rows", "hits")))
@@ -371,20 +439,21 @@ def score(
     label: str = "toxic", lang: str = "lang",
 ) -> DataFrame:
     """(key, score) of every row of ``docs``; learns from rows of ``labels`` where ``learn`` holds."""
-    spark = ready(docs.sparkSession)
+    ready(docs.sparkSession)
     known = labelled(labels, F.lit(True) if learn is None else learn, key, label)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     sample = sample_rows(rows, known)
     model = Classifier(sample, hold=0, counts=count_words(rows, known) if sample else None)
-    if model.usable:
-        set_thresholds(model, rows, known)
-    shared = spark.sparkContext.broadcast(model)
+    if not model.usable:
+        return docs.select(key, F.lit(0.0).alias("score"))
+    scores = materialize(raw_scores(model, rows), "raw-scores")
+    set_thresholds(model, scores, known)
+    thresholds = model.thresholds
     kind = docs.schema[key].dataType.simpleString()
 
-    def scored(batches):
-        for batch, part in texts(batches):
-            values = pa.array(shared.value.score(part).astype(float))
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["key", "score"])
+    def final(batches):
+        for batch in batches:
+            raw, lang = (batch.column(c).to_numpy() for c in ("raw", "lang"))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(stretched(raw, thresholds[lang]))], ["key", "score"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(scored, f"key {kind}, score double").withColumnRenamed("key", key)
+    return scores.select("key", "raw", "lang").mapInArrow(final, f"key {kind}, score double").withColumnRenamed("key", key)

@@ -2,6 +2,7 @@
 held-out accuracy."""
 
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -139,6 +140,30 @@ def test_words_and_thresholds_come_from_all_rows(frame, monkeypatch):
     assert len(out) == 600 and seen == [(len(held), sum(rows[i][1] for i in held))]
 
 
+def test_bags():
+    rows = ["b a B", "", "x " * 300 + "y", *(t for t, _, _ in sample(20))]
+    for text, bag in zip(rows, toxicity.bags(rows)):
+        buckets, n = toxicity.unpacked(toxicity.packed(*bag))
+        assert dict(zip(buckets.tolist(), n.tolist())) == Counter(buckets_of(text))
+        assert sorted(buckets.tolist()) == buckets.tolist()
+
+
+def test_texts_outside_the_sample_do_not_move(frame, monkeypatch):
+    """Bags and scores meet the labels, of a repeated key those of its least text; no other join has texts."""
+    rows = [(f"filler{i} " + t, y, lang) for i, (t, y, lang) in enumerate(sample(300))]
+    docs = frame([(i, t, lang) for i, (t, _, lang) in enumerate(rows)], "key long, text string, lang string")
+    more = [(i, text, "zz") for i in range(60) for text in (None, "zebra")]
+    labels = frame([(i, y) for i, (_, y, _) in enumerate(rows)], "key long, toxic int")
+    known = toxicity.labelled(labels, F.lit(True), "key", "toxic")
+    repeated = docs.unionByName(frame(more, "key long, text string, lang string"))
+    once, twice = toxicity.count_words(docs, known), toxicity.count_words(repeated, known)
+    assert once.rows == twice.rows and (once.texts == twice.texts).all() and (once.hits == twice.hits).all()
+    joined, join = [], toxicity.one_of_a_key
+    monkeypatch.setattr(toxicity, "one_of_a_key", lambda *a: joined.append(a) or join(*a))
+    assert toxicity.score(docs, labels, key="key").count() == 300
+    assert len(joined) == 1  # the sample
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
