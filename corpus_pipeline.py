@@ -46,7 +46,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digest of what they decode to."""
     ready(spark)
     ranks, pattern = vocabulary()
-    decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    # in one stage a task would hold a Python worker for each of the two
+    encoded = materialize(bpe.encode(docs, ranks, pattern), "encoded")
+    decoded = bpe.decode(encoded, ranks, pattern)
     return decoded.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import heapq
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,15 +35,22 @@ PART_CHARS = 250_000  # characters whose pieces are held at a time
 NO_RANK = 1 << 40
 
 _loaded: dict[tuple[int, str], "Vocabulary"] = {}
+_spelled: dict[int, dict[int, bytes]] = {}
+
+
+def ranked(ranks: bytes) -> Iterator[tuple[bytes, int]]:
+    """(byte string, rank) of each line of a rank file."""
+    for line in ranks.splitlines():
+        if line.strip():
+            token, rank = line.split()
+            yield base64.b64decode(token), int(rank)
 
 
 class Vocabulary:
     """Ranks of byte strings, and the pattern that splits a text before merging."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        lines = (line.split() for line in ranks.splitlines() if line.strip())
-        self.ids = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.tokens = {rank: token for token, rank in self.ids.items()}
+        self.ids = dict(ranked(ranks))
         self.find = regex.compile(pattern).findall
         self.single = np.array([self.ids[bytes([b])] for b in range(256)], np.int64)
         pairs = {}
@@ -151,9 +159,6 @@ class Vocabulary:
             find = self.known.__getitem__
         return [np.frombuffer(b"".join(map(find, pieces)), np.int32) for pieces in texts]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
-
 
 def loaded(ranks: bytes, pattern: str) -> Vocabulary:
     """The vocabulary, built once in each Python worker."""
@@ -163,6 +168,14 @@ def loaded(ranks: bytes, pattern: str) -> Vocabulary:
     return _loaded[key]
 
 
+def spelled(ranks: bytes) -> dict[int, bytes]:
+    """The bytes of each id, built once in each Python worker. A worker that decodes needs no vocabulary."""
+    key = hash(ranks)
+    if key not in _spelled:
+        _spelled[key] = {rank: token for token, rank in ranked(ranks)}
+    return _spelled[key]
+
+
 def boundaries(find, text: str) -> np.ndarray:
     """Where the pieces of ``text`` end."""
     return np.cumsum(np.fromiter(map(len, find(text)), np.int64))
@@ -254,7 +267,7 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str, ids: str = "ids", int
 
     @F.pandas_udf("binary")
     def joined(column: pd.Series) -> pd.Series:
-        vocabulary = loaded(shared.value, pattern)
-        return column.map(lambda x: b"" if x is None else vocabulary.decode(np.asarray(x)))
+        find = spelled(shared.value).__getitem__
+        return column.map(lambda x: b"" if x is None else b"".join(map(find, np.asarray(x).tolist())))
 
     return encoded.withColumn(into, joined(ids))

@@ -9,8 +9,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionlake.operators import bucketed, mapping, quality
-from mentionlake.operators.keyed_write import first_wins, insert_ignore, upsert_mutable
-from mentionlake.operators.layout import PARTITION, append_rows, overwrite_dates, with_date
+from mentionlake.operators.keyed_write import first_wins, insert_ignore, upsert_mutable, upsert_stored
+from mentionlake.operators.layout import PARTITION, append_rows, on_days, overwrite_dates, with_date
 from mentionlake.operators.snapshots import path_exists
 from mentionlake.session import materialize, small_side
 from mentionlake.sources import jsonl
@@ -105,7 +105,7 @@ def add_rows(rows: DataFrame, table: str, buckets: int | None = None) -> int:
     # calendar days, as literals: an anti-join would not prune the table's folders by itself
     days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
     if path_exists(spark, table):
-        known = _stored(spark, table, buckets).filter(F.col(PARTITION).isin(days))
+        known = _stored(spark, table, buckets).filter(on_days(days))
     else:
         known = spark.createDataFrame([], dated.select(*KEYS).schema)
     fresh = insert_ignore(known, rows.select(*KEYS, "row_id", *jsonl.ORDER), KEYS, jsonl.ORDER)
@@ -148,11 +148,11 @@ def upsert_rows(
     dated = materialize(dated, "polled")
     days = [row[0] for row in dated.select(PARTITION).distinct().toLocalIterator()]
     if path_exists(spark, table):
-        known = _stored(spark, table, buckets).filter(F.col(PARTITION).isin(days))
+        known = _stored(spark, table, buckets).filter(on_days(days))
     else:
         known = dated.drop(*{*order, *jsonl.ORDER} - {*KEYS, *mutable}).limit(0)
-    merged = upsert_mutable(known, dated, KEYS, mutable, order)
-    merged = materialize(merged, "merged")
+    upsert = upsert_stored if buckets else upsert_mutable
+    merged = materialize(upsert(known, dated, KEYS, mutable, order), "merged")
     if buckets:
         bucketed.overwrite_dates(merged, table, buckets)
     else:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from mentionlake.operators.layout import PARTITION, with_date
@@ -50,8 +50,10 @@ def _write(rows: DataFrame, table: str, buckets: int, keys: Sequence[str], overw
     spark = rows.sparkSession
     dated = rows if PARTITION in rows.columns else with_date(rows)
     name = _register(spark, table, buckets, dated.schema, keys)
-    placed = dated.select(*spark.table(name).columns).repartition(buckets, *keys)
-    placed.sortWithinPartitions(PARTITION, *keys).write.insertInto(name, overwrite=overwrite)
+    # a bucket of a date is one file, but the dates of a bucket are dealt to many tasks, which the writer sorts
+    tasks = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = dated.select(*spark.table(name).columns).repartition(tasks, PARTITION, F.pmod(F.hash(*keys), F.lit(buckets)))
+    placed.write.insertInto(name, overwrite=overwrite)
 
 
 def append_rows(rows: DataFrame, table: str, buckets: int, keys: Sequence[str] = KEYS) -> None:

@@ -59,6 +59,33 @@ def upsert_mutable(
     )
 
 
+def upsert_stored(
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    mutable: Sequence[str],
+    order: Sequence[str],
+) -> DataFrame:
+    """``upsert_mutable`` with one reading of ``existing``: a full join by key with the first and the last values
+    of each incoming key. For rows that lie by key, which such a join need not move."""
+    fixed = [c for c in existing.columns if c not in {*keys, *mutable}]
+    by = F.struct(*order)
+    polled = incoming.dropna(subset=list(keys)).groupBy(*keys).agg(
+        F.min_by(F.struct(F.lit(True).alias("_any"), *fixed), by).alias("_first"),
+        F.max_by(F.struct(F.lit(True).alias("_any"), *mutable), by).alias("_last"),
+    )
+    both = existing.withColumn("_stored", F.lit(True)).join(polled, list(keys), "full")
+
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        if c in mutable:
+            return F.when(F.col("_last").isNull(), F.col(c)).otherwise(F.col("_last").getField(c)).alias(c)
+        return F.when(F.col("_stored"), F.col(c)).otherwise(F.col("_first").getField(c)).alias(c)
+
+    return both.select(*map(value, existing.columns))
+
+
 def replace_by_key(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 ) -> DataFrame:

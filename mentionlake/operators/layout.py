@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mentionlake import fixed_values as fixed
 
 PARTITION = "created_date"
+MOST_STRETCHES = 50  # of days that a filter names by their ends
 
 
 def with_date(rows: DataFrame) -> DataFrame:
@@ -27,6 +31,22 @@ def created_between(
     return rows
 
 
+def on_days(days: Iterable[date]) -> Column:
+    """Whether a row's date is one of ``days``, as literals. Stretches of days are named by their ends, so a
+    filter on all dates of a large table is as short as one on a few."""
+    ends: list[list[date]] = []
+    for day in sorted(set(days)):
+        if ends and day - ends[-1][1] == timedelta(1):
+            ends[-1][1] = day
+        else:
+            ends.append([day, day])
+    if not ends:
+        return F.lit(False)
+    if len(ends) <= MOST_STRETCHES:
+        return F.expr(" OR ".join(f"{PARTITION} BETWEEN DATE'{a}' AND DATE'{b}'" for a, b in ends))
+    return F.expr(f"{PARTITION} IN ({', '.join(f"DATE'{day}'" for day in sorted(set(days)))})")
+
+
 def _clustered(rows: DataFrame) -> DataFrame:
     """Rows brought together by date, split again where a date is large, sorted for skipping."""
     return rows.hint("rebalance", PARTITION).sortWithinPartitions(

@@ -50,6 +50,20 @@ def test_stages(spark, docs):
     assert all(r["decoded_sha256"] == texts[r["doc_id"]] and r["n_tokens"] == len(r["ids"]) for r in last)
 
 
+def test_a_task_of_the_last_stage_holds_one_python_worker(spark, docs):
+    plan = corpus_pipeline.STAGES[-1][1](spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan and "FlatMapGroupsInPandas" not in plan
+
+
+def test_decoding_builds_no_vocabulary(monkeypatch):
+    from mentionlake.llm import bpe
+    from mentionlake.llm.plans import vocabulary
+
+    monkeypatch.setattr(bpe, "Vocabulary", None)
+    ranks, _ = vocabulary()
+    assert sorted(bpe.spelled(ranks).items())[65][0] == 65 and b"".join(bpe.spelled(ranks)[i] for i in (0, 1))
+
+
 def test_empty(spark, docs):
     seen = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
