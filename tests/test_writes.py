@@ -7,6 +7,8 @@ from mentionlake.operators import archive, bucketed, keyed_write as kw, layout
 
 ROWS = "id int, at int, author string, score int, seq int"
 
+T0 = datetime(2024, 1, 1)
+
 
 def test_insert_ignore_is_idempotent(spark):
     rng = random.Random(1)
@@ -131,3 +133,41 @@ def test_stored_keys_stay_in_their_buckets(spark, tmp_path):
     columns = ["id", "created_utc", "score", "created_date"]
     got, want = (sorted(map(tuple, d.select(*columns).collect())) for d in (bucketed.read(spark, table, 4), spark.read.parquet(plain)))
     assert got == want and {r[2] for r in got} == {5}
+
+
+def test_dates_of_a_bucket_are_written_by_many_tasks(spark, tmp_path):
+    """More tasks than buckets write, and still each bucket of a date gets one file from a load."""
+    table = str(tmp_path / "bucketed")
+    rows = rows_over_days(spark, list(range(12))).withColumn("id", F.concat(F.lit("k"), F.monotonically_increasing_id().cast("string")))
+    bucketed.append_rows(rows, table, 2)
+    files = [p for p in (tmp_path / "bucketed").rglob("*.parquet")]
+    assert len({p.name.split("-")[1] for p in files}) > 2
+    assert len({(p.parent, p.name.split("_")[1]) for p in files}) == len(files) <= 24
+    assert bucketed.read(spark, table, 2).count() == rows.count()
+
+
+def test_an_upsert_reads_rows_in_buckets_once(spark, tmp_path):
+    """Null keys, repeated keys and several polls as in the upsert of two joins."""
+    stored = "id string, created_utc timestamp, a string, score int, created_date date"
+    old = spark.createDataFrame(
+        [(i, c, a, s, None) for i, c, a, s in [("x", T0, "o", 1), ("x", T0, "p", 2), ("y", T0, None, 3), (None, T0, "q", 4), ("z", T0, "r", 5)]], stored)
+    polled = spark.createDataFrame(
+        [("x", T0, "n", 9, 2), ("x", T0, "m", None, 3), ("w", T0, "f", 7, 1), ("w", T0, "g", 8, 2), (None, T0, "h", 1, 1), ("z", None, "h", 1, 1)],
+        "id string, created_utc timestamp, a string, score int, poll int").withColumn("created_date", F.lit(None).cast("date"))
+    got, want = (sorted(f(old, polled, archive.KEYS, ["score"], ["poll"]).collect(), key=str) for f in (kw.upsert_stored, kw.upsert_mutable))
+    assert got == want and len(got) == 6 and kw.upsert_stored(old, polled, archive.KEYS, ["score"], ["poll"]).columns == old.columns
+    table = str(tmp_path / "bucketed")
+    rows = rows_over_days(spark, [0, 1]).withColumns({"id": F.concat(F.lit("k"), F.monotonically_increasing_id().cast("string")), "score": F.lit(1)})
+    bucketed.append_rows(rows, table, 4)
+    merged = kw.upsert_stored(bucketed.read(spark, table, 4), layout.with_date(rows.withColumn("line", F.lit(0))), archive.KEYS, ["score"], ["line"])
+    paths = list(stored_side(merged))
+    assert len(paths) == 1 and not any("Exchange" in node for node in paths[0])
+
+
+def test_filters_on_many_dates_are_short(spark):
+    days = [date(2024, 1, 1) + timedelta(i) for i in range(3000) if i != 1000]
+    assert str(layout.on_days([*days, *days])._jc).count("DATE") + str(layout.on_days(days)._jc).count("BETWEEN") <= 8
+    sparse = days[::7]
+    table = spark.createDataFrame([(d,) for d in days] + [(None,)], "created_date date")
+    for some in (days[5:40], days[:990] + days[1010:1100], sparse, days[:1], []):
+        assert {r[0] for r in table.filter(layout.on_days(some)).collect()} == set(some)
