@@ -70,7 +70,10 @@ def add_batch(batch: DataFrame, number: int, table: str, marks: Marks, hours: in
     else:
         newest, floor = None, _newest(spark.read.parquet(table)) if path_exists(spark, table) else None
     in_order = not known or number - 1 in known
-    marks.write(number, _highest(newest, _newest(rows)), floor)
+    own = _newest(rows)
+    marks.write(number, _highest(newest, own), floor)
+    if own is None:  # a batch without rows, in which the state forgets
+        return
     if not in_order:
         archive.add_rows(rows, table, buckets)
         return

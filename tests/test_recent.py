@@ -106,3 +106,15 @@ def test_a_batch_that_broke_off_is_looked_up(spark, tmp_path, monkeypatch):
     arrive(tmp_path / "in", 2, [comment("c", 2), comment("b", 1, 8)])
     ingest(spark, tmp_path)
     assert table(spark, tmp_path) == {"t1_a": 1, "t1_b": 1, "t1_c": 1}
+
+
+def test_a_batch_without_rows_adds_nothing(spark, tmp_path, monkeypatch):
+    """The stream ends with a batch in which the state forgets; it only leaves its mark."""
+    calls, add = [], archive._append_only
+    monkeypatch.setattr(archive, "_append_only", lambda *a: calls.append(a) or add(*a))
+    arrive(tmp_path / "in", 0, [comment("a", 0), comment("b", 30)])
+    ingest(spark, tmp_path)
+    assert len(calls) == 1
+    arrive(tmp_path / "in", 1, [comment("b", 30, 5), comment("c", 31)])
+    ingest(spark, tmp_path)
+    assert table(spark, tmp_path) == {"t1_a": 1, "t1_b": 1, "t1_c": 1}
