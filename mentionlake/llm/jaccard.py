@@ -3,15 +3,17 @@
 A text's set holds 64-bit hashes of its distinct shingles of ``width`` words; texts with equal sets are
 one class. Sets that overlap enough share one of their first tokens in any common order of tokens
 (prefix filter), so each token is the root of a tree over the classes that have it among their first;
-the order puts tokens that a large share of texts has last, by counts of all texts in a table of fixed size.
+the order goes by counts of all texts in a table of fixed size, so tokens that many texts have come last.
 
 Nodes of a tree hold the bitwise or of their classes' token bitmaps and the range of their sizes; leaves
 hold classes of like size. The two sides of a tree are traversed together, and a pair of nodes is dropped
 as soon as the overlap that sizes and bitmaps allow is too small, or if both are one component already.
-Two rounds first try every class against about ``HUBS`` classes of each tree, so that groups of near
-copies, however large, are mostly one component before their trees are traversed; a tree of so few classes
-is a single leaf and done with. A tree of n classes is dealt into pairs of blocks of about ``BLOCK``, so no
-group is larger than two blocks. Surviving pairs are decided by their sets. Links inside one component may
+``ROUNDS`` rounds first try every class against ``TRIED`` of about ``HUBS`` classes of each tree, the same ones for
+all near copies, so that groups of these, however large, are mostly one component before their trees are traversed.
+A tree of up to ``HUBS`` classes is a single leaf, whose pairs across components are all looked at. A tree of n
+classes is dealt into pairs of blocks of about ``BLOCK``, so no
+group is larger than two blocks. The bitmaps of its nodes are wide, so near copies that are too far apart to link are
+seldom taken for links. Surviving pairs are decided by their sets. Links inside one component may
 stay untested, links between components never.
 
 Texts that are null, empty or without words have empty sets and link with nothing, like rows without a
@@ -33,13 +35,15 @@ from mentionlake.session import materialize, small_side
 COUNTERS = 1 << 18  # of the table of token counts
 CHUNK = 1 << 12  # counters in one row of it
 PARTS = 256  # groups in which counts of tasks are added first
-FREQUENT = 2  # times the mean count from which a token comes last
 BLOCK = 512  # classes of a block
+NARROW, WIDE = 2, 8  # least bits for each token, of pairs that are tried and of trees
 LEAF = 16
 FAN = 4
-HUBS = 16  # most classes of a tree, at least half as many, that all others are tried against in a round
+HUBS = 16  # most classes of a tree, at least half as many, that others are tried against in a round
+TRIED = 4  # pairs of a class in a round
 ROUNDS = 2
 BROADCAST_KEYS = 1_000_000  # 16 MB
+BROADCAST_NUMBERS = 4_000_000  # of rows; 64 MB
 
 
 def shingle_sets(rows: list[str], width: int) -> list[np.ndarray]:
@@ -69,13 +73,13 @@ def counter(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(46)).astype(np.int64)
 
 
-def bit_count(n: int) -> int:
+def bit_count(n: int, per_token: int = NARROW) -> int:
     """Bits of the bitmap of a set of ``n`` tokens."""
-    return 1 << max(6, int(2 * n - 1).bit_length())
+    return 1 << max(6, int(per_token * n - 1).bit_length())
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(bit_count(len(tokens)), np.uint8)
+def bitmap(tokens: np.ndarray, per_token: int = NARROW) -> bytes:
+    bits = np.zeros(bit_count(len(tokens), per_token), np.uint8)
     bits[(tokens & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -118,8 +122,8 @@ def _added(frame):
     return frame.head(1).assign(counts=[total.tobytes()])
 
 
-def frequent_tokens(rows: DataFrame, width: int) -> np.ndarray:
-    """For each counter whether its tokens are frequent. Counts cover every text; their table is of fixed size."""
+def token_counts(rows: DataFrame, width: int) -> np.ndarray:
+    """The count of each counter. Counts cover every text; their table is of fixed size."""
     schema = "chunk int, part int, counts binary"
     chunks = (
         rows.select("text").mapInArrow(tidy(_counts(width)), schema)
@@ -130,27 +134,29 @@ def frequent_tokens(rows: DataFrame, width: int) -> np.ndarray:
     counts = np.zeros((COUNTERS // CHUNK, CHUNK), np.int64)
     for row in chunks:
         counts[row["chunk"]] = np.frombuffer(row["counts"], np.int64)
-    return np.packbits(counts.ravel() > FREQUENT * max(1.0, counts.mean()))
+    return counts.ravel()
 
 
 def _described(width: int, percent: int, shared):
-    """Size, class, first tokens and bitmap of each text."""
+    """Size, class, first tokens and bitmaps of each text, and the number of its row."""
 
     def run(batches):
-        frequent = np.unpackbits(shared.value).astype(bool)
+        counts = shared.value
         for batch, part in texts(batches):
-            size, kind, first, bits = [], [], [], []
+            size, kind, first, bits, wide = [], [], [], [], []
             for tokens in shingle_sets(part, width):
                 n = len(tokens)
-                late = frequent[counter(tokens)]
                 keep = prefix_length(n, percent) if n else 0
+                rarest = np.argsort(counts[counter(tokens)], kind="stable")[:keep]
                 size.append(n)
                 kind.append(digest(tokens) if n else None)
-                first.append(np.r_[tokens[~late][:keep], tokens[late][: max(0, keep - int((~late).sum()))]].astype(np.int64))
+                first.append(tokens[rarest].astype(np.int64))
                 bits.append(bitmap(tokens) if n else b"")
+                wide.append(bitmap(tokens, WIDE) if n else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int32()), pa.array(kind, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                ["key", "n", "class", "first", "bits"],
+                [batch.column(0), pa.array(size, pa.int32()), pa.array(kind, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
+                 pa.array(wide, pa.binary()), batch.column(2)],
+                ["key", "n", "class", "first", "bits", "wide", "row"],
             )
 
     return run
@@ -346,30 +352,32 @@ class Join:
         self.width, self.percent = width, percent
         self.rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         kind = docs.schema[key].dataType.simpleString()
-        shared = spark.sparkContext.broadcast(frequent_tokens(self.rows, width))
+        shared = spark.sparkContext.broadcast(token_counts(self.rows, width))
         self.described = materialize(
-            self.rows.mapInArrow(tidy(_described(width, percent, shared)), f"key {kind}, n int, class bigint, first array<bigint>, bits binary"),
+            self.rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+                tidy(_described(width, percent, shared)), f"key {kind}, n int, class bigint, first array<bigint>, bits binary, wide binary, row bigint"),
             "described",
         )
         members = self.described.where("class is not null and key is not null")
-        self.classes = materialize(
-            members.groupBy("class").agg(F.min(F.struct("key", "n", "first")).alias("least"))
-            .select("class", F.col("least.key").alias("holder"), "least.n", "least.first"),
-            "classes",
-        )
+        classes = materialize(
+            members.groupBy("class").agg(F.min(F.struct("key", "row")).alias("least"), F.count("*").alias("texts")), "classes")
+        self.classes = classes.select("class", F.col("least.key").alias("holder"))
+        # tokens and bitmaps stay where they lie: only the numbers of rows that repeat a class are sent around
+        repeated = classes.where("texts > 1").select("class", F.col("least.row").alias("held"))
+        again = materialize(members.select("class", "row").join(repeated, "class").where("row <> held").select("row"), "again")
+        self.once = members.join(small_side(again, again.count(), BROADCAST_NUMBERS), "row", "left_anti")
         # an entry stays if the next smaller or larger class of its tree is near enough in size
-        by_size = Window.partitionBy("token").orderBy("n")
-        near_in_size = (
-            self.classes.select(F.explode("first").alias("token"), "class", "n")
+        tree = Window.partitionBy("token")
+        by_size = tree.orderBy("n")
+        self.entries = materialize(
+            self.once.select(F.explode("first").alias("token"), "class", "n")
             .withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size))
             .where(f"100 * smaller >= {percent} * n or 100 * n >= {percent} * larger")
-            .select("token", "class", "n")
+            .select("token", "class", "n", F.count("*").over(tree).alias("size")),
+            "entries",
         )
-        sizes = near_in_size.groupBy("token").agg(F.count("*").alias("size"))
-        self.entries = materialize(near_in_size.join(sizes, "token"), "entries")
         grown = self.entries.select("class").distinct()
-        self.bitmaps = materialize(
-            members.select("class", "n", "bits").join(grown, "class").dropDuplicates(["class"]), "bitmaps")
+        self.bitmaps = materialize(self.once.select("class", "n", "bits").join(grown, "class"), "bitmaps")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose sets overlap enough."""
@@ -385,28 +393,37 @@ class Join:
         return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(tidy(_decided(self.percent)), "a bigint, b bigint")
 
     def open_trees(self, reached: DataFrame | None) -> DataFrame:
-        """Entries, with components so far, of trees that hold more than one component.
-
-        Trees of up to ``HUBS`` classes are through after the first round, which looks at all their pairs.
-        """
+        """Entries, with components so far, of trees that hold more than one component."""
         if reached is None:
             return self.entries.withColumn("component", F.col("class"))
-        entries = self.entries.where(F.col("size") > HUBS)
-        known = entries.join(reached.withColumnRenamed("vertex", "class"), "class", "left")
+        known = self.entries.join(reached.withColumnRenamed("vertex", "class"), "class", "left")
         known = known.withColumn("component", F.coalesce("component", "class"))
-        mixed = known.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
-        return known.join(mixed.select("token"), "token")
+        tree = Window.partitionBy("token")
+        ends = known.withColumn("p", F.min("component").over(tree)).withColumn("q", F.max("component").over(tree))
+        return ends.where("p <> q").drop("p", "q")
+
+    def fit(self) -> str:
+        """Whether sizes and components of a class and a ``hub`` allow a link that is not known."""
+        return f"100 * least(n, hub.n) >= {self.percent} * greatest(n, hub.n) and component <> hub.component"
 
     def tries(self, entries: DataFrame, salt: int) -> DataFrame:
-        """Pairs of every class with about ``HUBS`` classes of each of its trees, if sizes and bitmaps allow a link."""
-        # rounded up, so that like trees have the same hubs and their pairs are the same pairs
-        rounded = F.expr("bigint(power(2, ceil(log2(size))))")
-        hubs = entries.where(F.pmod(F.xxhash64("class", F.lit(salt)), rounded) < HUBS).select(
-            "token", F.struct("class", "n", "component").alias("hub"))
-        fit = "100 * least(n, hub.n) >= {0} * greatest(n, hub.n) and component <> hub.component".format(self.percent)
-        pairs = entries.join(hubs, "token").where(fit).select(
-            F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
-        return self.bounded(pairs)
+        """Pairs of every class with ``TRIED`` of about ``HUBS`` classes of each of its trees, if sizes and bitmaps allow a link."""
+        # hubs of a tree are hubs of the smaller trees that hold them, and come first there: near copies, which
+        # share most trees, are tried against the same few classes
+        turn = F.shiftrightunsigned(F.xxhash64("class", F.lit(salt)), 11) / F.lit(float(1 << 53))
+        hubs = entries.withColumn("turn", turn).where(
+            F.col("turn") * F.expr("power(2, ceil(log2(size)))") < HUBS
+        ).select("token", F.struct("class", "n", "component").alias("hub"), "turn")
+        met = entries.join(hubs, "token").where(self.fit()).select("class", F.col("hub.class").alias("other"), "turn").distinct()
+        first = Window.partitionBy("class").orderBy("turn", "other")
+        tried = met.withColumn("place", F.row_number().over(first)).where(F.col("place") <= TRIED)
+        return self.bounded(tried.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct())
+
+    def leaves(self, entries: DataFrame) -> DataFrame:
+        """All pairs of trees of up to ``HUBS`` classes, across components, if sizes and bitmaps allow a link."""
+        hubs = entries.select("token", F.struct("class", "n", "component").alias("hub"))
+        met = entries.join(hubs, "token").where(f"class < hub.class and {self.fit()}")
+        return self.bounded(met.select(F.col("class").alias("a"), F.col("hub.class").alias("b")).distinct())
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose bitmaps allow a link."""
@@ -425,12 +442,15 @@ class Join:
     def descents(self, entries: DataFrame) -> DataFrame:
         """Pairs that traversing the trees of ``entries`` leaves."""
         least = entries.groupBy("token").agg(F.min("class").alias("least"))
+        needed = materialize(entries.select("class").distinct(), "needed")
+        wide = self.once.select("class", F.col("wide").alias("bits")).join(
+            small_side(needed, needed.count(), BROADCAST_NUMBERS), "class")
         dealt = (
             entries.join(least, "token")
             .withColumn("blocks", F.expr(f"int(power(2, ceil(log2(greatest(1.0D, size / {BLOCK}D)))))"))
             .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .join(self.bitmaps.select("class", "bits"), "class")
+            .join(wide, "class")
             .select("least", "blocks", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                     "token", "block", "class", "n", "component", "bits")
         )
@@ -454,7 +474,11 @@ def classed(docs: DataFrame, width: int, percent: int, key: str, text: str) -> D
     for salt in range(ROUNDS + 1):
         entries = work.open_trees(reached)
         entries = entries if reached is None else materialize(entries, "open-trees")
-        pairs = work.tries(entries, salt) if salt < ROUNDS else work.descents(entries)
+        if salt < ROUNDS:
+            pairs = work.tries(entries, salt)
+        else:
+            small = F.col("size") <= HUBS
+            pairs = work.leaves(entries.where(small)).unionByName(work.descents(entries.where(~small))).distinct()
         new = materialize(work.links(materialize(pairs, "pairs")), "edges")
         edges = new if edges is None else edges.unionByName(new)
         reached = components(edges, "classes-reached")

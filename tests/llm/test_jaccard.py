@@ -143,3 +143,52 @@ def test_one_of_each_with_columns_of_any_name(frame):
     out = jaccard.one_of_each(df)
     assert out.columns == df.columns
     assert sorted((r["doc_id"], r["text"], r["__gone"]) for r in out.collect()) == sorted((i, t, "__gone") for i, t in (rows[0], *rows[2:]))
+
+
+def test_a_group_of_near_copies_is_tried_against_few_classes(frame, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        at = rng.randrange(len(base))
+        rows.append((i, " ".join([*base[:at], rng.choice("abc"), *base[at + 1 :]])))
+    tried = []
+    decide = jaccard.Join.links
+    monkeypatch.setattr(jaccard.Join, "links", lambda self, pairs: tried.append(pairs.count()) or decide(self, pairs))
+    out = jaccard.join(frame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r[0]), r[1], str(r[2])) for r in out) == brute(rows)
+    assert sum(tried) <= jaccard.TRIED * len(rows)
+
+
+def test_near_copies_too_far_apart_are_seldom_taken_for_links():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 40).astype(np.uint64)
+    sets = [np.unique(np.r_[base[rng.random(40) > 0.12], rng.integers(0, 2**63, 5).astype(np.uint64)]) for _ in range(150)]
+    n = np.array([len(s) for s in sets])
+    tree = jaccard.Tree(np.arange(150), n, np.arange(150), [jaccard.bitmap(s, jaccard.WIDE) for s in sets])
+    links = set()
+    for i in range(150):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 70 * (n[i] + n[j] - both):
+                links.add((j, i))
+    found = jaccard.traverse(tree, tree, 70)
+    assert links <= found and len(found) <= 3 * len(links)
+
+
+def test_tokens_of_many_texts_come_last(spark, frame):
+    rng = random.Random(6)
+    fresh = lambda n: [f"x{rng.getrandbits(60)}" for _ in range(n)]
+    passages = [fresh(12) for _ in range(4)]
+    rows = [(i, " ".join([*fresh(60), *passages[i % 4], *fresh(60)])) for i in range(160)]
+    work = jaccard.Join(frame(rows, "doc_id long, text string"), "doc_id", "text", 4, 85)
+    assert work.entries.count() == 0 and work.bitmaps.count() == 0
+
+
+def test_first_tokens_and_bitmaps_are_not_grouped(frame):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    rows = [(3, text("a")), (1, text("a")), (1, text("a")), (2, text("a") + " more"), (None, text("b")), (7, text("b")), (8, None)]
+    work = jaccard.Join(frame(rows, "doc_id long, text string"), "doc_id", "text", 4, 85)
+    assert {r["holder"] for r in work.classes.collect()} == {1, 2, 7}
+    assert "first" not in work.classes.columns and work.bitmaps.count() == 2
+    assert all(r["size"] == 2 for r in work.entries.collect())
